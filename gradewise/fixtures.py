@@ -12,44 +12,38 @@ from gradewise.plans.ingest import to_raw_schema
 from gradewise.schemas import SOURCE_COLUMNS
 
 
-def _pick(number: Column, *values: str | None) -> Column:
-    """The value at position `number` (from 0)."""
-    return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), number.cast("int") + 1)
+# Loan columns by rule, from an order (key k) and its customer.
+_LOAN_RULES = {
+    "id": "if(k % 97 != 96, cast(k as string), null)",
+    "loan_amnt": "o_totalprice",
+    "funded_amnt": "if(k % 101 = 100, 0D, o_totalprice * 0.75D)",
+    "grade": "substring('ABCDEFGH', nullif(cast(k % 9 as int), 8) + 1, 1)",
+    "sub_grade": "concat(substring('ABCDEFGH', nullif(cast(k % 9 as int), 8) + 1, 1), k % 5 + 1)",
+    "int_rate": "if(k % 89 = 88, 'n/a', concat(k % 20 + 5, '.', lpad(cast(k * 37 % 100 as string), 2, '0'), '%'))",
+    "loan_status": """case k % 8 when 0 then 'Fully Paid' when 1 then 'Charged Off' when 2 then 'Current'
+        when 3 then 'Default' when 4 then 'Does not meet the credit policy. Status:Charged Off'
+        when 5 then 'charged off' when 6 then 'Fully Paid' end""",
+    "issue_d": """case when k % 83 = 82 then 'junk' when k % 3 = 0 then date_format(o_orderdate, 'MMM-yy')
+        else date_format(o_orderdate, 'MMM-yyyy') end""",
+    "purpose": "c_mktsegment",
+    "addr_state": "cast(c_nationkey as string)",
+    "mths_since_last_delinq": "if(k % 3 = 0, null, k % 130)",
+    "total_pymnt": "o_totalprice * 0.5D",
+    "out_prncp": "o_totalprice - o_totalprice * 0.5D",
+    "delinq_2yrs": "if(k % 4 = 0, null, k % 5)",
+    "annual_inc": "c_acctbal",
+    "dti": "(k % 4000) / 100D",
+    "ingest_ts": "o_orderdate",
+    "k": "k",
+}
 
 
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One loan per order, as text-heavy as a source file: percent signs, month names, junk."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").withColumnRenamed("o_orderkey", "k")
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    k, price, ordered = F.col("o_orderkey"), F.col("o_totalprice"), F.col("o_orderdate")
-    grade = _pick(k % 9, *"ABCDEFGH", None)
-    percent = F.concat(
-        (k % 20 + 5).cast("string"), F.lit("."), F.lpad((k * 37 % 100).cast("string"), 2, "0"), F.lit("%")
-    )
-    month = F.when(k % 3 == 0, F.date_format(ordered, "MMM-yy")).otherwise(F.date_format(ordered, "MMM-yyyy"))
-    return orders.join(customers, orders.o_custkey == customers.c_custkey).select(
-        F.when(k % 97 != 96, k.cast("string")).alias("id"),
-        price.alias("loan_amnt"),
-        F.when(k % 101 == 100, F.lit(0.0)).otherwise(price * 0.75).alias("funded_amnt"),
-        grade.alias("grade"),
-        F.concat(grade, (k % 5 + 1).cast("string")).alias("sub_grade"),
-        F.when(k % 89 == 88, F.lit("n/a")).otherwise(percent).alias("int_rate"),
-        _pick(
-            k % 8, "Fully Paid", "Charged Off", "Current", "Default",
-            "Does not meet the credit policy. Status:Charged Off", "charged off", "Fully Paid", None,
-        ).alias("loan_status"),
-        F.when(k % 83 == 82, F.lit("junk")).otherwise(month).alias("issue_d"),
-        F.col("c_mktsegment").alias("purpose"),
-        F.col("c_nationkey").cast("string").alias("addr_state"),
-        F.when(k % 3 != 0, k % 130).alias("mths_since_last_delinq"),
-        (price * 0.5).alias("total_pymnt"),
-        (price - price * 0.5).alias("out_prncp"),
-        F.when(k % 4 != 0, k % 5).alias("delinq_2yrs"),
-        F.col("c_acctbal").alias("annual_inc"),
-        ((k % 4000) / 100.0).alias("dti"),
-        ordered.alias("ingest_ts"),
-        k.alias("k"),
-    )
+    joined = orders.join(customers, orders.o_custkey == customers.c_custkey)
+    return joined.selectExpr(*[f"{rule} AS {name}" for name, rule in _LOAN_RULES.items()])
 
 
 def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
