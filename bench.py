@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from gradewise import fixtures
 from gradewise.operators import merge, quality, reports
 from gradewise.plans import models
+from gradewise.plans.ingest import ingest
 from gradewise.plans.report import run_report
 from gradewise.session import build_session, scratch_path, stream_session
 from gradewise.sources import events as event_source
@@ -58,7 +59,7 @@ def main() -> None:
     loans, raw = spark.read.parquet(loan_path), files.read_raw(spark, raw_path)
     loan_events = spark.read.parquet(events_path)
     staged = models.stg_loans(raw)
-    rows = raw.count()
+    rows, n_events = raw.count(), loan_events.count()
 
     def drain(results: DataFrame, output_mode: str = "append") -> None:
         def sink(batch: DataFrame, _: int) -> None:
@@ -71,8 +72,6 @@ def main() -> None:
         return stream_session(spark).readStream.schema(loan_events.schema).parquet(events_path)
 
     def ingest_csv() -> None:
-        from gradewise.plans.ingest import ingest
-
         ingest(spark, csv_path, scratch_path(spark, "ingested"), one_line_per_record=True)
 
     queries = {
@@ -111,7 +110,7 @@ def main() -> None:
         "unit": "sec",
         "queries": seconds,
         "sf": os.path.basename(sf.rstrip("/")).removeprefix("sf"),
-        "rows": {"loans": rows, "events": 0},
+        "rows": {"loans": rows, "events": n_events},
         "cpus": int(cpus),
     }))
 

@@ -62,12 +62,14 @@ def parse_issue_month(text: Column) -> Column:
     """`Dec-2011` or `Dec-11` as the first day of that month; anything else is NULL.
 
     Two-digit years from 69 on belong to the 1900s; Spark alone would read all of them
-    as 20xx.
+    as 20xx. The text's length picks the format, as trying one after the other means a
+    costly parse failure for every row in the other form.
     """
     text = text.cast("string")
     short = F.try_to_date(text, "MMM-yy")
     pivoted = F.when(F.year(short) >= 2069, F.add_months(short, -1200)).otherwise(short)
-    return F.coalesce(F.try_to_date(text, "MMM-yyyy"), pivoted)
+    length = F.length(text)
+    return F.when(length == 8, F.try_to_date(text, "MMM-yyyy")).when(length == 6, pivoted)
 
 
 def row_hash(loan_id: Column) -> Column:

@@ -59,11 +59,11 @@ def portfolio_cube(loans: DataFrame, ts: str = "ingest_ts") -> DataFrame:
     return tally(enrich(loans, ts), *CUBE_KEYS)
 
 
-def _by(source: DataFrame, *keys: str) -> DataFrame:
-    """A tally per key, from a finer tally or from loans."""
+def _by(source: DataFrame, key: str, ts: str = "ingest_ts") -> DataFrame:
+    """A tally per key, from a cube or from loans."""
     if "n_loans" in source.columns:
-        return source.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _TALLIES])
-    return tally(source if "is_defaulted" in source.columns else enrich(source), *keys)
+        return source.groupBy(key).agg(*[F.sum(c).alias(c) for c in _TALLIES])
+    return tally(enrich(source, ts), key)
 
 
 def _percent(part: Column, whole: Column, digits: int) -> Column:
@@ -94,9 +94,12 @@ def default_rate_by_grade(source: DataFrame) -> DataFrame:
     ).orderBy("grade")
 
 
-def monthly_volume(source: DataFrame) -> DataFrame:
-    """Loans, lent volume and mean interest rate per month of the load timestamp."""
-    return _by(source, "issue_month").select(
+def monthly_volume(source: DataFrame, ts: str = "ingest_ts") -> DataFrame:
+    """Loans, lent volume and mean interest rate per month of the load timestamp, or of `ts`.
+
+    A cube has its months already; there `ts` was chosen when it was built.
+    """
+    return _by(source, "issue_month", ts).select(
         "issue_month", F.col("n_loans").alias("total_loans"), _volume(), _mean_rate()
     ).orderBy("issue_month")
 

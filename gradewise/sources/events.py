@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,22 +24,29 @@ def to_events(staged: DataFrame, limit: int | None = None) -> DataFrame:
     return events.select(F.col("loan_id").alias("key"), body.alias("value"))
 
 
-def _decode(messages: DataFrame, schema: T.StructType, value: str) -> DataFrame:
+def _decode(messages: DataFrame, schema: T.StructType, value: str, keep: list[str]) -> DataFrame:
+    """The kept columns, the schema's fields, and `_corrupt` where a record failed to parse."""
     with_corrupt = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     body = F.from_json(
         F.col(value).cast("string"),
         with_corrupt,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
     )
-    return messages.withColumn("_event", body)
+    # As a generator the decoding runs once per message. As a plain column it would be
+    # copied into every later filter on its fields and run again there.
+    return messages.select(*keep, F.inline(F.array(body)))
 
 
-def _unreadable(schema: T.StructType):
+def _blank(value: str) -> Column:
+    return F.coalesce(F.trim(F.col(value).cast("string")) == "", F.lit(True))
+
+
+def _unreadable(schema: T.StructType) -> Column:
     """The record failed to parse and not one declared field survived."""
-    empty = F.lit(True)
-    for f in schema:
-        empty = empty & F.col(f"_event.{f.name}").isNull()
-    return F.col("_event").isNull() | (F.col(f"_event.{_CORRUPT}").isNotNull() & empty)
+    failed = F.col(_CORRUPT).isNotNull()
+    for field in schema:
+        failed = failed & F.col(field.name).isNull()
+    return failed
 
 
 def parse_events(
@@ -50,10 +57,12 @@ def parse_events(
     A field of the wrong type becomes NULL and the rest of its record stays; a record that
     is no JSON object is dropped, and so is an empty message. Unknown fields are ignored.
     """
-    decoded = _decode(messages, schema, value).where(~_unreadable(schema))
-    return decoded.select(*keep, *[F.col(f"_event.{f.name}").alias(f.name) for f in schema])
+    decoded = _decode(messages.where(~_blank(value)), schema, value, list(keep))
+    return decoded.where(~_unreadable(schema)).drop(_CORRUPT)
 
 
 def reject_events(messages: DataFrame, schema: T.StructType = EVENT_SCHEMA, value: str = "value") -> DataFrame:
     """The messages that parse_events drops, unchanged."""
-    return _decode(messages, schema, value).where(_unreadable(schema)).drop("_event")
+    message = F.struct(*messages.columns).alias("_message")
+    decoded = _decode(messages.select(message, F.col(value).alias("_value")), schema, "_value", ["_message", "_value"])
+    return decoded.where(_blank("_value") | _unreadable(schema)).select("_message.*")

@@ -58,6 +58,11 @@ def test_known_figures(spark):
     ]
 
 
+def test_months_of_another_timestamp(loans):
+    shifted = loans.withColumn("paid_at", F.lit("2020-02-03").cast("timestamp"))
+    assert rows(reports.monthly_volume(shifted, ts="paid_at").select("total_loans")) == [(loans.count(),)]
+
+
 def test_empty_portfolio(loans):
     empty = loans.limit(0)
     assert rows(reports.default_rate_by_grade(empty)) == []

@@ -73,6 +73,21 @@ def test_raw_write_brings_months_together(raw, tmp_path):
             assert len([f for f in os.listdir(f"{path}/{folder}") if f.endswith(".parquet")]) <= 2
 
 
+def test_month_too_large_for_one_task_is_split(spark, raw, tmp_path):
+    """Loans without a date all share one partition folder, but not one task."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    undated = raw.withColumn("issue_date", F.lit(None).cast("date")).repartition(8)
+    before = spark.conf.get(key)
+    spark.conf.set(key, "32KB")
+    try:
+        files.write_raw(undated, str(tmp_path / "raw"))
+    finally:
+        spark.conf.set(key, before)
+    folder = tmp_path / "raw" / "issue_month=__HIVE_DEFAULT_PARTITION__"
+    assert len(list(folder.glob("*.parquet"))) > 1
+    assert files.read_raw(spark, str(tmp_path / "raw")).count() == raw.count()
+
+
 def test_tables(spark, raw, tmp_path):
     path = str(tmp_path / "raw")
     files.write_raw(raw, path)

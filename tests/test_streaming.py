@@ -136,28 +136,17 @@ def test_redelivered_batch_replaces_itself(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path)).count() == 7
 
 
-def test_jdbc_writer_stamps_rows():
-    """Only the call is checked here: it takes a database to run it."""
+def test_jdbc_writer_stamps_rows(spark, monkeypatch):
+    """Only the call is checked: running it takes a database."""
     calls = []
+    frame = spark.range(3)
 
-    class Writer:
-        def jdbc(self, *args, **kwargs):
-            calls.append((args, kwargs))
+    def jdbc(self, url, table, mode, properties):
+        calls.append((self._df.columns, self._df.first()["batch_id"], url, table, mode, properties))
 
-    class Frame:
-        write = Writer()
-
-        def withColumn(self, name, value):
-            calls.append(name)
-            return self
-
-    original = sinks.F
-    try:
-        sinks.F = type("F", (), {"lit": staticmethod(lambda v: type("C", (), {"cast": lambda s, t: v})())})
-        sinks.jdbc_batches("jdbc:x", "t", {"user": "u"})(Frame(), 7)
-    finally:
-        sinks.F = original
-    assert calls == ["batch_id", (("jdbc:x", "t"), {"mode": "append", "properties": {"user": "u"}})]
+    monkeypatch.setattr(type(frame.write), "jdbc", jdbc)
+    sinks.jdbc_batches("jdbc:x", "t", {"user": "u"})(frame, 7)
+    assert calls == [(["id", "batch_id"], 7, "jdbc:x", "t", "append", {"user": "u"})]
 
 
 def test_idle_topic_closes_by_the_clock(spark, streams, tmp_path):
