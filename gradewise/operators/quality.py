@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,43 +64,49 @@ def check_accepted(df: DataFrame, column: str, values: Sequence[str]) -> DataFra
     return outside.groupBy(column).agg(F.count("*").alias("n_records"))
 
 
+def _row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Failures of all row checks, from one pass over the rows.
+
+    The rows are first tallied per combination of the checked values, of which there are few;
+    the distinct offending values are then counted among those tallies.
+    """
+    by_value = [c for c in checks if c.kind == "accepted_values"]
+    nulls = [c for c in checks if c.kind == "not_null"]
+    columns = list(dict.fromkeys(c.column for c in by_value))
+    tallies = df.groupBy(*columns).agg(
+        F.count("*").alias("_rows"), *[F.count_if(c.violated()).alias(f"_{c.name}") for c in nulls]
+    )
+    counted = tallies.agg(
+        F.sum("_rows").alias("_rows"),
+        *[F.coalesce(F.sum(f"_{c.name}"), F.lit(0)).alias(c.name) for c in nulls],
+        *[F.count_distinct(F.when(c.violated(), F.col(c.column))).alias(c.name) for c in by_value],
+    )
+    rows = [
+        F.struct(
+            F.lit(c.name).alias("check_name"),
+            F.lit(c.column).alias("column_name"),
+            F.col(c.name).alias("failures"),
+        )
+        for c in checks
+    ]
+    return counted.select(F.inline(F.array(*rows)))
+
+
 def run_checks(df: DataFrame, checks: Sequence[Check] = STAGING_CHECKS) -> DataFrame:
     """Failures per check: `check_name, column_name, failures`.
 
     Not-null failures count rows; unique and accepted-values failures count the offending
-    values. All row checks share one pass that is never shuffled beyond its partial counts; a
-    uniqueness check adds a pass over its own column.
+    values. All row checks share one pass; each uniqueness check adds a pass over its own
+    column alone.
     """
-    row_checks = [c for c in checks if c.kind == "not_null"]
-    by_value = [c for c in checks if c.kind != "not_null"]
-    parts = []
-    if row_checks:
-        counted = df.agg(*[F.count_if(c.violated()).alias(c.name) for c in row_checks])
-        rows = F.array(*[
-            F.struct(
-                F.lit(c.name).alias("check_name"),
-                F.lit(c.column).alias("column_name"),
-                F.col(c.name).alias("failures"),
-            )
-            for c in row_checks
-        ])
-        parts.append(counted.select(F.inline(rows)))
-    for check in by_value:
+    row_checks = [c for c in checks if c.kind != "unique"]
+    parts = [_row_checks(df, row_checks)] if row_checks else []
+    for check in checks:
         if check.kind == "unique":
-            failing = check_unique(df, check.column)
-        else:
-            failing = check_accepted(df, check.column, check.values)
-        parts.append(
-            failing.agg(F.count("*").alias("failures")).select(
-                F.lit(check.name).alias("check_name"),
-                F.lit(check.column).alias("column_name"),
-                "failures",
-            )
-        )
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+            failures = check_unique(df, check.column).agg(F.count("*").alias("failures"))
+            name, column = F.lit(check.name).alias("check_name"), F.lit(check.column).alias("column_name")
+            parts.append(failures.select(name, column, "failures"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def require_passing(df: DataFrame, checks: Sequence[Check] = STAGING_CHECKS) -> DataFrame:

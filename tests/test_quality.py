@@ -67,6 +67,24 @@ def test_row_checks_shuffle_only_partial_counts(spark, good, plan, tmp_path):
     assert text.count("Exchange") == 1 and "Exchange SinglePartition" in text
 
 
+def test_row_checks_read_the_rows_once(spark, good, plan, tmp_path):
+    good.write.parquet(str(tmp_path / "stored"))
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    checks = [
+        *quality.STAGING_CHECKS,
+        quality.Check("accepted_values", "grade", list("ABCDEFG")),
+        quality.Check("accepted_values", "state", ["1", "2"]),
+    ]
+    assert plan(quality.run_checks(stored, checks)).count("FileScan parquet") == 2  # one is the uniqueness check's
+    counts = failures(stored, checks)
+    assert counts["accepted_values_grade"] == 1
+    assert counts["accepted_values_state"] == stored.where("state not in ('1', '2')").select("state").distinct().count()
+
+
+def test_no_rows(good):
+    assert not any(failures(good.limit(0)).values())
+
+
 def test_unknown_kind(good):
     with pytest.raises(ValueError):
         quality.Check("between", "grade").violated()
