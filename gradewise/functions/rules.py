@@ -88,8 +88,12 @@ def month_of(ts: Column) -> Column:
 
 
 def is_delinquent_event(status: Column, months: Column) -> Column:
-    """Event of a defaulted loan (exact spelling of the status) or one once delinquent."""
-    return default_flag(status, case_sensitive=True) | F.coalesce(months > 0, F.lit(False))
+    """Event of a defaulted loan (exact spelling of the status) or one once delinquent.
+
+    A filter predicate: it may be NULL, which a filter takes for false, and is left bare of
+    coalesce so that it reaches the Parquet scan.
+    """
+    return status.isin(DEFAULTED_STATUSES) | (months > 0)
 
 
 def has_delinquency(months: Column) -> Column:

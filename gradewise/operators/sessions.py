@@ -26,8 +26,8 @@ def sessionize(
     gap = gap_seconds * 1_000_000
     micros = F.unix_micros(F.col(ts))
     cells = (
-        events.select(F.col(key), micros.alias("at"), F.col(amount).alias("amount"))
-        .where(F.col("at").isNotNull())
+        events.where(F.col(ts).isNotNull())
+        .select(F.col(key), micros.alias("at"), F.col(amount).alias("amount"))
         .withColumn("cell", _start_of(F.col("at"), gap))
         .groupBy(key, "cell")
         .agg(

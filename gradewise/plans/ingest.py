@@ -63,7 +63,8 @@ def merge_into_raw(spark: SparkSession, staged_path: str, raw_path: str, dedupe_
     """Append the staged rows that the raw table lacks; returns how many rows were staged.
 
     One writer at a time. A run that dies half-way is repaired by running it again, as rows
-    already written are then found and skipped.
+    already written are then found and skipped. Only copies of one id inside a batch, kept
+    when `dedupe_batch` is off, can come out fewer after such a repair.
     """
     staged = spark.read.schema(RAW_SCHEMA).parquet(staged_path)
     staged_rows = staged.count()  # answered by the files' footers

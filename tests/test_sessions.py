@@ -56,6 +56,17 @@ def test_events_are_reduced_before_the_shuffle(spark, sf, plan):
     assert "partial_count" in text[first_exchange:]
 
 
+def test_delinquency_filter_reaches_the_scan(spark, sf, tmp_path, plan):
+    from gradewise import fixtures
+    from gradewise.streaming import windows
+
+    path = str(tmp_path / "events")
+    fixtures.loan_events(spark, sf).write.parquet(path)
+    pushed = plan(windows.delinquency_sessions(spark.read.parquet(path))).split("PushedFilters: ")[1]
+    assert "Or(In(loan_status" in pushed and "GreaterThan(mths_since_last_delinq,0)" in pushed
+    assert "user" not in pushed and "interest_rate" not in pushed
+
+
 def test_hot_grade(spark):
     """One grade with most of the events, many at the same instant."""
     n = 20_000
