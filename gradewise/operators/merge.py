@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gradewise.session import scratch_path
+
 # A key is a 32-character hash; hashed into a broadcast relation it takes around 100 bytes,
 # so this many keys stay near 200 MB per executor.
 BROADCAST_KEYS = 2_000_000
@@ -28,21 +30,47 @@ def new_rows(
     dedupe_batch: bool = False,
     batch_rows: int | None = None,
 ) -> DataFrame:
-    """Rows of `batch` whose key is not in `target`.
+    """Rows of `batch` whose key is not in `target`; a NULL key is never in it.
 
     Copies of a new key inside the batch are all kept unless `dedupe_batch` is set.
 
     `batch_rows` is the batch's known size. Up to BROADCAST_KEYS, the batch keys are sent to
     the target, which is then read on its key column alone and never shuffled; the keys found
-    are at most those of the batch, so they can be broadcast back. Beyond it, or when the
-    size is unknown, both sides are shuffled on the key, the target's reduced to distinct
-    keys beforehand; a frequent key in the batch is left to adaptive skew-join splitting.
+    are at most those of the batch, so they can be broadcast back.
+
+    Beyond it, or when the size is unknown, the batch's keys are settled first (see
+    `settle_keys`, which runs a job). If the keys held or the keys new are few, they are
+    broadcast and the batch's rows stay where they are; that is the usual case, as a reload
+    brings few new keys and a first load meets few held ones. Only otherwise are the
+    rows shuffled, straight from the batch to the join, so that adaptive execution can split
+    a frequent key.
     """
+    arriving = batch.select(key)
     if dedupe_batch:
         batch = one_row_per_key(batch, key)
-    target_keys = target.select(key)
     if batch_rows is not None and batch_rows <= BROADCAST_KEYS:
-        batch_keys = batch.select(key).distinct()
-        found = target_keys.join(F.broadcast(batch_keys), key, "left_semi").distinct()
+        found = target.select(key).join(F.broadcast(arriving.distinct()), key, "left_semi").distinct()
         return batch.join(F.broadcast(found), key, "left_anti")
-    return batch.join(target_keys.distinct(), key, "left_anti")
+    settled = settle_keys(arriving, target, key)
+    held, new = (settled.where(F.col("held") == flag).select(F.col(key).alias("_key")) for flag in (True, False))
+    n_held, n_new = held.count(), new.count()
+    if n_new < n_held and n_new <= BROADCAST_KEYS:
+        return batch.join(F.broadcast(new), F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+    if n_held <= BROADCAST_KEYS:
+        held = F.broadcast(held)
+    return batch.join(held, F.col(key) == F.col("_key"), "left_anti")
+
+
+def settle_keys(batch: DataFrame, target: DataFrame, key: str = "row_hash") -> DataFrame:
+    """Each key of the batch once, and whether the target holds it; written to the scratch folder.
+
+    One aggregate over the keys of both sides: copies of a key are reduced before the
+    shuffle, so a key that fills a third of either side is no burden.
+    """
+    sides = batch.select(key, F.lit(True).alias("arrives")).union(target.select(key, F.lit(False)))
+    keys = sides.groupBy(key).agg(
+        F.bool_or("arrives").alias("arrives"), (~F.bool_and("arrives") & F.col(key).isNotNull()).alias("held")
+    )
+    path = scratch_path(batch.sparkSession, "merge-keys")
+    keys.where("arrives").select(key, "held").write.parquet(path)
+    return batch.sparkSession.read.parquet(path)

@@ -71,10 +71,37 @@ def test_known_small_batch_does_not_shuffle_the_target(spark, raw, tmp_path, pla
     assert "ReadSchema: struct<row_hash:string>" in text
 
 
-def test_large_batch_is_not_broadcast_by_hint(spark, raw):
-    size = merge.BROADCAST_KEYS + 1
-    logical = merge.new_rows(raw, raw, batch_rows=size)._jdf.queryExecution().logical().toString()
-    assert "ResolvedHint" not in logical and "UnresolvedHint" not in logical
+def test_large_batch_broadcasts_the_smaller_answer(spark, raw, monkeypatch, plan, tmp_path):
+    """Few new keys, few held keys, many of both: three plans, one result."""
+    monkeypatch.setattr(merge, "BROADCAST_KEYS", 100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        raw.select("row_hash", "id").write.parquet(str(tmp_path / "batch"))
+        batch = spark.read.parquet(str(tmp_path / "batch"))
+        n = batch.count()
+        for held, join in ((n - 50, "LeftSemi"), (50, "LeftAnti"), (n // 2, None)):
+            batch.orderBy("id").limit(held).write.parquet(str(tmp_path / f"target-{held}"))
+            added = merge.new_rows(batch, spark.read.parquet(str(tmp_path / f"target-{held}")))
+            text = plan(added)
+            if join:
+                assert "BroadcastHashJoin" in text and join in text and "SortMergeJoin" not in text
+            else:
+                # Both sides come straight from their shuffle, the form that skew splitting needs.
+                assert "SortMergeJoin" in text and "HashAggregate" not in text
+            assert added.count() == n - held
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("limit", [0, 1, 100])
+@pytest.mark.parametrize("batch_rows", [None, 0])
+def test_null_keys_are_always_new(spark, monkeypatch, limit, batch_rows):
+    monkeypatch.setattr(merge, "BROADCAST_KEYS", limit)
+    target = frame(spark, [(None, 1), ("a", 1), ("b", 1), ("c", 1)])
+    batch = frame(spark, [(None, 2), (None, 3), ("a", 2), ("b", 2), ("z", 2)])
+    assert rows(merge.new_rows(batch, target, batch_rows=batch_rows)) == sorted(
+        [(None, 2), (None, 3), ("z", 2)], key=str
+    )
 
 
 def test_hot_key_in_batch_and_target(spark):
@@ -86,3 +113,5 @@ def test_hot_key_in_batch_and_target(spark):
     expected = n // 2 - n // 6
     for size in (None, n):
         assert merge.new_rows(batch, target, batch_rows=size).count() == expected
+    fresh = merge.new_rows(batch, target.where("row_hash != 'hot'"), dedupe_batch=True)
+    assert fresh.count() == expected + 1
