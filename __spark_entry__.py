@@ -34,6 +34,14 @@ from gradewise.sources import files, tables
 from gradewise.streaming import counter, sinks, windows
 from gradewise.streaming.runner import start_query
 
+try:
+    from gradewise.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    # The subpackage and the pipeline over it may be left out; anything else that is missing is an error.
+    if missing.name not in ("gradewise.llm", "corpus_pipeline"):
+        raise
+    llm_queries = None
+
 ENTRY_DIR = "/root/testdata/sf0.001"
 
 # Loans loaded before this day are "already in the raw table" in the merge queries.
@@ -369,6 +377,11 @@ def delinquency_counter(spark, sf):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query by name."""
+    return own_queries() | (llm_queries.queries() if llm_queries else {})
+
+
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries of this library without its subpackage `llm`."""
     return {
         "scan_loans": scan_loans,
         "external_view": external_view,
@@ -576,6 +589,11 @@ _RATES = f"""{_round("avg(is_defaulted) * 100", 2)} AS default_rate_pct"""
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query, over the same tables."""
+    return own_sql() | (llm_queries.oracle_sql() if llm_queries else {})
+
+
+def own_sql() -> dict[str, str]:
+    """The SQL of `own_queries`."""
     loaded = f"ingest_ts < TIMESTAMP '{LOADED_BEFORE:%Y-%m-%d %H:%M:%S}'"
     raw_columns = ", ".join(RAW_SCHEMA.fieldNames())
     merged = f"""WITH {_RAW}

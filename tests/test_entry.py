@@ -14,7 +14,7 @@ def con(sf):
 
 
 def test_names_agree():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.own_queries()) == set(entry.own_sql())
 
 
 def test_flagship(spark):
@@ -25,8 +25,8 @@ def test_flagship(spark):
     assert result.count() == 9
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.own_queries()))
 def test_query_equals_sql(spark, sf, con, name):
-    rows, problems = compare(entry.queries()[name](spark, sf), con, entry.oracle_sql()[name])
+    rows, problems = compare(entry.own_queries()[name](spark, sf), con, entry.own_sql()[name])
     assert not problems
     assert rows > 0
