@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradewise.llm import decontaminate, quality_rules
+from gradewise.llm import bpe, decontaminate, quality_rules, warc
+from gradewise.session import scratch_path
 
 
 def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -19,6 +20,24 @@ def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.score(docs, quality_rules.train(docs, _read(spark, sf, "labels")))
 
 
+def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    coded = bpe.encode(_read(spark, sf, "documents"))
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("packed_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
+    pages = _read(spark, sf, "pages")
+    path = scratch_path(spark, "warc")
+    warc.write(pages, path)
+    key = pages.schema["page_id"].dataType
+    return warc.read_back(spark, path, payloads=False).select(
+        F.col("page").cast(key).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast(key).alias("refers_to"),
+    )
+
+
 def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.find(_read(spark, sf, "documents"), _read(spark, sf, "benchmark"))
     return found.select(
@@ -30,6 +49,8 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_quality_rules": op4_quality_rules,
+        "op7_bpe": op7_bpe,
+        "op9_warc": op9_warc,
         "op10_decontaminate": op10_decontaminate,
     }
 
@@ -67,5 +88,15 @@ FROM words LEFT JOIN n_hit ON id = n_hit.doc_id LEFT JOIN found ON id = found.do
 """
 
 
+_OP9 = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+q AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS f FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= 100 AND page_id <> f THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id <> f THEN f END AS refers_to
+FROM q
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_decontaminate": _OP10}
+    return {"op9_warc": _OP9, "op10_decontaminate": _OP10}

@@ -32,7 +32,7 @@ BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
-def _power(kind: str, size: int) -> np.ndarray:
+def power(kind: str, size: int) -> np.ndarray:
     held = _powers[kind]
     if len(held) < size:
         base = BASE if kind == "up" else BASE_INVERSE
@@ -86,10 +86,10 @@ class Texts:
         if key not in self._sums:
             sums = np.empty(len(self.data) + 1, np.uint64)
             sums[0] = 0
-            np.cumsum(codes[self.data] * _power("up", len(self.data)), out=sums[1:])
+            np.cumsum(codes[self.data] * power("up", len(self.data)), out=sums[1:])
             self._sums[key] = sums
         sums = self._sums[key]
-        down = _power("down", len(self.data) + 1)
+        down = power("down", len(self.data) + 1)
         return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * BASE)
 
     def counted(self, positions: np.ndarray) -> np.ndarray:
