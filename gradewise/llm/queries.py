@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradewise.llm import bpe, decontaminate, quality_rules, warc
+from gradewise.llm import bpe, decontaminate, quality_rules, setsketch, warc
 from gradewise.session import scratch_path
 
 
@@ -20,6 +20,10 @@ def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.score(docs, quality_rules.train(docs, _read(spark, sf, "labels")))
 
 
+def op5_setsketch(spark: SparkSession, sf: str) -> DataFrame:
+    return setsketch.groups(_read(spark, sf, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
     coded = bpe.encode(_read(spark, sf, "documents"))
     return coded.select(
@@ -49,6 +53,7 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_quality_rules": op4_quality_rules,
+        "op5_setsketch": op5_setsketch,
         "op7_bpe": op7_bpe,
         "op9_warc": op9_warc,
         "op10_decontaminate": op10_decontaminate,
@@ -88,6 +93,34 @@ FROM words LEFT JOIN n_hit ON id = n_hit.doc_id LEFT JOIN found ON id = found.do
 """
 
 
+_OP5 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM words WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * common >= 85 * (x.n + y.n - common)
+),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM words
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+),
+found AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM found LEFT JOIN sizes USING (doc_id)
+"""
+
 _OP9 = """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
 q AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS f FROM p)
@@ -99,4 +132,4 @@ FROM q
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_warc": _OP9, "op10_decontaminate": _OP10}
+    return {"op5_setsketch": _OP5, "op9_warc": _OP9, "op10_decontaminate": _OP10}
