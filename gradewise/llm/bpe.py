@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from gradewise.llm import tokens
 
-CACHE_PIECES = 2_000_000
+CACHE_PIECES = 1_000_000
 CHUNK_BYTES = 3 << 20
 # Fixed value: the split pattern that `Pieces` finds by array operations; any other goes through `regex`.
 COMMON_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"

@@ -56,10 +56,10 @@ def shingles(texts: tokens.Texts) -> tuple[np.ndarray, np.ndarray]:
     keys, at = tokens.windows(words, first, SHINGLE)
     owner = tokens.owners(first)[at] if len(at) else at
     for i in np.flatnonzero((np.diff(first) > 0) & (np.diff(first) < SHINGLE)):
-        few = np.uint64(first[i + 1] - first[i])
-        for h in words[first[i]: first[i + 1]]:
-            few = few * tokens.BASE + h
-        keys, owner = np.append(keys, tokens.mix(np.array([few]))), np.append(owner, i)
+        few = np.full(1, first[i + 1] - first[i], np.uint64)
+        for k in range(first[i], first[i + 1]):
+            few = few * tokens.BASE + words[k: k + 1]
+        keys, owner = np.append(keys, tokens.mix(few)), np.append(owner, i)
     _, later = tokens.repeated(tokens.mix(keys ^ (owner.astype(np.uint64) * tokens.BASE)))
     keys, owner = keys[~later], owner[~later]
     order = np.argsort(owner, kind="stable")

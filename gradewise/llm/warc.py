@@ -1,10 +1,10 @@
 """WARC archives with a two-level capture index.
 
-`write` range-partitions pages by their reversed-host URL key and sorts each part. A part becomes one archive of
-gzip members, one a record, and one index of compressed blocks of `BLOCK_LINES` lines in key order. The
+`write` stores pages in archives of gzip members, one a record, in the order in which they come. Their index lines, which
+are small, are range-partitioned and sorted by reversed-host URL key and stored in compressed blocks of `BLOCK_LINES` lines. The
 directory, a Parquet table, has one row for each block: its first and last key and where it lies. `read_back` reads every
-record through it; `lookup` binary-searches the directory for URLs, then the block, and range-reads just those
-records.
+record through it, in archive order; `lookup` binary-searches the directory for URLs, then the block, and range-reads just
+those records.
 
 Files go through Arrow's file systems to a folder that all machines share, under a name of the task's own; only
 what a finished task reports reaches the directory, so a lost or repeated task leaves at most an unused
@@ -24,7 +24,7 @@ import posixpath
 import re
 import uuid
 import zlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,16 +32,17 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradewise.session import scratch_path
+from gradewise.llm.tables import stored
 
 BLOCK_LINES = 300
 REVISIT_BYTES = 100
-READ_BYTES = 64 << 20
+READ_BYTES = 8 << 20
 LOOKUP_BYTES = 8 << 20
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"  # pages carry no capture time
-DIRECTORY = "first_key string, last_key string, archive string, index string, offset long, length long, lines long, bytes long"
+CAPTURE = "key string, archive string, offset long, length long, kind string, page string"
+DIRECTORY = "first_key string, last_key string, index string, offset long, length long, lines long, bytes long"
 
 
 def url_key(url: str | Column) -> Column:
@@ -84,23 +85,19 @@ def _gzip(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-def classify(pages: DataFrame, *, id_col: str, body_col: str) -> tuple[DataFrame, DataFrame]:
-    """(payload sizes and digests as stored, revisits as `id`, `digest`, `refers_to`); no payload is shuffled."""
-    spark = pages.sparkSession
+def revisits(pages: DataFrame, *, id_col: str, body_col: str) -> DataFrame:
+    """(`id`, `digest`, `refers_to`) of the pages whose payload another page holds; no payload is shuffled."""
     body = F.coalesce(F.col(body_col), F.lit(""))
-    stored = scratch_path(spark, "digests")
-    pages.select(
+    sizes = stored(pages.select(
         F.col(id_col).alias("id"), F.sha2(body, 256).alias("digest"), F.octet_length(body).cast("long").alias("size"),
-    ).write.parquet(stored)
-    sizes = spark.read.parquet(stored)
+    ), "digests")
     large = sizes.where(F.col("size") >= REVISIT_BYTES)
     firsts = large.groupBy("digest").agg(F.min("id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
-    revisits = (
+    return (
         large.join(firsts.drop("n"), "digest")
         .where(F.col("refers_to").isNotNull() & ~F.col("id").eqNullSafe(F.col("refers_to")))
         .select("id", "digest", "refers_to").distinct()
     )
-    return sizes, revisits
 
 
 def write(
@@ -108,75 +105,100 @@ def write(
 ) -> DataFrame:
     """Write archives, indexes and the directory below `path`; returns the directory."""
     spark = pages.sparkSession
-    _, revisits = classify(pages, id_col=id_col, body_col=body_col)
     body = F.coalesce(F.col(body_col), F.lit(""))
     rows = pages.select(
         url_key(url_col).alias("key"), F.col(id_col).alias("id"), F.col(url_col).alias("url"), body.alias("body"),
         F.sha2(body, 256).alias("digest"),
     )
-    marks = revisits.select(F.col("id").alias("r_id"), F.col("digest").alias("r_digest"), "refers_to")
+    marks = revisits(pages, id_col=id_col, body_col=body_col).select(F.col("id").alias("r_id"), F.col("digest").alias("r_digest"), "refers_to")
     joined = rows.join(marks, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("digest") == F.col("r_digest")), "left")
-    arranged = (
-        joined.select("key", F.col("id").cast("string").alias("page"), "url", "body", "digest",
-                      F.col("refers_to").cast("string").alias("refers_to"), "id")
-        .repartitionByRange("key", "id").sortWithinPartitions("key", "id").drop("id")
+    records = joined.select(
+        "key", F.col("id").cast("string").alias("page"), "url", "body", "digest", F.col("refers_to").cast("string").alias("refers_to"),
     )
-    arranged.mapInArrow(_writer(path), DIRECTORY).write.parquet(f"{path}/directory")
+    captures = stored(records.mapInArrow(_archive_writer(path), CAPTURE), "captures")
+    ordered = captures.repartitionByRange("key", "archive", "offset").sortWithinPartitions("key", "archive", "offset")
+    ordered.mapInArrow(_index_writer(path), DIRECTORY).write.parquet(f"{path}/directory")
     return spark.read.schema(DIRECTORY).parquet(f"{path}/directory")
 
 
-def _writer(path: str):
+class _Output:
+    """A file of the task's own below one archive folder, made when it is first written to."""
+
+    def __init__(self, path: str, ending: str):
+        self.path, self.name, self.file, self.at = path, f"{uuid.uuid4().hex}.{ending}", None, 0
+
+    def write(self, data: bytes) -> int:
+        """Where the data begins."""
+        if self.file is None:
+            store, root = _files(self.path)
+            store.create_dir(posixpath.join(root, "parts"), recursive=True)
+            self.file = store.open_output_stream(posixpath.join(root, "parts", self.name), compression=None)
+        self.file.write(data)
+        self.at += len(data)
+        return self.at - len(data)
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
+
+
+def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[list[dict]]:
+    for batch in batches:
+        for k in range(0, len(batch), rows):
+            yield batch.slice(k, rows).to_pylist()
+
+
+def _archive_writer(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = _files(path)
-        name = uuid.uuid4().hex
-        archive = index = None
-        lines: list[tuple[str, str]] = []
-        rows: list[dict] = []
-        at = index_at = size = 0
-
-        def close_block() -> None:
-            nonlocal index_at, size
-            packed = _gzip("".join(line for _, line in lines).encode())
-            index.write(packed)
-            rows.append({
-                "first_key": lines[0][0], "last_key": lines[-1][0], "archive": f"{name}.warc.gz", "index": f"{name}.cdx.gz",
-                "offset": index_at, "length": len(packed), "lines": len(lines), "bytes": size,
-            })
-            index_at += len(packed)
-            size = 0
-            lines.clear()
-
-        for batch in batches:
-            for row in (r for k in range(0, len(batch), 256) for r in batch.slice(k, 256).to_pylist()):
-                if archive is None:
-                    store.create_dir(posixpath.join(root, "parts"), recursive=True)
-                    archive = store.open_output_stream(posixpath.join(root, "parts", f"{name}.warc.gz"), compression=None)
-                    index = store.open_output_stream(posixpath.join(root, "parts", f"{name}.cdx.gz"), compression=None)
+        archive = _Output(path, "warc.gz")
+        for rows in _slices(batches, 256):
+            captures = []
+            for row in rows:
                 payload = row["body"].encode("utf-8", "surrogatepass")
                 kind = "response" if row["refers_to"] is None else "revisit"
                 packed = _gzip(_record(
                     kind, row["page"], row["url"], payload, row["digest"], len(payload), row["refers_to"],
                 ))
-                archive.write(packed)
-                lines.append((row["key"], f"{row['key']} {at} {len(packed)} {kind} {row['page']}\n"))
-                at += len(packed)
-                size += len(payload)
-                if len(lines) == BLOCK_LINES:
-                    close_block()
-        if lines:
-            close_block()
-        for file in (archive, index):
-            if file is not None:
-                file.close()
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=_arrow_directory())
+                captures.append({
+                    "key": row["key"], "archive": archive.name, "offset": archive.write(packed), "length": len(packed),
+                    "kind": kind, "page": row["page"],
+                })
+            yield pa.RecordBatch.from_pylist(captures, schema=_arrow(CAPTURE))
+        archive.close()
+
+    return run
+
+
+def _index_writer(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = _Output(path, "cdx.gz")
+        held: list[dict] = []
+
+        def block(rows: list[dict]) -> dict:
+            lines = (f"{r['key']} {r['archive']} {r['offset']} {r['length']} {r['kind']} {r['page']}\n" for r in rows)
+            packed = _gzip("".join(lines).encode("utf-8", "surrogatepass"))
+            return {
+                "first_key": rows[0]["key"], "last_key": rows[-1]["key"], "index": index.name, "offset": index.write(packed),
+                "length": len(packed), "lines": len(rows), "bytes": sum(r["length"] for r in rows),
+            }
+
+        for rows in _slices(batches, 4096):
+            held += rows
+            full = len(held) - len(held) % BLOCK_LINES
+            blocks = [block(held[k: k + BLOCK_LINES]) for k in range(0, full, BLOCK_LINES)]
+            held = held[full:]
+            if blocks:
+                yield pa.RecordBatch.from_pylist(blocks, schema=_arrow(DIRECTORY))
+        if held:
+            yield pa.RecordBatch.from_pylist([block(held)], schema=_arrow(DIRECTORY))
+        index.close()
 
     return run
 
 
-def _arrow_directory() -> pa.Schema:
-    kinds = {"string": pa.string(), "long": pa.int64()}
-    return pa.schema([(n, kinds[k]) for n, k in (c.split() for c in DIRECTORY.split(", "))])
+def _arrow(schema: str) -> pa.Schema:
+    kinds = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
+    return pa.schema([(n, kinds[k]) for n, k in (c.split() for c in schema.split(", "))])
 
 
 class _Reader:
@@ -194,10 +216,10 @@ class _Reader:
         self.file.seek(offset)
         return self.file.read(length)
 
-    def block(self, row: dict) -> list[tuple[str, int, int]]:
-        """(key, offset, length) of a block's records, in key order."""
-        text = zlib.decompress(self.read(row["index"], row["offset"], row["length"]), 31).decode()
-        return [(f[0], int(f[1]), int(f[2])) for f in (line.split(" ") for line in text.split("\n") if line)]
+    def block(self, row: dict) -> list[tuple[str, str, int, int]]:
+        """(key, archive, offset, length) of a block's records, in key order."""
+        text = zlib.decompress(self.read(row["index"], row["offset"], row["length"]), 31).decode("utf-8", "surrogatepass")
+        return [(f[0], f[1], int(f[2]), int(f[3])) for f in (line.split(" ") for line in text.split("\n") if line)]
 
 
 RECORD = "page string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, payload binary"
@@ -220,31 +242,31 @@ def _told(data: bytes) -> dict:
     }
 
 
-def _arrow_record() -> pa.Schema:
-    kinds = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
-    return pa.schema([(n, kinds[k]) for n, k in (c.split() for c in RECORD.split(", "))])
-
-
 def read_back(spark: SparkSession, path: str, *, payloads: bool = True) -> DataFrame:
-    """Every record of the archives below `path`; a response's digest is computed from what was read."""
+    """Every record of the archives below `path`; a response's digest is checked against what was read."""
     directory = spark.read.schema(DIRECTORY).parquet(f"{path}/directory")
     total = directory.agg(F.count("*").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
-    tasks = max(total.bytes // READ_BYTES, min(total.n, 4 * spark.sparkContext.defaultParallelism), 1)
+    spread = max(1, min(total.n, 4 * spark.sparkContext.defaultParallelism))
+    tasks = max(1, total.bytes // READ_BYTES, min(total.n, 4 * spark.sparkContext.defaultParallelism))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = _Reader(path)
+        for rows in _slices(batches, 64):
+            found = [{"archive": a, "offset": o, "length": n} for row in rows for _, a, o, n in reader.block(row)]
+            yield pa.RecordBatch.from_pylist(found, schema=_arrow("archive string, offset long, length long"))
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(path)
-        for batch in batches:
-            for row in batch.to_pylist():
-                entries = reader.block(row)
-                first = entries[0][1]
-                # A block's records lie one behind the other.
-                span = reader.read(row["archive"], first, entries[-1][1] + entries[-1][2] - first)
-                told = [_told(span[o - first: o - first + n]) for _, o, n in entries]
-                if not payloads:
-                    told = [t | {"payload": None} for t in told]
-                yield pa.RecordBatch.from_pylist(told, schema=_arrow_record())
+        for rows in _slices(batches, 256):
+            told = [_told(reader.read(r["archive"], r["offset"], r["length"])) for r in rows]
+            if not payloads:
+                told = [t | {"payload": None} for t in told]
+            yield pa.RecordBatch.from_pylist(told, schema=_arrow(RECORD))
 
-    return directory.repartition(int(tasks), "index", "offset").sortWithinPartitions("index", "offset").mapInArrow(run, RECORD)
+    found = directory.repartition(spread, "index", "offset").mapInArrow(entries, "archive string, offset long, length long")
+    stripe = (F.col("offset") / READ_BYTES).cast("long")
+    dealt = found.repartition(int(tasks), "archive", stripe).sortWithinPartitions("archive", "offset")
+    return dealt.mapInArrow(records, RECORD)
 
 
 def lookup(spark: SparkSession, path: str, urls: DataFrame, *, url_col: str = "url") -> DataFrame:
@@ -263,21 +285,18 @@ def lookup(spark: SparkSession, path: str, urls: DataFrame, *, url_col: str = "u
 def _looker(path: str, keys: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(path)
-        for batch in batches:
-            for row in batch.to_pylist():
-                at = bisect_left(keys, row["first_key"])
-                if at == len(keys) or keys[at] > row["last_key"]:
+        for rows in _slices(batches, 1024):
+            for row in rows:
+                low, high = bisect_left(keys, row["first_key"]), bisect_right(keys, row["last_key"])
+                if low == high:
                     continue
-                entries = reader.block(row)
-                names = [e[0] for e in entries]
+                lines = reader.block(row)
+                names = [line[0] for line in lines]
                 told = []
-                while at < len(keys) and keys[at] <= row["last_key"]:
-                    i = bisect_left(names, keys[at])
-                    while i < len(names) and names[i] == keys[at]:
-                        told.append(_told(reader.read(row["archive"], entries[i][1], entries[i][2])))
-                        i += 1
-                    at += 1
+                for key in keys[low:high]:
+                    for _, archive, offset, length in lines[bisect_left(names, key): bisect_right(names, key)]:
+                        told.append(_told(reader.read(archive, offset, length)))
                 if told:
-                    yield pa.RecordBatch.from_pylist(told, schema=_arrow_record())
+                    yield pa.RecordBatch.from_pylist(told, schema=_arrow(RECORD))
 
     return run
