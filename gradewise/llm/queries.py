@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradewise.llm import bpe, decontaminate, quality_rules, setsketch, warc
+from gradewise.llm import bpe, decontaminate, kneser_ney, quality_rules, setsketch, warc
+from gradewise.llm.labels import held_out
 from gradewise.session import scratch_path
 
 
@@ -15,6 +16,13 @@ def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
+def op2_kneser_ney(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _read(spark, sf, "documents")
+    held = held_out("doc_id", 7, 2)
+    scored = kneser_ney.score(docs, kneser_ney.train(docs.where(~held)))
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = _read(spark, sf, "documents")
     return quality_rules.score(docs, quality_rules.train(docs, _read(spark, sf, "labels")))
@@ -52,6 +60,7 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_kneser_ney": op2_kneser_ney,
         "op4_quality_rules": op4_quality_rules,
         "op5_setsketch": op5_setsketch,
         "op7_bpe": op7_bpe,
