@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradewise.llm import bpe, decontaminate, kneser_ney, quality_rules, setsketch, warc
+from gradewise.llm import bpe, decontaminate, kneser_ney, pii, quality_rules, setsketch, warc
 from gradewise.llm.labels import held_out
 from gradewise.session import scratch_path
 
@@ -39,6 +39,16 @@ def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _read(spark, sf, "documents")
+    found = pii.find(docs, pii.train(docs))
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     pages = _read(spark, sf, "pages")
     path = scratch_path(spark, "warc")
@@ -64,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality_rules": op4_quality_rules,
         "op5_setsketch": op5_setsketch,
         "op7_bpe": op7_bpe,
+        "op8_pii": op8_pii,
         "op9_warc": op9_warc,
         "op10_decontaminate": op10_decontaminate,
     }
