@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradewise.llm import bpe, decontaminate, kneser_ney, pii, quality_rules, setsketch, warc
+from gradewise.llm import bpe, decontaminate, kneser_ney, pii, quality_rules, rule_ensemble, setsketch, warc
 from gradewise.llm.labels import held_out
 from gradewise.session import scratch_path
 
@@ -23,6 +23,12 @@ def op2_kneser_ney(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
+def op3_rule_ensemble(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _read(spark, sf, "documents")
+    scored = rule_ensemble.score(docs, rule_ensemble.train(docs, _read(spark, sf, "labels")))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = _read(spark, sf, "documents")
     return quality_rules.score(docs, quality_rules.train(docs, _read(spark, sf, "labels")))
@@ -71,6 +77,7 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_kneser_ney": op2_kneser_ney,
+        "op3_rule_ensemble": op3_rule_ensemble,
         "op4_quality_rules": op4_quality_rules,
         "op5_setsketch": op5_setsketch,
         "op7_bpe": op7_bpe,
