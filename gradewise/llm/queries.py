@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradewise.llm import bpe, decontaminate, kneser_ney, pii, quality_rules, rule_ensemble, setsketch, warc
+from gradewise.llm import bpe, decontaminate, kneser_ney, pii, quality_rules, rule_ensemble, setsketch, toxicity, warc
 from gradewise.llm.labels import held_out
 from gradewise.session import scratch_path
 
@@ -38,6 +38,12 @@ def op5_setsketch(spark: SparkSession, sf: str) -> DataFrame:
     return setsketch.groups(_read(spark, sf, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _read(spark, sf, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, _read(spark, sf, "labels")))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
     coded = bpe.encode(_read(spark, sf, "documents"))
     return coded.select(
@@ -80,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_rule_ensemble": op3_rule_ensemble,
         "op4_quality_rules": op4_quality_rules,
         "op5_setsketch": op5_setsketch,
+        "op6_toxicity": op6_toxicity,
         "op7_bpe": op7_bpe,
         "op8_pii": op8_pii,
         "op9_warc": op9_warc,
