@@ -7,15 +7,16 @@ ones of both, and two sets agree in a register about as often as their Jaccard s
 
 1. Texts with equal sets (by a 128-bit fingerprint) become one node.
 2. Registers are banded; nodes that agree in a band share a bucket.
-3. Every node is estimated against its buckets' leaders: the similarity of greatest likelihood, given how many registers are larger,
-   equal and smaller. Of those that may reach the threshold the best is verified on the full sets, then the others that would
-   still join two components.
-4. What is left of each bucket is compared until no two nodes of different components are uncompared: in each round
+3. Shingles are counted over the texts of those nodes. A pair can't share shingles that only one of the two has, which bounds its
+   similarity exactly; nodes with too many shingles of their own are linked with nothing and leave.
+4. Every node is estimated against its buckets' leaders: the similarity of greatest likelihood, given how many registers are larger,
+   equal and smaller. Of those that may reach the threshold the best is verified on the full sets.
+5. What is left of each bucket is compared until no two nodes of different components are uncompared: in each round
    at most about `LEADERS` nodes outside a bucket's largest component meet all the others, in chunks of about `CHUNK` nodes.
 
 So a group of n near copies costs about n verified pairs instead of n²/2, no task gets a whole bucket and no
 link between nodes that share a bucket is passed over. Two sets at the threshold share no bucket with probability
-(1 - 0.85^5)^24 < 1e-6, and the estimate's margin is five standard deviations.
+(1 - 0.85^5)^24 < 1e-6 (7e-5 at 0.8), and the estimate's margin is five standard deviations.
 
 Defined results: null and empty texts have no set, are linked with nothing and stay; rows with a null id likewise, with a
 null component; repeated rows are copies of each other, and `keep_one` keeps one of them; other columns don't matter.
@@ -141,42 +142,48 @@ def sketch(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_sketcher, f"id {key}, {SKETCH}")
 
 
-def _may_link(a, b, n_a, n_b) -> np.ndarray:
-    return (100 * np.minimum(n_a, n_b) >= PERCENT * np.maximum(n_a, n_b)) & (estimate(a, b, n_a, n_b) >= PERCENT / 100 - MARGIN)
+def _may_link(a, b, n_a, n_b, m_a, m_b, percent: int) -> np.ndarray:
+    """Whether pairs of sets of sizes n, of which m shingles are in other texts too, may reach the similarity."""
+    most = np.minimum(m_a, m_b)
+    bound = (100 + percent) * most >= percent * (n_a + n_b)
+    out = np.zeros(len(bound), bool)
+    at = np.flatnonzero(bound)
+    out[at] = estimate(a[at], b[at], n_a[at], n_b[at]) >= percent / 100 - MARGIN
+    return out
 
 
 def _rows(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
 
 
-def _estimator(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for k in range(0, len(whole), 1024):
-            batch = whole.slice(k, 1024)
-            n_a, n_b = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-            got = estimate(_rows(batch.column(4)), _rows(batch.column(5)), n_a, n_b)
-            sized = 100 * np.minimum(n_a, n_b) >= PERCENT * np.maximum(n_a, n_b)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(got)], names=["a", "b", "similarity"],
-            ).filter(pa.array(sized & (got >= PERCENT / 100 - MARGIN)))
-
-
-def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (`a`, `b`) of nodes those that may be linked, with the estimated similarity."""
-    of_a = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"))
-    of_b = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for k in range(0, len(whole), 1024):
+                batch = whole.slice(k, 1024)
+                n_a, n_b, m_a, m_b = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4, 5))
+                r_a, r_b = _rows(batch.column(6)), _rows(batch.column(7))
+                keep = np.flatnonzero(_may_link(r_a, r_b, n_a, n_b, m_a, m_b, percent))
+                got = estimate(r_a[keep], r_b[keep], n_a[keep], n_b[keep])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(keep)), batch.column(1).take(pa.array(keep)), pa.array(got)], names=["a", "b", "similarity"],
+                )
+
+    sides = [
+        nodes.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "m", "registers"))) for x in ("a", "b")
+    ]
     return (
-        pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "n_a", "n_b", "r_a", "r_b")
-        .mapInArrow(_estimator, "a long, b long, similarity double")
+        pairs.join(sides[1], "b").join(sides[0], "a").select("a", "b", "n_a", "n_b", "m_a", "m_b", "registers_a", "registers_b")
+        .mapInArrow(judge, "a long, b long, similarity double")
     )
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of the pairs (`a`, `b`) those whose full sets are similar enough; `texts`: node, n, text.
+def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Of the distinct pairs (`a`, `b`) those whose full sets are similar enough; `texts`: node, n, text.
 
     The pairs of one `a` are dealt to chunks of about `CHUNK_SHINGLES` shingles, each with its copy of a's text.
     """
-    pairs = pairs.select("a", "b").distinct()
     sized = pairs.join(texts.select(F.col("node").alias("b"), "n"), "b")
     parts = sized.groupBy("a").agg(F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("long").alias("parts"))
     dealt = sized.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
@@ -186,27 +193,46 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         .join(texts.select(F.col("node").alias("a"), "text"), "a")
         .select("a", "part", F.col("a").alias("b"), "text")
     )
-    return members.unionByName(heads).groupBy("a", "part").applyInArrow(_verify, "a long, b long")
-
-
-def _verify(table: pa.Table) -> pa.Table:
-    a, nodes = table.column("a")[0].as_py(), table.column("b").to_pylist()
-    sets: dict[int, np.ndarray] = {}
-    row = 0
-    for chunk in table.column("text").chunks:
-        for _, _, texts in tokens.chunks(chunk):
-            keys, first = shingles(texts)
-            for i in range(len(texts)):
-                sets[nodes[row]] = np.sort(keys[first[i]: first[i + 1]])
-                row += 1
-    own = sets[a]
-    linked = []
-    for b, other in sets.items():
-        at = np.minimum(np.searchsorted(own, other), len(own) - 1)
-        both = int((own[at] == other).sum())
-        if b != a and 100 * both >= PERCENT * (len(own) + len(other) - both):
-            linked.append(b)
-    return pa.table({"a": pa.array([a] * len(linked), pa.int64()), "b": pa.array(linked, pa.int64())})
+    return members.unionByName(heads).groupBy("a", "part").applyInArrow(_verify(percent), "a long, b long")
+
+
+def _verify(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        a, nodes = table.column("a")[0].as_py(), table.column("b").to_pylist()
+        sets: dict[int, np.ndarray] = {}
+        row = 0
+        for chunk in table.column("text").chunks:
+            for _, _, texts in tokens.chunks(chunk):
+                keys, first = shingles(texts)
+                for i in range(len(texts)):
+                    sets[nodes[row]] = np.sort(keys[first[i]: first[i + 1]])
+                    row += 1
+        own = sets[a]
+        linked = []
+        for b, other in sets.items():
+            at = np.minimum(np.searchsorted(own, other), len(own) - 1)
+            both = int((own[at] == other).sum())
+            if b != a and 100 * both >= percent * (len(own) + len(other) - both):
+                linked.append(b)
+        return pa.table({"a": pa.array([a] * len(linked), pa.int64()), "b": pa.array(linked, pa.int64())})
+
+    return run
+
+
+def shared_sizes(texts: DataFrame) -> DataFrame:
+    """(node, m): how many of the shingles of each node's text another node's text has too."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, part in tokens.chunks(batch.column(1), tokens.CHUNK_BYTES // 4):
+                keys, first = shingles(part)
+                nodes = np.repeat(batch.column(0).slice(a, b - a).to_numpy(), np.diff(first))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(nodes)], names=["shingle", "node"])
+
+    places = texts.select("node", "text").mapInArrow(each, "shingle long, node long")
+    lone = places.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last")
+    alone = lone.groupBy("node").agg(F.count("*").alias("alone"))
+    sizes = texts.groupBy("node").agg(F.first("n").alias("n"))
+    return sizes.join(alone, "node", "left").select("node", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("m"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -242,29 +268,45 @@ def components(edges: DataFrame) -> DataFrame:
     return labels if labels is not None else left.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
+def joined(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """The labels (`node`, `component`) after more edges; of nodes with an edge only."""
+    if labels is None:
+        return components(edges)
+    ends = stored(
+        _labelled(_labelled(edges.select(F.col("a").alias("node"), "b"), labels).select(F.col("b").alias("node"), F.col("component").alias("a")), labels)
+        .select("a", F.col("component").alias("b")), "ends",
+    )
+    step = components(ends)
+    fresh = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().join(labels, "node", "left_anti")
+    every = labels.unionByName(fresh.withColumn("component", F.col("node")))
+    moved = step.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    return stored(every.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "labels")
+
+
 def _labelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     return nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _meet(table: pa.Table) -> pa.Table:
-    """Plausible pairs of a chunk's leaders and members that lie in different components."""
-    lead = table.column("leads").to_numpy(zero_copy_only=False).astype(bool)
-    node, part, n = (table.column(c).to_numpy() for c in ("node", "component", "n"))
-    rows = _rows(table.column("registers"))
-    a_out, b_out = [], []
-    for k in np.flatnonzero(lead):
-        # Of two leaders each meets the other once.
-        others = np.flatnonzero(~lead & (part != part[k]) & (node != node[k]))
-        if len(others):
-            size = np.full(len(others), n[k])
-            keep = others[_may_link(np.broadcast_to(rows[k], (len(others), REGISTERS)), rows[others], size, n[others])]
-            a_out.append(np.full(len(keep), node[k]))
-            b_out.append(node[keep])
-    none = [np.zeros(0, np.int64)]
-    return pa.table({"a": np.concatenate(a_out or none), "b": np.concatenate(b_out or none)})
-
-
-def _round(members: DataFrame, nodes: DataFrame, labels: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+def _meet(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Plausible pairs of a chunk's leaders and members that lie in different components."""
+        lead = table.column("leads").to_numpy(zero_copy_only=False).astype(bool)
+        node, part, n, m = (table.column(c).to_numpy() for c in ("node", "component", "n", "m"))
+        rows = _rows(table.column("registers"))
+        a_out, b_out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for k in np.flatnonzero(lead):
+            others = np.flatnonzero(~lead & (part != part[k]) & (node != node[k]))
+            if len(others):
+                same = np.broadcast_to(rows[k], (len(others), REGISTERS))
+                keep = others[_may_link(same, rows[others], np.full(len(others), n[k]), n[others], m[k], m[others], percent)]
+                a_out.append(np.full(len(keep), node[k]))
+                b_out.append(node[keep])
+        return pa.table({"a": np.concatenate(a_out), "b": np.concatenate(b_out)})
+
+    return run
+
+
+def _round(members: DataFrame, nodes: DataFrame, labels: DataFrame, turn: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(pairs to verify, members whose buckets aren't finished, without this round's leaders)."""
     placed = _labelled(members, labels)
     shares = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
@@ -281,17 +323,17 @@ def _round(members: DataFrame, nodes: DataFrame, labels: DataFrame, turn: int) -
             F.ceil(F.col("size") / CHUNK).cast("long").alias("chunks"),
         ), "open",
     )
-    full = open_.join(nodes.select("node", "n", "registers"), "node")
+    full = open_.join(nodes.select("node", "n", "m", "registers"), "node")
     own = full.withColumn("leads", F.lit(False)).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
     everywhere = full.where("leads").withColumn(
         "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)),
     )
-    columns = ["bucket", "chunk", "node", "component", "n", "registers", "leads"]
-    pairs = own.select(columns).unionByName(everywhere.select(columns)).groupBy("bucket", "chunk").applyInArrow(_meet, "a long, b long")
+    columns = ["bucket", "chunk", "node", "component", "n", "m", "registers", "leads"]
+    pairs = own.select(columns).unionByName(everywhere.select(columns)).groupBy("bucket", "chunk").applyInArrow(_meet(percent), "a long, b long")
     return pairs, open_.where("not leads").select("bucket", "node")
 
 
-def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def groups(docs: DataFrame, *, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, n_shingles, component_id (the smallest id of its component), kept."""
     sketches = stored(sketch(docs, id_col=id_col, text_col=text_col), "sketches")
     nodes = stored(
@@ -300,9 +342,9 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
         .withColumn("node", F.monotonically_increasing_id()), "nodes",
     )
     buckets = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size")).where("size > 1")
-    members = stored(buckets.join(shared, "bucket").select("bucket", "node", "leader"), "members")
-    labels = _links(docs, sketches, nodes, members, id_col, text_col)
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = stored(buckets.join(shared, "bucket").select("bucket", "node"), "members")
+    labels = _links(docs, nodes, members, percent, id_col, text_col)
 
     placed = _labelled(nodes.select("node", "print", "first"), labels)
     smallest = placed.groupBy("component").agg(F.min("first").alias("component_id"))
@@ -315,41 +357,34 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     )
 
 
-def _links(docs, sketches, nodes, members, id_col, text_col) -> DataFrame:
+def _links(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Labels of all nodes that are linked."""
     wanted = members.select("node").distinct().join(nodes.select("node", "n", "first", "print"), "node")
     texts = docs.select(F.col(id_col).alias("first"), F.col(text_col).alias("text")).join(wanted, "first")
     # An id that stands for several texts brings them all; the node's own is the one with its print.
     texts = stored(texts.mapInArrow(_own_texts, "node long, n long, text string"), "texts")
-    stars = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    stars = stored(plausible(stars, nodes), "stars")
+    able = shared_sizes(texts).join(nodes.select("node", "n", "registers"), "node").where(f"100 * m >= {percent} * n")
+    nodes = stored(able, "able")
+    # The leader has the largest share of shingles that others have, as the original of a group of copies does.
+    central = F.struct(F.col("m") / F.col("n"), -F.col("node"))
+    members = stored(members.join(nodes.select("node", "m", "n"), "node").select("bucket", "node", central.alias("central")), "members")
+    leaders = members.groupBy("bucket").agg((-F.max("central").getField("col2")).alias("a"), F.count("*").alias("size")).where("size > 1")
+    members = stored(members.join(leaders, "bucket").select("bucket", "node", "a"), "members")
+    stars = plausible(members.where("node <> a").select("a", F.col("node").alias("b")).distinct(), nodes, percent)
     best = stars.groupBy("b").agg(F.max_by("a", F.struct("similarity", "a")).alias("a"))
-    edges = stored(verified(best, texts), "links")
-    labels = components(edges)
-    rest = stars.join(best.withColumnRenamed("a", "done"), "b").where("a <> done").select("a", "b")
-    edges = edges.unionByName(stored(verified(_apart(rest, labels), texts), "links"))
-    labels = components(edges)
-    turn = 0
+    labels = joined(None, verified(stored(best, "stars"), texts, percent))
     members = members.select("bucket", "node")
+    turn = 0
     while True:
-        pairs, members = _round(members, nodes, labels, turn)
+        pairs, members = _round(members, nodes, labels, turn, percent)
         if members.isEmpty():
             return labels
-        found = stored(verified(pairs, texts), "links")
+        found = stored(verified(stored(pairs.distinct(), "pairs"), texts, percent), "links")
         if not found.isEmpty():
-            edges = edges.unionByName(found)
-            labels = components(edges)
+            labels = joined(labels, found)
         turn += 1
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose ends lie in different components."""
-    of_a = labels.select(F.col("node").alias("a"), F.col("component").alias("c_a"))
-    of_b = labels.select(F.col("node").alias("b"), F.col("component").alias("c_b"))
-    joined = pairs.join(of_a, "a", "left").join(of_b, "b", "left")
-    return joined.where(~F.coalesce("c_a", "a").eqNullSafe(F.coalesce("c_b", "b"))).select("a", "b")
-
-
 def _own_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows (first, text, node, n, print) those whose text has the print; of repeated ones in a batch one."""
     for batch in batches:
@@ -369,9 +404,9 @@ def _own_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([rows.column(at[n]) for n in ("node", "n", "text")], names=["node", "n", "text"])
 
 
-def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, *, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component, and every document without a set or id, with all columns."""
-    found = groups(docs, id_col=id_col, text_col=text_col)
+    found = groups(docs, percent=percent, id_col=id_col, text_col=text_col)
     kept = found.where(F.col("kept") & (F.col("n_shingles") > 0) & F.col(id_col).isNotNull())
     ids = kept.select(F.col(id_col).alias("__kept")).distinct()
     filled = docs.where(F.col(id_col).isNotNull() & F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
