@@ -37,11 +37,11 @@ from gradewise.llm import tokens
 from gradewise.llm.tables import stored
 from gradewise.session import scratch_path
 
-FLUSH_TOKENS = 2_500_000
-BUCKET_TOKENS = 2_000_000
+FLUSH_TOKENS = 1_200_000
+BUCKET_TOKENS = 1_000_000
 # A word is split over buckets if it makes up more than one in FREQUENT tokens; so at most that many are.
 FREQUENT = 2000
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 START = tokens.mixed_int(1)
 END = tokens.mixed_int(2)
