@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from gradewise.llm import bpe, decontaminate, pii, quality_rules, setsketch
 from gradewise.llm.tables import stored
 
+# Texts with this share of their five-word shingles in common are near-duplicates.
+NEAR_PERCENT = 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the classifier."""
@@ -21,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest id."""
-    return setsketch.keep_one(docs)
+    return setsketch.keep_one(docs, percent=NEAR_PERCENT)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
