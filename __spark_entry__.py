@@ -351,6 +351,43 @@ def session_window(spark, sf):
     return _ntz(_cents(_drain(sessions, spark, "sessions"), "total_volume"), "session_start", "session_end")
 
 
+def session_window_updates(spark, sf):
+    """Every session, open ones too: complete mode, of which the last snapshot counts."""
+    stream = fixtures.loan_event_stream(stream_session(spark), sf)
+    sessions = windows.delinquency_sessions(stream, gap_seconds=SESSION_GAP, delay=DELAY)
+    return _ntz(_cents(_snapshot(sessions, spark, "all-sessions"), "total_volume"), "session_start", "session_end")
+
+
+def _snapshot(results: DataFrame, spark: SparkSession, label: str) -> DataFrame:
+    """Run a complete-mode stream over all there is and read its last snapshot."""
+    out, checkpoint = scratch_path(spark, label), scratch_path(spark, f"{label}-checkpoint")
+    start_query(results, sinks.snapshot_batches(out), checkpoint, "complete", available_now=True).awaitTermination()
+    return sinks.newest(spark, out)
+
+
+def _clocked(spark: SparkSession, sf: str) -> DataFrame:
+    return windows.with_processing_time(fixtures.loan_event_stream(stream_session(spark), sf).drop("event_time"))
+
+
+def _volumes(windows_: DataFrame, count: str) -> DataFrame:
+    """Counts and volume per grade over all windows, whose own times depend on the clock."""
+    sums = windows_.groupBy("grade").agg(F.sum(count).alias("total_loans"), F.sum("total_volume").alias("total_volume"))
+    return _cents(sums, "total_volume")
+
+
+def clocked_tumbling(spark, sf):
+    """Windows by processing time in a run that ends: their updates hold every event."""
+    out, checkpoint = scratch_path(spark, "clocked"), scratch_path(spark, "clocked-checkpoint")
+    results = windows.tumbling_by_grade(_clocked(spark, sf))
+    start_query(results, sinks.parquet_batches(out), checkpoint, "update", available_now=True).awaitTermination()
+    return _volumes(sinks.latest(spark.read.parquet(out), "window_start", "window_end", "grade"), "total_loans")
+
+
+def clocked_sessions(spark, sf):
+    """Sessions by processing time in a run that ends."""
+    return _volumes(_snapshot(windows.delinquency_sessions(_clocked(spark, sf)), spark, "clocked"), "events_in_session")
+
+
 def _replay(spark: SparkSession, sf: str) -> DataFrame:
     """Staged loans published as JSON files and read back as a stream of events."""
     topic = scratch_path(spark, "topic")
@@ -365,10 +402,7 @@ def stream_replay(spark, sf):
 def delinquency_by_grade(spark, sf):
     """Counts per grade as the running counter last reported them."""
     counts = counter.delinquency_by_grade(_replay(spark, sf))
-    out = scratch_path(spark, "counter")
-    checkpoint = scratch_path(spark, "counter-checkpoint")
-    start_query(counts, sinks.parquet_batches(out), checkpoint, "complete", available_now=True).awaitTermination()
-    return sinks.latest(spark.read.parquet(out), "grade").orderBy("grade")
+    return _snapshot(counts, spark, "counter").orderBy("grade")
 
 
 def delinquency_counter(spark, sf):
@@ -425,6 +459,9 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tumbling_window_updates": tumbling_window_updates,
         "session_window": session_window,
         "session_window_all": session_window_all,
+        "session_window_updates": session_window_updates,
+        "clocked_tumbling": clocked_tumbling,
+        "clocked_sessions": clocked_sessions,
         "stream_replay": stream_replay,
         "delinquency_counter": delinquency_counter,
         "delinquency_by_grade": delinquency_by_grade,
@@ -696,6 +733,12 @@ def own_sql() -> dict[str, str]:
         "session_window": f"""WITH {_SESSIONS} SELECT * FROM sessions
             WHERE session_end <= {_CLOSED.format(events="wanted")}""",
         "session_window_all": f"WITH {_SESSIONS} SELECT * FROM sessions",
+        "session_window_updates": f"WITH {_SESSIONS} SELECT * FROM sessions",
+        "clocked_tumbling": f"""WITH {_EVENTS} SELECT grade, count(*) AS total_loans,
+            {_round("sum(loan_amount)", 2)} AS total_volume FROM loan_events GROUP BY grade""",
+        "clocked_sessions": f"""WITH {_EVENTS} SELECT grade, count(*) AS total_loans,
+            {_round("sum(loan_amount)", 2)} AS total_volume FROM loan_events
+            WHERE loan_status IN {_BAD_EXACT} OR mths_since_last_delinq > 0 GROUP BY grade""",
         "stream_replay": publish,
         "delinquency_counter": f"""WITH {_BY_GRADE} SELECT CAST(sum(total_loans) AS BIGINT) AS total_loans,
             CAST(sum(delinquent_loans) AS BIGINT) AS delinquent_loans,

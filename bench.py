@@ -89,8 +89,8 @@ def main() -> None:
         "publish_parse": lambda: work(event_source.parse_events(event_source.to_events(staged))),
         "tumbling_window_all": lambda: work(windows.tumbling_by_grade(loan_events)),
         "session_window_all": lambda: work(windows.delinquency_sessions(loan_events)),
-        "tumbling_window": lambda: drain(windows.tumbling_by_grade(stream())),
-        "session_window": lambda: drain(windows.delinquency_sessions(stream())),
+        "tumbling_window": lambda: drain(windows.tumbling_by_grade(stream(), delay="1 minute")),
+        "session_window": lambda: drain(windows.delinquency_sessions(stream(), delay="1 minute")),
         "delinquency_by_grade": lambda: drain(counter.delinquency_by_grade(stream()), "complete"),
     }
     wanted = sys.argv[1:] or list(queries)

@@ -15,7 +15,7 @@ from gradewise.sources.events import parse_events, to_events
 from gradewise.sources.files import read_raw
 from gradewise.sources.kafka import kafka_events, send_to_kafka
 from gradewise.streaming import counter, sinks, windows
-from gradewise.streaming.runner import start_query
+from gradewise.streaming.runner import late_rows, start_query
 
 
 def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -40,7 +40,7 @@ def _report(spark: SparkSession, args: argparse.Namespace) -> None:
 def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
     events = to_events(stg_loans(read_raw(spark, args.raw)), args.limit)
     if args.servers:
-        send_to_kafka(events, args.servers, args.topic)
+        send_to_kafka(events, args.servers, args.topic, _pairs(args.option))
     else:
         events.select("value").write.mode("append").text(args.files)
 
@@ -48,23 +48,37 @@ def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
 def _events(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     streams = stream_session(spark)
     if args.servers:
-        return kafka_events(streams, args.servers, args.topic, max_offsets=args.report_every)
+        return kafka_events(streams, args.servers, args.topic, max_offsets=args.report_every, more=_pairs(args.option))
+    if args.report_every:
+        raise SystemExit("--report-every counts messages of a topic; a folder has files")
     return parse_events(streams.readStream.text(args.files))
 
 
+def _pairs(given: list[str]) -> dict[str, str]:
+    return dict(pair.split("=", 1) for pair in given)
+
+
 def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Windows that close by the clock are appended as they close. A run that is to end can't wait for the clock and
+    its ticks never run out, so it gives open windows too: as updates, and sessions, which can't be updated, as a snapshot."""
     events = _events(spark, args)
-    sink = sinks.jdbc_batches(args.jdbc_url, args.table) if args.jdbc_url else args.out
-    mode = "append"
     if args.job == "count":
         results, mode = counter.delinquency_by_grade(events), "complete"
-        sink = sinks.parquet_batches(args.out) if isinstance(sink, str) else sink
     else:
-        # Ticks never run out, so they are left out of a run that is to end.
         clocked = windows.with_processing_time(events if args.available_now else windows.with_ticks(events))
         window = windows.tumbling_by_grade if args.job == "windows" else windows.delinquency_sessions
-        results = window(clocked)
-    start_query(results, sink, args.checkpoint, mode, args.interval, args.available_now).awaitTermination()
+        results, mode = window(clocked), "append"
+        if args.available_now:
+            mode = "update" if args.job == "windows" else "complete"
+    if args.jdbc_url:
+        column = None if args.declared_columns else "batch_id"
+        sink = sinks.jdbc_batches(args.jdbc_url, args.table, _pairs(args.jdbc_property), column)
+    else:
+        sink = {"append": args.out, "update": sinks.parquet_batches(args.out), "complete": sinks.snapshot_batches(args.out)}[mode]
+    query = start_query(results, sink, args.checkpoint, mode, args.interval, args.available_now)
+    query.awaitTermination()
+    if late := late_rows(query):
+        print(f"{late:,} late rows were dropped")
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -94,6 +108,7 @@ def _parser() -> argparse.ArgumentParser:
     place.add_argument("--servers", help="Kafka bootstrap servers")
     place.add_argument("--files", help="folder of JSON lines, in place of a topic")
     topic.add_argument("--topic", default="loan-events")
+    topic.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="further Kafka options")
 
     job = jobs.add_parser("publish", parents=[topic], help="staged loans as events")
     job.add_argument("raw")
@@ -110,6 +125,8 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("checkpoint")
         job.add_argument("--jdbc-url", help="write to a database instead of the folder")
         job.add_argument("--table")
+        job.add_argument("--jdbc-property", action="append", default=[], metavar="NAME=VALUE", help="user, password, driver ...")
+        job.add_argument("--declared-columns", action="store_true", help="the table has no batch_id column")
         job.add_argument("--interval", default="10 seconds")
         job.add_argument("--report-every", type=int, help="messages per report, on a topic")
         job.add_argument("--available-now", action="store_true", help="work off what is there and stop")

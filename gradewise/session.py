@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -46,9 +48,9 @@ def build_session(app_name: str = "gradewise", master: str | None = None, **sett
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A sibling session for streams, so that stream settings do not leak into the caller's.
 
-    The number of state partitions is fixed by a query's first checkpoint. State here is
-    keyed by (window, grade) and small, so it follows the cores in use up to the
-    session's shuffle partitions instead of always taking the latter.
+    The number of state partitions is fixed by a query's first checkpoint and so is a choice for the
+    query's life. It is the session's number of shuffle partitions unless given: the cores that
+    happen to be up when a job starts say nothing about it.
     """
     sibling = spark.newSession()
     for key, value in STREAM_SETTINGS.items():
@@ -56,8 +58,7 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
         sibling.conf.set(key, spark.conf.get(key))
     if state_partitions is None:
-        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        state_partitions = max(1, min(shuffle, spark.sparkContext.defaultParallelism))
+        state_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sibling.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return sibling
 
@@ -75,3 +76,31 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="gradewise-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/gradewise/{label}-{uuid.uuid4().hex}"
+
+
+def _folder(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that Spark reaches; none if there is no folder."""
+    files, folder = _folder(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on any file system that Spark reaches."""
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A scratch path that the job which makes it also deletes, be it done or failed."""
+    path = scratch_path(spark, label)
+    try:
+        yield path
+    finally:
+        delete_path(spark, path)

@@ -14,12 +14,13 @@ _CORRUPT = "_corrupt"
 def to_events(staged: DataFrame, limit: int | None = None) -> DataFrame:
     """Staged loans as events: `key` (the loan id) and `value` (JSON, NULL fields included).
 
-    `limit` takes the first loans by id, so that a repeated run sends the same ones.
+    `limit` takes the first loans by id, then by all other fields, so that a repeated run sends the same
+    ones even where ids repeat. Those rows pass through one task.
     """
     fields = [f.name for f in EVENT_SCHEMA]
     events = staged.select(*fields)
     if limit is not None:
-        events = events.orderBy("loan_id").limit(limit)
+        events = events.orderBy("loan_id", *[f for f in fields if f != "loan_id"]).limit(limit)
     body = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     return events.select(F.col("loan_id").alias("key"), body.alias("value"))
 

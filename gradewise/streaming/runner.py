@@ -31,3 +31,12 @@ def start_query(
     if isinstance(sink, str):
         return writer.format("parquet").option("path", sink).start()
     return writer.foreachBatch(sink).start()
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the watermark dropped, over the progress reports that Spark still holds."""
+    return sum(
+        int(operator.get("numRowsDroppedByWatermark", 0))
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradewise.session import delete_path, list_folder
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 
@@ -27,16 +29,47 @@ def parquet_batches(path: str) -> BatchWriter:
     return write
 
 
-def jdbc_batches(url: str, table: str, properties: dict[str, str] | None = None) -> BatchWriter:
-    """Append each batch to a database table that has a `batch_id` column beside the result's.
+def snapshot_batches(path: str, keep: int = 3) -> BatchWriter:
+    """The batches of a complete-mode query, each of which replaces all before it.
+
+    Only the last `keep` folders stay, however long the query runs; `newest` reads the latest.
+    """
+    write_batch = parquet_batches(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, batch_id)
+        for old in _batches(batch.sparkSession, path):
+            if old <= batch_id - keep:
+                delete_path(batch.sparkSession, f"{path.rstrip('/')}/batch_id={old}")
+
+    return write
+
+
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    names = list_folder(spark, path)
+    return sorted(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
+
+
+def newest(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the latest snapshot."""
+    return spark.read.parquet(f"{path.rstrip('/')}/batch_id={_batches(spark, path)[-1]}")
+
+
+def jdbc_batches(
+    url: str, table: str, properties: dict[str, str] | None = None, batch_column: str | None = "batch_id"
+) -> BatchWriter:
+    """Append each batch to a database table.
 
-    Needs the database's driver on the class path. Delivery is at least once: a unique
-    key over batch_id, window and grade, or a view of distinct rows, makes it exactly once.
+    Needs the database's driver on the class path. Delivery is at least once. `batch_column` stamps rows
+    with the batch number, so that a redelivered batch can be told: a unique key over it, window and
+    grade, or a view of distinct rows, makes delivery exactly once. With None the table has the
+    result's columns alone, as the window tables are declared; there a unique key over window and grade tells
+    the rows of a redelivered batch, since append mode gives each window once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stamped = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        stamped.write.jdbc(url, table, mode="append", properties=properties or {})
+        rows = batch.withColumn(batch_column, F.lit(batch_id).cast("bigint")) if batch_column else batch
+        rows.write.jdbc(url, table, mode="append", properties=properties or {})
 
     return write
 

@@ -10,11 +10,14 @@ from gradewise.operators.sessions import sessionize
 
 # Marks rows that only move the clock (see with_ticks).
 TICK = "_tick"
+# In a column's metadata: its times come from the clock, so none of them is ever late.
+CLOCKED = "processing_time"
 
 
 def with_processing_time(events: DataFrame, name: str = "event_time") -> DataFrame:
     """Stamp events with the time they are processed: the start of their micro-batch."""
-    return events.withColumn(name, F.current_timestamp())
+    stamped = events.withColumn(name, F.current_timestamp())
+    return stamped.withMetadata(name, {CLOCKED: True})
 
 
 def clock(spark: SparkSession, per_second: int = 1) -> DataFrame:
@@ -48,17 +51,25 @@ def _drop_ticks(windows: DataFrame, source: DataFrame, count: str) -> DataFrame:
     return windows.where(F.col(count) > 0) if TICK in source.columns else windows
 
 
-def _watermarked(events: DataFrame, ts: str, delay: str) -> DataFrame:
-    return events.withWatermark(ts, delay) if events.isStreaming else events
+def _watermarked(events: DataFrame, ts: str, delay: str | None) -> DataFrame:
+    if not events.isStreaming:
+        return events
+    if delay is None:
+        if not events.schema[ts].metadata.get(CLOCKED):
+            raise ValueError(f"say how late {ts} may be (delay): events later than that are dropped")
+        delay = "0 seconds"
+    return events.withWatermark(ts, delay)
 
 
 def tumbling_by_grade(
-    events: DataFrame, ts: str = "event_time", size: str = "5 minutes", delay: str = "0 seconds"
+    events: DataFrame, ts: str = "event_time", size: str = "5 minutes", delay: str | None = None
 ) -> DataFrame:
     """Loans, volume and mean interest rate per grade and fixed window.
 
     On a stream, append mode gives a window once the watermark (latest event minus
-    `delay`) passes its end; update mode gives every window as it changes.
+    `delay`) passes its end; update mode gives every window as it changes. Events of a window
+    that the watermark has passed are dropped (`runner.late_rows` counts them), so a stream over
+    event time must name its `delay`; times from the clock are never late and need none.
     """
     by_window = _watermarked(events, ts, delay).groupBy(F.window(ts, size), *_keys(events))
     windows = by_window.agg(
@@ -81,12 +92,14 @@ def delinquent_events(events: DataFrame) -> DataFrame:
 
 
 def delinquency_sessions(
-    events: DataFrame, ts: str = "event_time", gap_seconds: int = 300, delay: str = "0 seconds"
+    events: DataFrame, ts: str = "event_time", gap_seconds: int = 300, delay: str | None = None
 ) -> DataFrame:
     """Sessions of delinquent events per grade; a session ends one gap after its last event.
 
-    Streams must use append mode, where a session appears once the watermark passes its
-    end. The watermark follows the delinquent events, not all events.
+    On a stream, append mode gives a session once the watermark passes its end, and drops late
+    events as `tumbling_by_grade` does. Complete mode gives all sessions, open ones too, and
+    drops nothing; its state keeps every session, so it suits runs that end. The watermark follows the
+    delinquent events, not all events.
     """
     wanted = delinquent_events(events)
     if not events.isStreaming:

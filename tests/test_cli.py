@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from gradewise.__main__ import main
 from gradewise.plans.models import stg_loans
+from gradewise.sources.events import parse_events
 from gradewise.sources.files import read_raw
-from gradewise.streaming import sinks
+from gradewise.streaming import sinks, windows
 from tests.test_jobs import LINES, write
 
 
@@ -28,13 +31,17 @@ def test_from_csv_to_counter(spark, tmp_path, capsys):
     main(["publish", "--files", topic, raw])
     out = str(tmp_path / "counts")
     main(["count", "--files", topic, out, str(tmp_path / "c1"), "--available-now"])
-    counts = {r["grade"]: tuple(r)[1:] for r in sinks.latest(spark.read.parquet(out), "grade").collect()}
+    counts = {r["grade"]: tuple(r)[1:] for r in sinks.newest(spark, out).collect()}
     assert counts == {"A": (2, 0), "C": (1, 1), "Unknown": (2, 0)}
     assert stg_loans(read_raw(spark, raw)).count() == 3
 
     for job in ("windows", "sessions"):
         main([job, "--files", topic, str(tmp_path / job), str(tmp_path / f"{job}-c"), "--available-now"])
-        assert (tmp_path / job / "_spark_metadata").exists()
+    found = sinks.latest(spark.read.parquet(str(tmp_path / "windows")), "window_start", "window_end", "grade")
+    assert {r["grade"]: r["n"] for r in found.groupBy("grade").agg(F.sum("total_loans").alias("n")).collect()} == {"A": 2, "C": 1, None: 2}
+    sessions = sinks.newest(spark, str(tmp_path / "sessions"))
+    events = parse_events(spark.read.text(topic))
+    assert sessions.agg(F.sum("events_in_session")).first()[0] == windows.delinquent_events(events).count() > 0
 
 
 def test_a_topic_or_files_are_required():

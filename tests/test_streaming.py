@@ -12,7 +12,7 @@ from gradewise import fixtures
 from gradewise.schemas import EVENT_SCHEMA
 from gradewise.session import scratch_path, stream_session
 from gradewise.streaming import counter, sinks, windows
-from gradewise.streaming.runner import start_query
+from gradewise.streaming.runner import late_rows, start_query
 
 COLUMNS = "loan_id string, grade string, loan_amount double, interest_rate double, loan_status string, " \
           "mths_since_last_delinq int, event_time timestamp"
@@ -76,7 +76,7 @@ def test_sessions_over_batches(spark, streams, tmp_path):
     feed.add(at(spark, ("A", 1, 0), ("A", 2, 200), ("B", 4, 100)))
     feed.add(at(spark, ("A", 8, 500), ("B", 16, 401)))
     feed.add(at(spark, ("C", 32, 5000)))
-    results = windows.delinquency_sessions(feed.stream())
+    results = windows.delinquency_sessions(feed.stream(), delay="0 seconds")
     run(results, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     got = spark.read.schema(results.schema).parquet(str(tmp_path / "out"))
     assert sorted(tuple(r)[2:] for r in got.collect()) == [("A", 3, 11.0), ("B", 1, 4.0), ("B", 1, 16.0)]
@@ -92,16 +92,39 @@ def test_late_events(spark, streams, tmp_path):
     feed.add(at(spark, ("A", 8, 10_001), ("A", 16, 30_000)))
     feed.add(at(spark, ("A", 32, 10_002), ("A", 64, 40_000)))
     results = windows.tumbling_by_grade(feed.stream(), delay="1 minute")
-    run(results, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    query = start_query(results, str(tmp_path / "out"), str(tmp_path / "checkpoint"), available_now=True)
+    query.awaitTermination()
     got = spark.read.schema(results.schema).parquet(str(tmp_path / "out"))
     assert sorted(r["total_volume"] for r in got.collect()) == [2.0, 13.0, 16.0]
+    assert late_rows(query) == 1
+
+
+def test_event_time_needs_a_delay(spark, streams, sf):
+    stream = fixtures.loan_event_stream(streams, sf)
+    for window in (windows.tumbling_by_grade, windows.delinquency_sessions):
+        with pytest.raises(ValueError, match="delay"):
+            window(stream)
+        window(windows.with_processing_time(stream))
+
+
+def test_snapshots_are_bounded(spark, tmp_path):
+    write = sinks.snapshot_batches(str(tmp_path / "s"), keep=2)
+    for n in range(6):
+        write(spark.range(n), n)
+    assert sorted(p.name for p in (tmp_path / "s").iterdir() if p.name.startswith("batch")) == ["batch_id=4", "batch_id=5"]
+    assert sinks.newest(spark, str(tmp_path / "s")).count() == 5
+
+
+def test_state_partitions_follow_the_session(spark):
+    assert stream_session(spark).conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    assert stream_session(spark, 3).conf.get("spark.sql.shuffle.partitions") == "3"
 
 
 def test_update_mode_shows_open_windows(spark, streams, tmp_path):
     feed = Feed(spark, streams, tmp_path / "in")
     feed.add(at(spark, ("A", 1, 0), ("B", 2, 10)))
     feed.add(at(spark, ("A", 4, 20)))
-    results = windows.tumbling_by_grade(feed.stream())
+    results = windows.tumbling_by_grade(feed.stream(), delay="0 seconds")
     out = str(tmp_path / "out")
     run(results, sinks.parquet_batches(out), str(tmp_path / "checkpoint"), "update")
     current = sinks.latest(spark.read.parquet(out), "window_start", "grade")
@@ -149,6 +172,14 @@ def test_jdbc_writer_stamps_rows(spark, monkeypatch):
     assert calls == [(["id", "batch_id"], 7, "jdbc:x", "t", "append", {"user": "u"})]
 
 
+def test_jdbc_writer_fits_declared_columns(spark, monkeypatch):
+    calls = []
+    frame = spark.range(3)
+    monkeypatch.setattr(type(frame.write), "jdbc", lambda self, *a, **k: calls.append(self._df.columns))
+    sinks.jdbc_batches("jdbc:x", "t", batch_column=None)(frame, 7)
+    assert calls == [["id"]]
+
+
 def test_idle_topic_closes_by_the_clock(spark, streams, tmp_path):
     source = str(tmp_path / "in")
     spark.createDataFrame(
@@ -186,7 +217,7 @@ def test_idle_topic_closes_by_the_clock(spark, streams, tmp_path):
 
 def test_local_merge_before_the_session_shuffle(spark, streams, sf, tmp_path):
     """Sessions are merged inside map tasks, so a hot grade does not ship single events."""
-    results = windows.delinquency_sessions(fixtures.loan_event_stream(streams, sf))
+    results = windows.delinquency_sessions(fixtures.loan_event_stream(streams, sf), delay="0 seconds")
     query = start_query(results, str(tmp_path / "out"), scratch_path(spark, "c"), available_now=True)
     query.awaitTermination()
     text = query._jsq.explainInternal(False)
