@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gradewise import fixtures
@@ -27,7 +27,7 @@ from gradewise.operators import merge, quality, reports
 from gradewise.plans import dashboard, models
 from gradewise.plans.ingest import ingest
 from gradewise.plans.report import run_report
-from gradewise.schemas import RAW_SCHEMA
+from gradewise.schemas import RAW_SCHEMA, SOURCE_COLUMNS
 from gradewise.session import scratch_path, stream_session
 from gradewise.sources import events as event_source
 from gradewise.sources import files, tables
@@ -46,6 +46,7 @@ ENTRY_DIR = "/root/testdata/sf0.001"
 
 # Loans loaded before this day are "already in the raw table" in the merge queries.
 LOADED_BEFORE = dt.datetime(1998, 1, 1)
+LOADS = ("2024-01-02 03:04:05", "2024-02-03 04:05:06")
 ISSUED = (dt.date(1996, 3, 1), dt.date(1997, 10, 31))
 DELAY = "1 minute"
 SESSION_GAP = 1800
@@ -183,24 +184,15 @@ def rates_by_grade(spark, sf):
 
 
 def batch_report(spark, sf):
-    """The whole report job, its saved result sets stacked."""
+    """The whole report job, its saved result sets stacked with all their columns."""
     loans_path = scratch_path(spark, "loans")
     files.write_parquet(fixtures.loans(spark, sf), loans_path)
     saved = run_report(spark, loans_path, scratch_path(spark, "report"))
-    keys = {
-        "default_by_grade": F.col("grade"),
-        "monthly_volume": F.date_format("issue_month", "yyyy-MM"),
-        "dpd_distribution": F.col("dpd_bucket"),
-        "risk_tier_summary": F.col("risk_tier"),
-    }
-    parts = [
-        saved[name].select(F.lit(name).alias("report"), key.alias("group_key"), "total_loans")
-        for name, key in keys.items()
-    ]
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part)
-    return stacked
+    stacked = None
+    for name, frame in saved.items():
+        part = frame.withColumn("report", F.lit(name))
+        stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
+    return stacked.withColumn("issue_month", F.date_format("issue_month", "yyyy-MM"))
 
 
 # --- ingestion and merge -----------------------------------------------------------
@@ -212,23 +204,21 @@ def _loaded_before(df: DataFrame) -> DataFrame:
 
 def merge_new_rows(spark, sf):
     batch = fixtures.raw_loans(spark, sf)
-    added = merge.new_rows(batch, _loaded_before(batch), batch_rows=batch.count())
-    return _ntz(added, "ingest_ts")
+    return _ntz(merge.new_rows(batch, _loaded_before(batch)), "ingest_ts")
 
 
 def merge_new_rows_shuffled(spark, sf):
-    """The same merge on the path for batches too large to broadcast."""
+    """The same merge with the held keys stored first."""
     batch = fixtures.raw_loans(spark, sf)
-    return _ntz(merge.new_rows(batch, _loaded_before(batch)), "ingest_ts")
+    return _ntz(merge.new_rows(batch, _loaded_before(batch), held_path=scratch_path(spark, "held")), "ingest_ts")
 
 
 def merge_existing_rows(spark, sf):
     """Merging twice: what the first and the second run insert."""
     batch = fixtures.raw_loans(spark, sf)
     target = _loaded_before(batch)
-    n = batch.count()
-    first = merge.new_rows(batch, target, batch_rows=n)
-    second = merge.new_rows(batch, target.unionByName(first), batch_rows=n)
+    first = merge.new_rows(batch, target)
+    second = merge.new_rows(batch, target.unionByName(first))
     steps = {"before": target, "first_run": first, "second_run": second}
     tagged = None
     for step, rows in steps.items():
@@ -237,6 +227,15 @@ def merge_existing_rows(spark, sf):
     return tagged.agg(*[F.count_if(F.col("step") == step).alias(f"rows_{step}") for step in steps])
 
 
+def merge_deduped_into_target(spark, sf):
+    """A batch with copies of keys and rows without one, reduced to one row per key, into a target with some of the keys."""
+    shared = row_hash(F.concat_ws("/", "purpose", "addr_state", "annual_inc"))
+    batch = fixtures.loans(spark, sf).where(F.col("id").isNotNull()).select(
+        F.when(F.col("grade").isNotNull(), shared).alias("row_hash"), "k", "loan_amnt"
+    )
+    return merge.new_rows(batch, batch.where("k % 5 = 0"), dedupe_batch=True)
+
+
 def merge_deduped_batch(spark, sf):
     """One loan per customer: copies of a key inside a batch, reduced to one."""
     batch = fixtures.loans(spark, sf).where(F.col("id").isNotNull()).select(
@@ -253,8 +252,32 @@ def ingest_normalize(spark, sf):
     columns = fixtures.csv_loans(spark, sf).columns
     _loaded_before(rows).select(*columns).write.option("header", True).csv(first)
     rows.select(*columns).write.option("header", True).csv(everything)
-    ingest(spark, first, raw)
-    return ingest(spark, everything, raw).drop("ingest_ts")
+    ingest(spark, first, raw, ingest_ts=F.lit(LOADS[0]))
+    return _ntz(ingest(spark, everything, raw, ingest_ts=F.lit(LOADS[1])), "ingest_ts")
+
+
+def reject_csv(spark, sf):
+    """Lines with a field too many: put aside as they are, and the others loaded."""
+    csv, rejects, raw = (scratch_path(spark, label) for label in ("csv", "rejects", "raw"))
+    header = F.lit(",".join(SOURCE_COLUMNS))
+    # A header in front of each line that opens one of many small files.
+    lines = fixtures.csv_lines(spark, sf).withColumn("file", F.spark_partition_id())
+    first = F.col("k") == F.min("k").over(Window.partitionBy("file"))
+    text = lines.select(F.when(first, F.concat(header, F.lit("\n"), "value")).otherwise(F.col("value")).alias("value"), "file", "k")
+    text.sortWithinPartitions("file", "k").select("value").write.text(csv)
+    loaded = ingest(spark, csv, raw, rejects_path=rejects)
+    kept = loaded.select(F.lit("loaded").alias("kind"), F.col("id").alias("line"))
+    return kept.unionByName(spark.read.text(rejects).select(F.lit("rejected").alias("kind"), F.substring_index("value", ",", 1).alias("line")))
+
+
+def build_all_models(spark, sf):
+    """The whole model build: a stored raw table, declared by name, to the mart, read back by its name."""
+    path = scratch_path(spark, "raw")
+    files.write_raw(fixtures.raw_loans(spark, sf), path)
+    tables.create_layers(spark, scratch_path(spark, "layers"))
+    tables.register_raw(spark, path)
+    models.build_models(spark, check=False)
+    return _cents(tables.source(spark.newSession(), "mart", "mart_loan_risk"), "total_loan_volume")
 
 
 def raw_issue_range(spark, sf):
@@ -298,9 +321,7 @@ def publish_sample(spark, sf):
 
 
 def parse_events(spark, sf):
-    return event_source.parse_events(fixtures.messages(spark, sf), keep=("event_id",)).select(
-        "event_id", "loan_id", "grade", "loan_amount", "mths_since_last_delinq"
-    )
+    return event_source.parse_events(fixtures.messages(spark, sf), keep=("event_id",))
 
 
 def reject_events(spark, sf):
@@ -443,6 +464,9 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_new_rows_shuffled": merge_new_rows_shuffled,
         "merge_existing_rows": merge_existing_rows,
         "merge_deduped_batch": merge_deduped_batch,
+        "merge_deduped_into_target": merge_deduped_into_target,
+        "reject_csv": reject_csv,
+        "build_models": build_all_models,
         "ingest_normalize": ingest_normalize,
         "raw_issue_range": raw_issue_range,
         "dq_unique": dq_unique,
@@ -505,6 +529,7 @@ loans AS (
   )
 )"""
 
+# The statuses, tiers and buckets of the data model, as in gradewise/schemas.py.
 _RATE = "TRY_CAST(replace(int_rate, '%', '') AS DOUBLE)"
 _BAD = "('charged off', 'default', 'does not meet the credit policy. status:charged off')"
 _BAD_EXACT = "('Charged Off', 'Default', 'Does not meet the credit policy. Status:Charged Off')"
@@ -681,12 +706,16 @@ def own_sql() -> dict[str, str]:
         "rates_by_grade": f"""WITH {_MART}
             SELECT grade, default_rate_pct, avg_interest_rate, total_loans FROM mart""",
         "batch_report": f"""WITH {_RICH}
-            SELECT 'default_by_grade' AS report, grade AS group_key, count(*) AS total_loans
-              FROM rich GROUP BY grade
-            UNION ALL SELECT 'monthly_volume', strftime(issue_month, '%Y-%m'), count(*)
-              FROM rich GROUP BY issue_month
-            UNION ALL SELECT 'dpd_distribution', substr(bucket, 3), count(*) FROM rich GROUP BY bucket
-            UNION ALL SELECT 'risk_tier_summary', risk_tier, count(*) FROM rich GROUP BY risk_tier""",
+            SELECT 'default_by_grade' AS report, grade, count(*) AS total_loans, CAST(sum(is_defaulted) AS BIGINT) AS total_defaults,
+              {_RATES}, {_round("avg(int_rate)", 2)} AS avg_interest_rate, CAST(NULL AS VARCHAR) AS issue_month,
+              CAST(NULL AS DOUBLE) AS total_volume_usd, CAST(NULL AS VARCHAR) AS dpd_bucket, CAST(NULL AS DOUBLE) AS pct,
+              CAST(NULL AS VARCHAR) AS risk_tier FROM rich GROUP BY grade
+            UNION ALL BY NAME SELECT 'monthly_volume' AS report, strftime(issue_month, '%Y-%m') AS issue_month, count(*) AS total_loans,
+              {_round("sum(loan_amnt)", 2)} AS total_volume_usd, {_round("avg(int_rate)", 2)} AS avg_interest_rate FROM rich GROUP BY rich.issue_month
+            UNION ALL BY NAME SELECT 'dpd_distribution' AS report, substr(bucket, 3) AS dpd_bucket, count(*) AS total_loans,
+              {_round("count(*) * CAST(100 AS DOUBLE) / (SELECT count(*) FROM rich)", 1)} AS pct FROM rich GROUP BY bucket
+            UNION ALL BY NAME SELECT 'risk_tier_summary' AS report, risk_tier, count(*) AS total_loans, {_RATES},
+              {_round("sum(loan_amnt)", 2)} AS total_volume_usd FROM rich GROUP BY risk_tier""",
         "merge_new_rows": merged,
         "merge_new_rows_shuffled": merged,
         "merge_existing_rows": f"""WITH {_RAW} SELECT count(*) FILTER ({loaded}) AS rows_before,
@@ -695,7 +724,19 @@ def own_sql() -> dict[str, str]:
               SELECT md5(concat_ws('/', purpose, addr_state, CAST(annual_inc AS VARCHAR))) AS row_hash, k, loan_amnt
               FROM loans WHERE id IS NOT NULL)
             SELECT row_hash, min(k) AS k, arg_min(loan_amnt, k) AS loan_amnt FROM batch GROUP BY row_hash""",
-        "ingest_normalize": f"WITH {_RAW} SELECT * EXCLUDE (ingest_ts) FROM raw",
+        "merge_deduped_into_target": f"""WITH {_LOANS}, batch AS (
+              SELECT CASE WHEN grade IS NOT NULL THEN
+                md5(concat_ws('/', purpose, addr_state, CAST(annual_inc AS VARCHAR))) END AS row_hash, k, loan_amnt
+              FROM loans WHERE id IS NOT NULL)
+            SELECT row_hash, min(k) AS k, arg_min(loan_amnt, k) AS loan_amnt FROM batch WHERE row_hash IS NOT NULL
+              AND row_hash NOT IN (SELECT row_hash FROM batch WHERE k % 5 = 0 AND row_hash IS NOT NULL) GROUP BY row_hash
+            UNION ALL SELECT * FROM batch WHERE row_hash IS NULL""",
+        "reject_csv": f"""WITH {_LOANS}
+            SELECT 'loaded' AS kind, id AS line FROM loans WHERE id IS NOT NULL AND k % 7 <> 0
+            UNION ALL SELECT 'rejected', coalesce(id, '') FROM loans WHERE k % 7 = 0""",
+        "build_models": f"WITH {_MART} SELECT * FROM mart",
+        "ingest_normalize": f"""WITH {_RAW} SELECT * REPLACE (CASE WHEN {loaded} THEN TIMESTAMP '{LOADS[0]}'
+            ELSE TIMESTAMP '{LOADS[1]}' END AS ingest_ts) FROM raw""",
         "raw_issue_range": f"""WITH {_RAW} SELECT * FROM raw
             WHERE issue_date BETWEEN DATE '{ISSUED[0]}' AND DATE '{ISSUED[1]}'""",
         "dq_unique": """SELECT o_custkey, count(*) AS n_records FROM orders
@@ -715,12 +756,12 @@ def own_sql() -> dict[str, str]:
               WHERE grade NOT IN ('A', 'B', 'C', 'D', 'E', 'F', 'G')""",
         "publish_events": publish,
         "publish_sample": f"{publish} ORDER BY loan_id LIMIT {PUBLISH_LIMIT}",
-        "parse_events": f"""WITH {_EVENTS} SELECT event_id,
-            CASE WHEN event_id % 8 <> 4 THEN loan_id END AS loan_id,
-            CASE WHEN event_id % 8 <> 4 THEN grade END AS grade,
-            CASE WHEN event_id % 8 NOT IN (2, 4) THEN loan_amount END AS loan_amount,
-            CAST(NULL AS INTEGER) AS mths_since_last_delinq
-            FROM loan_events WHERE event_id % 8 NOT IN (3, 5, 6)""",
+        "parse_events": f"""WITH {_EVENTS}, fields AS (SELECT event_id, loan_id, grade,
+              CASE WHEN event_id % 8 <> 2 THEN loan_amount END AS loan_amount, interest_rate, loan_status,
+              strftime(event_time, '%Y-%m-%d') AS issue_date, mths_since_last_delinq, loan_amount * 0.5 AS total_payment,
+              loan_amount * 0.25 AS outstanding_principal, {_TIER} AS risk_tier FROM loan_events)
+            SELECT * FROM fields WHERE event_id % 8 NOT IN (3, 4, 5, 6)
+            UNION ALL BY NAME SELECT event_id FROM fields WHERE event_id % 8 = 4""",
         "reject_events": """SELECT event_id,
             CASE event_id % 8 WHEN 3 THEN 'not json' WHEN 6 THEN '[1]' END AS value
             FROM events WHERE event_id % 8 IN (3, 5, 6)""",

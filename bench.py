@@ -83,9 +83,11 @@ def main() -> None:
         "fct_loans": lambda: work(models.fct_loans(staged)),
         "mart_loan_risk": lambda: work(models.mart_loan_risk(models.fct_loans(staged))),
         "dq_report": lambda: work(quality.run_checks(staged)),
-        "merge_rerun": lambda: work(merge.new_rows(raw, raw, batch_rows=rows)),
-        "merge_rerun_shuffled": lambda: work(merge.new_rows(raw, raw)),
+        "merge_rerun": lambda: work(merge.new_rows(raw, raw)),
+        "merge_rerun_stored": lambda: work(merge.new_rows(raw, raw, held_path=scratch_path(spark, "held"))),
+        "merge_first_load": lambda: work(merge.new_rows(raw, None, dedupe_batch=True)),
         "ingest_csv": ingest_csv,
+        "ingest_csv_default": lambda: ingest(spark, csv_path, scratch_path(spark, "ingested")),
         "publish_parse": lambda: work(event_source.parse_events(event_source.to_events(staged))),
         "tumbling_window_all": lambda: work(windows.tumbling_by_grade(loan_events)),
         "session_window_all": lambda: work(windows.delinquency_sessions(loan_events)),

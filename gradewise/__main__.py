@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,14 +22,15 @@ from gradewise.streaming.runner import late_rows, start_query
 def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = ingest(
         spark, args.csv, args.raw,
-        dedupe_batch=args.dedupe_batch, one_line_per_record=args.one_line_per_record,
+        dedupe_batch=args.dedupe_batch, one_line_per_record=args.one_line_per_record, rejects_path=args.rejects,
     )
     print(f"{raw.count():,} loans in {args.raw}")
 
 
 def _models(spark: SparkSession, args: argparse.Namespace) -> None:
     tables.create_layers(spark, args.layers)
-    build_models(spark, read_raw(spark, args.raw))["mart_loan_risk"].show()
+    tables.register_raw(spark, os.path.abspath(args.raw) if "://" not in args.raw else args.raw)
+    build_models(spark)["mart_loan_risk"].show()
 
 
 def _report(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -89,6 +91,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("csv", nargs="+")
     job.add_argument("raw")
     job.add_argument("--dedupe-batch", action="store_true")
+    job.add_argument("--rejects", help="folder for lines with too many fields, which else stop the load")
     job.add_argument("--one-line-per-record", action="store_true", help="no field holds line breaks: split files")
     job.set_defaults(run=_ingest)
 

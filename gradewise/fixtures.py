@@ -5,9 +5,10 @@ Everything follows from whole tables by rule, so it grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradewise.functions import risk_tier
 from gradewise.plans.ingest import to_raw_schema
 from gradewise.schemas import SOURCE_COLUMNS
 
@@ -78,30 +79,37 @@ def loan_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events, as a stream."""
     path = f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(path).schema
-    # A file stream reads folders; as a pattern the path may be a folder or one file.
-    return _as_loan_events(spark.readStream.schema(schema).parquet(f"{path}*"))
+    # A file stream reads folders; as a pattern, of this very name, the path may be a folder or one file.
+    return _as_loan_events(spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]"))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON messages from the events table, five in eight of them odd or broken."""
+    """JSON messages of all ten fields from the events table, five in eight of them odd or broken."""
     event = loan_events(spark, sf_dir)
     kind = F.col("event_id") % 8
-
-    def body(amount: Column, extra: str = "") -> Column:
-        return F.concat(
-            F.lit('{"loan_id": "'), F.col("loan_id"), F.lit('", "grade": "'), F.col("grade"),
-            F.lit('", "loan_amount": '), amount, F.lit(extra + "}"),
-        )
-
-    number = F.col("loan_amount").cast("string")
-    return event.select(
+    whole = F.to_json(F.struct(
+        "loan_id", "grade", "loan_amount", "interest_rate", "loan_status",
+        F.date_format("event_time", "yyyy-MM-dd").alias("issue_date"), "mths_since_last_delinq",
+        (F.col("loan_amount") * 0.5).alias("total_payment"), (F.col("loan_amount") * 0.25).alias("outstanding_principal"),
+        risk_tier(F.col("grade")).alias("risk_tier"),
+    ))
+    more = F.concat(F.expr("substring(value, 1, length(value) - 1)"), F.lit(', "channel": "web"}'))
+    return event.select("event_id", whole.alias("value")).select(
         "event_id",
-        F.when(kind == 1, body(number, ', "channel": "web"'))
-        .when(kind == 2, body(F.lit('"lots"')))
+        F.when(kind == 1, more)
+        .when(kind == 2, F.regexp_replace("value", '"loan_amount":[^,]*,', '"loan_amount":"lots",'))
         .when(kind == 3, F.lit("not json"))
         .when(kind == 4, F.lit("{}"))
         .when(kind == 5, F.lit(None).cast("string"))
         .when(kind == 6, F.lit("[1]"))
-        .otherwise(body(number))
+        .otherwise(F.col("value"))
         .alias("value"),
     )
+
+
+def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loans as lines of text without a header, every seventh with one field too many; `k`, `value`."""
+    rows = loans(spark, sf_dir)
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in SOURCE_COLUMNS]
+    extra = F.when(F.col("k") % 7 == 0, F.lit(",EXTRA")).otherwise("")
+    return rows.select("k", F.concat(F.concat_ws(",", *fields), extra).alias("value"))

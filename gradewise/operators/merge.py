@@ -2,75 +2,76 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradewise.session import scratch_path
-
-# A key is a 32-character hash; hashed into a broadcast relation it takes around 100 bytes,
-# so this many keys stay near 200 MB per executor.
-BROADCAST_KEYS = 2_000_000
+# Bits of the filter that a batch's keys set. Its size is fixed: at most 16 MiB are broadcast.
+FILTER_BITS = 1 << 27
+BITMAP_BITS = 8 * 4096  # of one row of the filter, as bitmap_construct_agg makes them
 
 
 def one_row_per_key(batch: DataFrame, key: str = "row_hash") -> DataFrame:
-    """One row per key, the smallest by its other columns so that reruns agree.
+    """One row per key, the smallest by its other columns so that reruns agree; rows without a key all stay.
 
     An aggregate, not a window: copies of a key are reduced before the shuffle, so no task
     has to hold all copies of a frequent one.
     """
     rest = [c for c in batch.columns if c != key]
-    smallest = batch.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
-    return smallest.select(*[F.col(key) if c == key else F.col(f"_row.{c}") for c in batch.columns])
+    smallest = batch.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
+    unpacked = smallest.select(*[F.col(key) if c == key else F.col(f"_row.{c}") for c in batch.columns])
+    return unpacked.unionByName(batch.where(F.col(key).isNull()))
+
+
+def _place(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+
+
+def key_filter(keys: DataFrame, key: str = "row_hash") -> DataFrame:
+    """A Bloom filter of the keys with one hash: rows (`part`, `bits`), at most FILTER_BITS / BITMAP_BITS of them."""
+    place = keys.where(F.col(key).isNotNull()).select(_place(key).alias("place"))
+    return place.groupBy(F.floor(F.col("place") / BITMAP_BITS).cast("int").alias("part")).agg(
+        F.bitmap_construct_agg(F.col("place") % BITMAP_BITS).alias("bits")
+    )
+
+
+def held_keys(batch: DataFrame, target: DataFrame, key: str = "row_hash") -> DataFrame:
+    """Target keys that may be among the batch's: all those that are, and few others.
+
+    The target is read on its key column and put through the batch's filter where it is scanned. Of a target
+    far larger than the batch nearly all is dropped there, before any exchange.
+    """
+    marks = key_filter(batch.select(key), key)
+    place = target.select(key, _place(key).alias("_place")).withColumn("_part", F.floor(F.col("_place") / BITMAP_BITS).cast("int"))
+    at = (F.col("_place") % BITMAP_BITS).cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.floor(byte / F.pow(F.lit(2), at % 8)).cast("int") % 2 == 1
+    found = place.join(F.broadcast(marks), F.col("_part") == F.col("part")).where(hit)
+    return found.where(F.col(key).isNotNull()).select(key).distinct()
 
 
 def new_rows(
     batch: DataFrame,
-    target: DataFrame,
+    target: DataFrame | None,
     key: str = "row_hash",
     dedupe_batch: bool = False,
-    batch_rows: int | None = None,
+    held_path: str | None = None,
 ) -> DataFrame:
-    """Rows of `batch` whose key is not in `target`; a NULL key is never in it.
+    """Rows of `batch` whose key is not in `target` (None: there is none yet); a NULL key is never in it.
 
     Copies of a new key inside the batch are all kept unless `dedupe_batch` is set.
 
-    `batch_rows` is the batch's known size. Up to BROADCAST_KEYS, the batch keys are sent to
-    the target, which is then read on its key column alone and never shuffled; the keys found
-    are at most those of the batch, so they can be broadcast back.
-
-    Beyond it, or when the size is unknown, the batch's keys are settled first (see
-    `settle_keys`, which runs a job). If the keys held or the keys new are few, they are
-    broadcast and the batch's rows stay where they are; that is the usual case, as a reload
-    brings few new keys and a first load meets few held ones. Only otherwise are the
-    rows shuffled, straight from the batch to the join, so that adaptive execution can split
-    a frequent key.
+    One plan for every size: the target's keys pass the batch's filter (see `held_keys`), and what is left
+    meets the batch in an anti join, which adaptive execution broadcasts if those keys turn out few, as they do
+    when most of the batch is new. With `held_path` they are stored there first (the caller deletes it): both
+    sides of the join then come straight from their scans, in the form in which adaptive execution can split a frequent
+    key.
     """
-    arriving = batch.select(key)
     if dedupe_batch:
         batch = one_row_per_key(batch, key)
-    if batch_rows is not None and batch_rows <= BROADCAST_KEYS:
-        found = target.select(key).join(F.broadcast(arriving.distinct()), key, "left_semi").distinct()
-        return batch.join(F.broadcast(found), key, "left_anti")
-    settled = settle_keys(arriving, target, key)
-    held, new = (settled.where(F.col("held") == flag).select(F.col(key).alias("_key")) for flag in (True, False))
-    n_held, n_new = held.count(), new.count()
-    if n_new < n_held and n_new <= BROADCAST_KEYS:
-        return batch.join(F.broadcast(new), F.col(key).eqNullSafe(F.col("_key")), "left_semi")
-    if n_held <= BROADCAST_KEYS:
-        held = F.broadcast(held)
-    return batch.join(held, F.col(key) == F.col("_key"), "left_anti")
-
-
-def settle_keys(batch: DataFrame, target: DataFrame, key: str = "row_hash") -> DataFrame:
-    """Each key of the batch once, and whether the target holds it; written to the scratch folder.
-
-    One aggregate over the keys of both sides: copies of a key are reduced before the
-    shuffle, so a key that fills a third of either side is no burden.
-    """
-    sides = batch.select(key, F.lit(True).alias("arrives")).union(target.select(key, F.lit(False)))
-    keys = sides.groupBy(key).agg(
-        F.bool_or("arrives").alias("arrives"), (~F.bool_and("arrives") & F.col(key).isNotNull()).alias("held")
-    )
-    path = scratch_path(batch.sparkSession, "merge-keys")
-    keys.where("arrives").select(key, "held").write.parquet(path)
-    return batch.sparkSession.read.parquet(path)
+    if target is None:
+        return batch
+    held = held_keys(batch, target, key)
+    if held_path is not None:
+        held.write.parquet(held_path)
+        held = batch.sparkSession.read.schema(held.schema).parquet(held_path)
+    return batch.join(held.withColumnRenamed(key, "_key"), F.col(key) == F.col("_key"), "left_anti")

@@ -12,13 +12,15 @@ from pyspark.sql import types as T
 from gradewise.functions import parse_issue_month, percent_to_double, row_hash
 from gradewise.operators.merge import new_rows
 from gradewise.schemas import RAW_SCHEMA, SOURCE_COLUMNS
-from gradewise.session import scratch_path
-from gradewise.sources.files import read_loans_csv, read_raw, write_raw
+from gradewise.session import scratch
+from gradewise.sources.files import csv_rejects, read_loans_csv, read_raw, write_raw
 
 
-def pick_columns(df: DataFrame, columns: Sequence[str] = SOURCE_COLUMNS) -> DataFrame:
-    """Only the given columns; one that the input lacks becomes NULL text."""
+def pick_columns(df: DataFrame, columns: Sequence[str] = SOURCE_COLUMNS, required: Sequence[str] = ("id",)) -> DataFrame:
+    """Only the given columns; one that the input lacks becomes NULL text, but a required one must be there."""
     present = set(df.columns)
+    if missing := [c for c in required if c not in present]:
+        raise ValueError(f"the input lacks the columns {missing}; it has {df.columns}")
     return df.select(*[
         F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in columns
     ])
@@ -59,23 +61,21 @@ def to_raw_schema(df: DataFrame, ingest_ts: Column | None = None) -> DataFrame:
     return df.where(F.col("id").isNotNull()).select(*columns)
 
 
-def merge_into_raw(spark: SparkSession, staged_path: str, raw_path: str, dedupe_batch: bool = False) -> int:
-    """Append the staged rows that the raw table lacks; returns how many rows were staged.
+def merge_into_raw(spark: SparkSession, staged: DataFrame, raw_path: str, dedupe_batch: bool = False) -> None:
+    """Append the staged rows that the raw table lacks.
 
     One writer at a time. A run that dies half-way is repaired by running it again, as rows
     already written are then found and skipped. Only copies of one id inside a batch, kept
     when `dedupe_batch` is off, can come out fewer after such a repair.
     """
-    staged = spark.read.schema(RAW_SCHEMA).parquet(staged_path)
-    staged_rows = staged.count()  # answered by the files' footers
     try:
         target = read_raw(spark, raw_path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        target = spark.createDataFrame([], RAW_SCHEMA)
-    write_raw(new_rows(staged, target, dedupe_batch=dedupe_batch, batch_rows=staged_rows), raw_path)
-    return staged_rows
+        target = None
+    with scratch(spark, "held-keys") as held:
+        write_raw(new_rows(staged, target, dedupe_batch=dedupe_batch, held_path=held), raw_path)
 
 
 def ingest(
@@ -85,15 +85,22 @@ def ingest(
     ingest_ts: Column | None = None,
     dedupe_batch: bool = False,
     one_line_per_record: bool = False,
+    rejects_path: str | None = None,
 ) -> DataFrame:
     """Load CSV files into the raw table; returns the raw table after the merge.
 
-    The typed batch is written to the shared scratch folder first: the text is parsed
-    once, its size is known exactly when the merge picks its join, and a lost executor
-    re-reads Parquet instead of CSV.
+    A line with more fields than its header stops the load, or is put aside as text in `rejects_path`
+    if that is given. The typed batch is written to the shared scratch folder first, so that the text is parsed
+    once and a lost executor re-reads Parquet instead of CSV; it is deleted once the rows are in the table, and
+    also if the load fails.
     """
-    batch = to_raw_schema(pick_columns(read_loans_csv(spark, csv_path, one_line_per_record)), ingest_ts)
-    staged_path = scratch_path(spark, "staged-loans")
-    batch.write.parquet(staged_path)
-    merge_into_raw(spark, staged_path, raw_path, dedupe_batch)
+    if rejects_path is None:
+        text = read_loans_csv(spark, csv_path, one_line_per_record)
+    else:
+        csv_rejects(spark, csv_path, one_line_per_record).write.mode("append").text(rejects_path)
+        text = read_loans_csv(spark, csv_path, one_line_per_record, surplus="drop")
+    batch = to_raw_schema(pick_columns(text), ingest_ts)
+    with scratch(spark, "staged-loans") as staged:
+        batch.write.parquet(staged)
+        merge_into_raw(spark, spark.read.schema(RAW_SCHEMA).parquet(staged), raw_path, dedupe_batch)
     return read_raw(spark, raw_path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gradewise.functions import default_flag, repayment_rate_pct, risk_tier, round_stable
 from gradewise.operators.quality import require_passing
+from gradewise.schemas import RISK_TIERS, UNKNOWN
 from gradewise.sources import tables
 
 # Business names of the staged columns and the raw columns they come from.
@@ -43,6 +44,15 @@ def stg_loans(raw: DataFrame) -> DataFrame:
     )
 
 
+def stg_loans_sql(raw_table: str) -> str:
+    """The same model as SQL text, for a view that the catalog keeps."""
+    columns = [f"coalesce({old}, 0L) AS {new}" if new in COUNTERS else f"{old} AS {new}" for new, old in STAGED.items()]
+    tiers = " ".join(
+        f"WHEN grade IN ({', '.join(repr(g) for g in grades)}) THEN '{tier}'" for tier, grades in RISK_TIERS.items()
+    )
+    return f"SELECT {', '.join(columns)}, CASE {tiers} ELSE '{UNKNOWN}' END AS risk_tier FROM {raw_table} WHERE id IS NOT NULL"
+
+
 def fct_loans(staged: DataFrame) -> DataFrame:
     """Staged loans with repayment rate and default flag."""
     return staged.withColumns({
@@ -52,7 +62,7 @@ def fct_loans(staged: DataFrame) -> DataFrame:
 
 
 def mart_loan_risk(facts: DataFrame) -> DataFrame:
-    """Risk figures per grade and tier."""
+    """Risk figures per grade and tier. The output names are fixed values."""
 
     def mean(column: str):
         return round_stable(F.avg(column), 2)
@@ -78,11 +88,15 @@ def mart_loan_risk(facts: DataFrame) -> DataFrame:
 def build_models(spark: SparkSession, raw: DataFrame | None = None, check: bool = True) -> dict[str, DataFrame]:
     """Build all layers in order and check the staged one; returns the published models.
 
-    Staging stays a view: Spark folds it into the scan behind the fact table, which is
-    stored and feeds the mart. A failed check raises QualityError after the build.
+    Without `raw` the models read the catalog's `raw.loans_raw` (see `tables.register_raw`), and
+    `staging.stg_loans` is a stored view that any session can read; of a DataFrame it is a session view. Either way
+    Spark folds it into the scan behind the fact table, which is stored and feeds the mart. A failed check raises
+    QualityError after the build.
     """
-    raw = tables.source(spark, "raw", "loans_raw") if raw is None else raw
-    staged = tables.materialize(stg_loans(raw), "stg_loans", "view")
+    if raw is None:
+        staged = tables.stored_view(spark, "staging", "stg_loans", stg_loans_sql("`raw`.`loans_raw`"))
+    else:
+        staged = tables.materialize(stg_loans(raw), "stg_loans", "view")
     facts = tables.materialize(fct_loans(staged), "fct_loans", "table", layer="core")
     mart = tables.materialize(mart_loan_risk(facts), "mart_loan_risk", "table", layer="mart")
     if check:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,25 +22,60 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def read_loans_csv(spark: SparkSession, path: str | list[str], one_line_per_record: bool = False) -> DataFrame:
+# Holds the text of a line that does not fit its header.
+_RECORD = "_record"
+
+
+def _csv(spark: SparkSession, path: str | list[str], one_line_per_record: bool) -> tuple[DataFrame, Column]:
+    """The columns of CSV files as text and `_record`, and whether a line has more fields than the header."""
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": not one_line_per_record}
+    names = spark.read.options(**options).csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, _RECORD)])
+    lines = (
+        spark.read.options(**options).option("enforceSchema", False).option("columnPruning", False)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RECORD).schema(schema).csv(path)
+    )
+    # The record is also kept of a line with too few fields, which is no fault. One more column tells them apart.
+    wider = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names) + 1)])
+    again = F.from_csv(F.col(_RECORD), wider.simpleString()[7:-1].replace(":", " "), {
+        "quote": '"', "escape": '"', "nullValue": "\u0001", "emptyValue": "",
+    })
+    surplus = F.col(_RECORD).isNotNull() & again.getField(f"c{len(names)}").isNotNull()
+    return lines, surplus
+
+
+def read_loans_csv(
+    spark: SparkSession, path: str | list[str], one_line_per_record: bool = False, surplus: str = "stop"
+) -> DataFrame:
     """CSV files with a header; all columns are text, and missing-value marks become NULL.
 
+    A line with too few fields is filled up with NULLs. One with more than the header has, as an unquoted
+    comma makes it, would shift its fields: it stops the read, or with `surplus="drop"` is left out (see `csv_rejects`).
+    A delimiter behind the last field, with nothing after it, shifts nothing and is no fault.
+
     Quoted fields may hold line breaks and doubled quotes. That makes a file one unit of
     work, so the input should come as many files. `one_line_per_record` lets Spark split
     files, for inputs known to hold no line breaks inside fields. Files whose header
     differs from the first one's stop the read, as columns go by position.
     """
-    text = (
-        spark.read.option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", not one_line_per_record)
-        .option("enforceSchema", False)
-        .csv(path)
-    )
-    return text.select(*[
-        F.when(~F.col(f"`{c}`").isin(CSV_NULLS), F.col(f"`{c}`")).alias(c) for c in text.columns
-    ])
+    lines, too_many = _csv(spark, path, one_line_per_record)
+    if surplus == "stop":
+        stop = F.raise_error(F.concat(F.lit("more fields than the header has: "), F.col(_RECORD))).cast("boolean")
+        kept = lines.where(F.when(too_many, stop).otherwise(True))
+    elif surplus == "drop":
+        kept = lines.where(~too_many)
+    else:
+        raise ValueError(f"surplus must be 'stop' or 'drop', not {surplus!r}")
+    names = [c for c in lines.columns if c != _RECORD]
+    return kept.select(*[F.when(~F.col(f"`{c}`").isin(CSV_NULLS), F.col(f"`{c}`")).alias(c) for c in names])
+
+
+def csv_rejects(spark: SparkSession, path: str | list[str], one_line_per_record: bool = False) -> DataFrame:
+    """The lines with more fields than the header has, as text in `value`."""
+    lines, too_many = _csv(spark, path, one_line_per_record)
+    # Spark refuses to read the record alone.
+    nothing = F.substring(F.coalesce(F.col(f"`{lines.columns[0]}`"), F.lit("")), 1, 0)
+    return lines.where(too_many).select(F.concat(_RECORD, nothing).alias("value"))
 
 
 def write_raw(loans: DataFrame, path: str, mode: str = "append") -> None:

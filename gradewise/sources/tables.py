@@ -14,14 +14,41 @@ def create_layers(spark: SparkSession, location: str | None = None) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`{where}")
 
 
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
+
+
+def _located(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def external_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """(Re)declare a table over Parquet files that stay where they are."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    """(Re)declare a table over Parquet files that stay where they are.
+
+    Only a table that is itself external is replaced: dropping a managed one would delete its files.
+    """
+    quoted = _quoted(name)
+    if spark.catalog.tableExists(name):
+        kind = spark.catalog.getTable(name).tableType
+        if kind != "EXTERNAL":
+            raise ValueError(f"{name} exists and is {kind}, not EXTERNAL")
+        spark.sql(f"DROP TABLE {quoted}")
+    spark.sql(f"CREATE TABLE {quoted} USING parquet LOCATION '{_located(path)}'")
     # Folders of a partitioned layout have to be found once.
-    if spark.catalog.listColumns(name) and any(c.isPartition for c in spark.catalog.listColumns(name)):
-        spark.sql(f"MSCK REPAIR TABLE {name}")
-    return spark.table(name)
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.sql(f"MSCK REPAIR TABLE {quoted}")
+    return spark.table(quoted)
+
+
+def register_raw(spark: SparkSession, path: str) -> DataFrame:
+    """Declare the raw loan table of a folder as `raw.loans_raw`, where models look for it."""
+    return external_table(spark, path, "raw.loans_raw")
+
+
+def stored_view(spark: SparkSession, layer: str, name: str, query: str) -> DataFrame:
+    """A view that is kept in the catalog, so that other sessions read it; recomputed when read."""
+    spark.sql(f"CREATE OR REPLACE VIEW `{layer}`.`{name}` AS {query}")
+    return source(spark, layer, name)
 
 
 def external_view(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -38,10 +65,13 @@ def source(spark: SparkSession, layer: str, table: str) -> DataFrame:
 def materialize(df: DataFrame, name: str, kind: str, layer: str | None = None) -> DataFrame:
     """Publish a model as a `view` (recomputed when read) or a `table` (stored), and return it.
 
-    A view is a session view, since a stored view cannot hold a DataFrame's plan.
+    A view of a DataFrame is a session view, since the catalog keeps SQL text and no plans, so it has no
+    layer; `stored_view` makes one from SQL.
     """
     spark = df.sparkSession
     if kind == "view":
+        if layer:
+            raise ValueError("a view of a DataFrame belongs to the session; see stored_view")
         df.createOrReplaceTempView(name)
         return spark.table(name)
     if kind == "table":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from gradewise.plans import ingest as ing
 from gradewise.plans.models import build_models, fct_loans, stg_loans
 from gradewise.schemas import RAW_SCHEMA, SOURCE_COLUMNS
 from gradewise.sources import tables
+from gradewise.sources.files import write_raw
 
 HEADER = ",".join(SOURCE_COLUMNS) + ",unused"
 LINES = [
@@ -51,6 +53,40 @@ def test_missing_columns_become_null(spark, tmp_path):
     assert row["ingest_ts"] is not None
 
 
+def test_input_without_id_stops(spark, tmp_path):
+    with pytest.raises(ValueError, match="id"):
+        ing.ingest(spark, write(tmp_path / "a.csv", ["1,A"], header="ID_,grade"), str(tmp_path / "raw"))
+
+
+@pytest.mark.parametrize("one_line", [False, True])
+def test_surplus_fields_stop_or_are_put_aside(spark, tmp_path, one_line):
+    lines = ["1,A,10", "2,B,20,EXTRA", "3,C", "4,\"D, E\",40", "5,F,50,", '6,"G",60,"x, y"']
+    path = write(tmp_path / "a.csv", lines, header="id,grade,loan_amnt")
+    with pytest.raises(Exception, match="more fields"):
+        ing.ingest(spark, path, str(tmp_path / "stopped"), one_line_per_record=one_line)
+    raw = ing.ingest(
+        spark, path, str(tmp_path / "raw"), one_line_per_record=one_line, rejects_path=str(tmp_path / "rejects"),
+    )
+    assert sorted(tuple(r) for r in raw.select("id", "grade", "loan_amnt").collect()) == [
+        ("1", "A", 10.0), ("3", "C", None), ("4", "D, E", 40.0), ("5", "F", 50.0),
+    ]
+    aside = sorted(r.value.strip() for r in spark.read.text(str(tmp_path / "rejects")).collect())
+    assert aside == [lines[1], lines[5]]
+
+
+def scratch_left(spark):
+    folder = os.path.join(spark.conf.get("spark.checkpoint.dir"), "gradewise")
+    return {x for x in os.listdir(folder) if x.startswith(("staged-loans", "held-keys"))} if os.path.exists(folder) else set()
+
+
+def test_jobs_leave_no_scratch(spark, tmp_path):
+    ing.ingest(spark, write(tmp_path / "a.csv", LINES), str(tmp_path / "raw"))
+    ing.ingest(spark, write(tmp_path / "a.csv", LINES), str(tmp_path / "raw"))
+    with pytest.raises(Exception, match="more fields"):
+        ing.ingest(spark, write(tmp_path / "b.csv", [LINES[0] + ",surplus"]), str(tmp_path / "raw"))
+    assert not scratch_left(spark)
+
+
 def test_rerun_adds_nothing_and_changed_rows_stay(spark, tmp_path):
     raw_path = str(tmp_path / "raw")
     first = ing.ingest(spark, write(tmp_path / "a.csv", LINES), raw_path)
@@ -88,6 +124,21 @@ def test_staging_and_facts(raw):
     assert facts.where("repayment_rate_pct is null and funded_amount != 0").isEmpty()
 
 
+def test_models_by_name(spark, raw, tmp_path):
+    """Raw table, staged view and models in the catalog, where another session finds them."""
+    tables.create_layers(spark, str(tmp_path / "layers"))
+    path = str(tmp_path / "it's raw")
+    write_raw(raw.where("grade is not null and loan_status is not null"), path)
+    tables.register_raw(spark, path)
+    build_models(spark)
+    other = spark.newSession()
+    staged = other.table("staging.stg_loans")
+    want = stg_loans(tables.source(spark, "raw", "loans_raw"))
+    assert staged.schema.names == want.schema.names
+    assert staged.exceptAll(want).isEmpty() and want.exceptAll(staged).isEmpty() and not want.isEmpty()
+    assert other.table("mart.mart_loan_risk").agg(F.sum("total_loans")).first()[0] == want.count()
+
+
 def test_build_models(spark, raw, tmp_path):
     tables.create_layers(spark, str(tmp_path / "layers"))
     clean = raw.where("grade is not null and loan_status is not null")

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gradewise.operators import merge
+from gradewise.session import scratch_path
 
 SCHEMA = "row_hash string, v int"
 
@@ -20,39 +21,44 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize("batch_rows", [None, 5])
-def test_only_new_keys(spark, batch_rows):
+@pytest.fixture(params=[False, True])
+def held_path(request, spark):
+    """None, or a function that gives new paths for the held keys."""
+    return (lambda: scratch_path(spark, "held")) if request.param else (lambda: None)
+
+
+def test_only_new_keys(spark, held_path):
     target = frame(spark, [("a", 1), ("a", 2), ("b", 3)])
     batch = frame(spark, [("a", 9), ("c", 4), ("c", 5), ("d", 6), ("d", 6)])
-    assert rows(merge.new_rows(batch, target, batch_rows=batch_rows)) == [("c", 4), ("c", 5), ("d", 6), ("d", 6)]
-    once = merge.new_rows(batch, target, dedupe_batch=True, batch_rows=batch_rows)
+    assert rows(merge.new_rows(batch, target, held_path=held_path())) == [("c", 4), ("c", 5), ("d", 6), ("d", 6)]
+    once = merge.new_rows(batch, target, dedupe_batch=True, held_path=held_path())
     assert rows(once) == [("c", 4), ("d", 6)]
 
 
-@pytest.mark.parametrize("batch_rows", [None, 2])
-def test_empty_sides(spark, batch_rows):
+def test_empty_sides(spark, held_path):
     some, none = frame(spark, [("a", 1), ("b", 2)]), frame(spark, [])
-    assert rows(merge.new_rows(some, none, batch_rows=batch_rows)) == [("a", 1), ("b", 2)]
-    assert rows(merge.new_rows(none, some, batch_rows=0)) == []
-    assert rows(merge.new_rows(some, some, batch_rows=batch_rows)) == []
+    for target in (none, None):
+        assert rows(merge.new_rows(some, target, held_path=held_path())) == [("a", 1), ("b", 2)]
+    assert rows(merge.new_rows(none, some, held_path=held_path())) == []
+    assert rows(merge.new_rows(some, some, held_path=held_path())) == []
+    assert rows(merge.new_rows(frame(spark, [("a", 2), ("a", 1)]), None, dedupe_batch=True)) == [("a", 1)]
 
 
 keyed = st.lists(st.tuples(st.sampled_from("abcdef"), st.integers(0, 3)), max_size=12)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(keyed, keyed, st.booleans(), st.booleans())
-def test_second_merge_adds_nothing(spark, held, arriving, dedupe, known_size):
+@given(keyed, keyed, st.booleans())
+def test_second_merge_adds_nothing(spark, held, arriving, dedupe):
     target, batch = frame(spark, held), frame(spark, arriving)
-    size = len(arriving) if known_size else None
-    added = merge.new_rows(batch, target, dedupe_batch=dedupe, batch_rows=size)
+    added = merge.new_rows(batch, target, dedupe_batch=dedupe)
     have = {k for k, _ in held}
     expected = [r for r in arriving if r[0] not in have]
     if dedupe:
         expected = [(k, min(v for kk, v in expected if kk == k)) for k in {k for k, _ in expected}]
     assert rows(added) == sorted(expected, key=str)
     after = target.union(added)
-    assert rows(merge.new_rows(batch, after, dedupe_batch=dedupe, batch_rows=size)) == []
+    assert rows(merge.new_rows(batch, after, dedupe_batch=dedupe)) == []
 
 
 def test_dedupe_keeps_column_order_and_nulls(spark):
@@ -60,48 +66,44 @@ def test_dedupe_keeps_column_order_and_nulls(spark):
     assert rows(merge.one_row_per_key(batch)) == sorted([(None, "k", 1), (3, "j", None)], key=str)
 
 
-def test_known_small_batch_does_not_shuffle_the_target(spark, raw, tmp_path, plan):
+def test_filter_holds_every_key(spark):
+    keys = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("row_hash"))
+    assert merge.held_keys(keys, keys).count() == 20_000
+    others = spark.range(10**6, 10**6 + 20_000).select(F.md5(F.col("id").cast("string")).alias("row_hash"))
+    assert merge.held_keys(keys, others).count() < 200
+    sizes = merge.key_filter(keys).agg(F.count("*"), F.max(F.octet_length("bits"))).first()
+    assert sizes[0] <= merge.FILTER_BITS // merge.BITMAP_BITS and sizes[1] == 4096
+
+
+def test_no_exchange_of_the_unfiltered_target(spark, raw, tmp_path):
+    """At any size: one plan, in which the target's keys meet the filter below their first exchange."""
     path = str(tmp_path / "raw")
     raw.write.parquet(path)
-    stored = spark.read.parquet(path)
-    text = plan(merge.new_rows(stored, stored, batch_rows=merge.BROADCAST_KEYS))
-    assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
-    assert text.count("BroadcastHashJoin") == 2
-    # The target is read on its key only; just the found keys are shuffled, to be distinct.
-    assert "ReadSchema: struct<row_hash:string>" in text
-
-
-def test_large_batch_broadcasts_the_smaller_answer(spark, raw, monkeypatch, plan, tmp_path):
-    """Few new keys, few held keys, many of both: three plans, one result."""
-    monkeypatch.setattr(merge, "BROADCAST_KEYS", 100)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        raw.select("row_hash", "id").write.parquet(str(tmp_path / "batch"))
-        batch = spark.read.parquet(str(tmp_path / "batch"))
-        n = batch.count()
-        for held, join in ((n - 50, "LeftSemi"), (50, "LeftAnti"), (n // 2, None)):
-            batch.orderBy("id").limit(held).write.parquet(str(tmp_path / f"target-{held}"))
-            added = merge.new_rows(batch, spark.read.parquet(str(tmp_path / f"target-{held}")))
-            text = plan(added)
-            if join:
-                assert "BroadcastHashJoin" in text and join in text and "SortMergeJoin" not in text
-            else:
-                # Both sides come straight from their shuffle, the form that skew splitting needs.
-                assert "SortMergeJoin" in text and "HashAggregate" not in text
-            assert added.count() == n - held
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-@pytest.mark.parametrize("limit", [0, 1, 100])
-@pytest.mark.parametrize("batch_rows", [None, 0])
-def test_null_keys_are_always_new(spark, monkeypatch, limit, batch_rows):
-    monkeypatch.setattr(merge, "BROADCAST_KEYS", limit)
+    target = spark.read.parquet(path)
+    for n in (1, 1000, 10_000_000):
+        batch = spark.range(n).select(F.md5(F.col("id").cast("string")).alias("row_hash"), "id")
+        text = merge.new_rows(batch, target)._jdf.queryExecution().executedPlan().toString()
+        lines = text.split("\n")
+        scan = next(i for i, x in enumerate(lines) if "FileScan parquet" in x or "Scan parquet" in x)
+        depth = lambda line: len(line) - len(line.lstrip(" :+-|*()0123456789"))
+        above, at = [], depth(lines[scan])
+        for line in reversed(lines[:scan]):
+            if depth(line) < at:
+                above.append(line)
+                at = depth(line)
+        first = next(i for i, x in enumerate(above) if "Exchange" in x and "BroadcastExchange" not in x)
+        assert any("BroadcastHashJoin" in x for x in above[:first])
+        assert "ReadSchema: struct<row_hash:string>" in lines[scan]
+
+
+def test_null_keys_are_always_new(spark, held_path):
     target = frame(spark, [(None, 1), ("a", 1), ("b", 1), ("c", 1)])
-    batch = frame(spark, [(None, 2), (None, 3), ("a", 2), ("b", 2), ("z", 2)])
-    assert rows(merge.new_rows(batch, target, batch_rows=batch_rows)) == sorted(
-        [(None, 2), (None, 3), ("z", 2)], key=str
+    batch = frame(spark, [(None, 2), (None, 3), ("a", 2), ("b", 2), ("z", 2), ("z", 3)])
+    assert rows(merge.new_rows(batch, target, held_path=held_path())) == sorted(
+        [(None, 2), (None, 3), ("z", 2), ("z", 3)], key=str
     )
+    once = merge.new_rows(batch, target, dedupe_batch=True, held_path=held_path())
+    assert rows(once) == sorted([(None, 2), (None, 3), ("z", 2)], key=str)
 
 
 def test_hot_key_in_batch_and_target(spark):
@@ -111,7 +113,7 @@ def test_hot_key_in_batch_and_target(spark):
     target = spark.range(n).select(hot.alias("row_hash"), F.lit(0).alias("v"))
     batch = spark.range(n // 2, n + n // 2).select(hot.alias("row_hash"), F.lit(1).alias("v"))
     expected = n // 2 - n // 6
-    for size in (None, n):
-        assert merge.new_rows(batch, target, batch_rows=size).count() == expected
+    for path in (None, scratch_path(spark, "held")):
+        assert merge.new_rows(batch, target, held_path=path).count() == expected
     fresh = merge.new_rows(batch, target.where("row_hash != 'hot'"), dedupe_batch=True)
     assert fresh.count() == expected + 1

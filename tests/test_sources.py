@@ -104,6 +104,12 @@ def test_tables(spark, raw, tmp_path):
     assert tables.external_view(spark, path, "raw_view").count() == raw.count()
     with pytest.raises(ValueError):
         tables.materialize(view, "x", "index")
+    with pytest.raises(ValueError, match="session"):
+        tables.materialize(view, "x", "view", layer="staging")
+    # Declaring a table over files never deletes a managed table's own.
+    with pytest.raises(ValueError, match="MANAGED"):
+        tables.external_table(spark, path, "core.some_table")
+    assert spark.table("core.some_table").count() == 3
 
 
 MESSAGES = [
