@@ -12,10 +12,11 @@ ones of both, and two sets agree in a register about as often as their Jaccard s
 4. Every node is estimated against its buckets' leaders: the similarity of greatest likelihood, given how many registers are larger,
    equal and smaller. Of those that may reach the threshold the best is verified on the full sets.
 5. What is left of each bucket is compared until no two nodes of different components are uncompared: in each round
-   at most about `LEADERS` nodes outside a bucket's largest component meet all the others, in chunks of about `CHUNK` nodes.
+   at most about `LEADERS` nodes outside a bucket's largest component meet all the others, in chunks of about `CHUNK` nodes with their
+   texts, and only links come out, one for each leader and component.
 
-So a group of n near copies costs about n verified pairs instead of n²/2, no task gets a whole bucket and no
-link between nodes that share a bucket is passed over. Two sets at the threshold share no bucket with probability
+So a group of n near copies costs about n verified pairs and the comparison of the few that stay outside, no task gets a whole
+bucket, and no link between nodes that share a bucket is passed over. Two sets at the threshold share no bucket with probability
 (1 - 0.85^5)^24 < 1e-6 (7e-5 at 0.8), and the estimate's margin is five standard deviations.
 
 Defined results: null and empty texts have no set, are linked with nothing and stay; rows with a null id likewise, with a
@@ -42,8 +43,8 @@ B = 1.001
 RATE = 20.0
 TOP = (1 << 16) - 1
 MARGIN = 0.17
-LEADERS = 64
-CHUNK = 512
+LEADERS = 512
+CHUNK = 1024
 CHUNK_SHINGLES = 1 << 20
 
 FACTORS = np.random.default_rng(42).integers(1, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -287,27 +288,65 @@ def _labelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     return nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
+def _sets(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted set of each text, one behind the other, and where each begins."""
+    parts, sizes = [np.zeros(0, np.uint64)], []
+    for chunk in column.chunks:
+        for _, _, texts in tokens.chunks(chunk):
+            keys, first = shingles(texts)
+            parts += [np.sort(keys[first[i]: first[i + 1]]) for i in range(len(texts))]
+            sizes.append(np.diff(first))
+    return np.concatenate(parts), np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+
+
 def _meet(percent: int):
+    share = percent / 100
+    # Equal registers of a pair at the threshold, less five standard deviations.
+    least_equal = REGISTERS * share - 5 * np.sqrt(REGISTERS * share * (1 - share))
+
     def run(table: pa.Table) -> pa.Table:
-        """Plausible pairs of a chunk's leaders and members that lie in different components."""
+        """Links of a chunk's leaders to members of other components, one for each leader and component.
+
+        A pair is looked at in the first of the bands that it shares only.
+        """
         lead = table.column("leads").to_numpy(zero_copy_only=False).astype(bool)
         node, part, n, m = (table.column(c).to_numpy() for c in ("node", "component", "n", "m"))
         rows = _rows(table.column("registers"))
-        a_out, b_out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        keys, first = _sets(table.column("text"))
+        bucket = table.column("bucket")[0].as_py()
+        band = int(np.flatnonzero(band_keys(rows[:1]).view(np.int64)[0] == bucket)[0])
+        members = np.flatnonzero(~lead)
+        member_keys = np.concatenate([keys[first[j]: first[j + 1]] for j in members] or [keys[:0]])
+        begins = np.concatenate(([0], np.cumsum(n[members])))
+        found: list[tuple[int, int]] = []
         for k in np.flatnonzero(lead):
-            others = np.flatnonzero(~lead & (part != part[k]) & (node != node[k]))
-            if len(others):
-                same = np.broadcast_to(rows[k], (len(others), REGISTERS))
-                keep = others[_may_link(same, rows[others], np.full(len(others), n[k]), n[others], m[k], m[others], percent)]
-                a_out.append(np.full(len(keep), node[k]))
-                b_out.append(node[keep])
-        return pa.table({"a": np.concatenate(a_out), "b": np.concatenate(b_out)})
+            most = np.minimum(m[k], m[members])
+            some = (part[members] != part[k]) & ((100 + percent) * most >= percent * (n[k] + n[members]))
+            at = np.flatnonzero(some)
+            same = rows[members[at]] == rows[k]
+            shared = same.reshape(len(at), BANDS, ROWS).all(2).argmax(1)
+            at = at[(same.sum(1) >= least_equal) & (shared == band)]
+            if not len(at):
+                continue
+            own = keys[first[k]: first[k + 1]]
+            sizes = n[members[at]]
+            place = np.repeat(begins[at] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
+            theirs = member_keys[place]
+            hit = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+            both = np.add.reduceat(hit.astype(np.int64), np.concatenate(([0], np.cumsum(sizes)[:-1])))
+            linked = members[at[100 * both >= percent * (n[k] + sizes - both)]]
+            _, one = np.unique(part[linked], return_index=True)
+            found += [(int(node[k]), int(node[j])) for j in linked[one]]
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
-def _round(members: DataFrame, nodes: DataFrame, labels: DataFrame, turn: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs to verify, members whose buckets aren't finished, without this round's leaders)."""
+def _round(
+    members: DataFrame, nodes: DataFrame, texts: DataFrame, labels: DataFrame, turn: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """(links found, members whose buckets aren't finished, without this round's leaders)."""
     placed = _labelled(members, labels)
     shares = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     buckets = (
@@ -323,14 +362,15 @@ def _round(members: DataFrame, nodes: DataFrame, labels: DataFrame, turn: int, p
             F.ceil(F.col("size") / CHUNK).cast("long").alias("chunks"),
         ), "open",
     )
-    full = open_.join(nodes.select("node", "n", "m", "registers"), "node")
-    own = full.withColumn("leads", F.lit(False)).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
-    everywhere = full.where("leads").withColumn(
+    own = open_.withColumn("leads", F.lit(False)).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
+    everywhere = open_.where("leads").withColumn(
         "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)),
     )
-    columns = ["bucket", "chunk", "node", "component", "n", "m", "registers", "leads"]
-    pairs = own.select(columns).unionByName(everywhere.select(columns)).groupBy("bucket", "chunk").applyInArrow(_meet(percent), "a long, b long")
-    return pairs, open_.where("not leads").select("bucket", "node")
+    known = nodes.select("node", "n", "m", "registers").join(texts.groupBy("node").agg(F.first("text").alias("text")), "node")
+    columns = ["bucket", "chunk", "node", "component", "leads"]
+    full = own.select(columns).unionByName(everywhere.select(columns)).join(known, "node")
+    links = full.groupBy("bucket", "chunk").applyInArrow(_meet(percent), "a long, b long")
+    return links, open_.where("not leads").select("bucket", "node")
 
 
 def groups(docs: DataFrame, *, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -376,10 +416,10 @@ def _links(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int,
     members = members.select("bucket", "node")
     turn = 0
     while True:
-        pairs, members = _round(members, nodes, labels, turn, percent)
+        links, members = _round(members, nodes, texts, labels, turn, percent)
         if members.isEmpty():
             return labels
-        found = stored(verified(stored(pairs.distinct(), "pairs"), texts, percent), "links")
+        found = stored(links, "links")
         if not found.isEmpty():
             labels = joined(labels, found)
         turn += 1
