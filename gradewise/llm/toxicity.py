@@ -103,7 +103,12 @@ def _gram_means(words: Words, table: np.ndarray) -> np.ndarray:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (1 + np.tanh(0.5 * x))
+    return 1 / (1 + np.exp(np.minimum(-x, 80)))
+
+
+def _tanh(x: np.ndarray) -> np.ndarray:
+    """By way of the exponential, which numpy computes several times as fast as np.tanh for 32-bit floats."""
+    return 2 / (1 + np.exp(np.minimum(-2 * x, 80))) - 1
 
 
 def _gates(name: str, p: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -121,7 +126,7 @@ def _run(inputs: np.ndarray, mask: np.ndarray, state_weights: np.ndarray, backwa
         u = h @ state_weights
         gate = _sigmoid(g[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
         z, r = gate[:, :HIDDEN], gate[:, HIDDEN:]
-        candidate = np.tanh(g[:, 2 * HIDDEN:] + r * u[:, 2 * HIDDEN:])
+        candidate = _tanh(g[:, 2 * HIDDEN:] + r * u[:, 2 * HIDDEN:])
         new = candidate + z * (h - candidate)
         m = mask[:, t, None]
         if keep:
@@ -205,7 +210,7 @@ class Network:
             states.append(s)
             tapes.append(tape)
         h = np.concatenate(states, 2)
-        look = np.tanh(h @ p["look"])
+        look = _tanh(h @ p["look"])
         weight = np.where(mask, look @ p["query"], -30.0)
         weight = np.exp(weight - weight.max(1, keepdims=True))
         weight /= weight.sum(1, keepdims=True)
