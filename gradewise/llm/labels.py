@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A classifier sees at most this many labelled documents, those with the smallest hash of their id.
-SAMPLE_ROWS = 2500
+SAMPLE_ROWS = 4000
 
 
 def held_out(doc_id: str | Column, folds: int = 5, fold: int = 0) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,6 +12,10 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+# Entries that a sum over rows works on at once.
+BLOCK_ENTRIES = 1 << 20
+
+
 @dataclass
 class Sparse:
     """Rows of (feature, value) pairs: row i has the entries starts[i] to starts[i + 1]."""
@@ -23,19 +28,36 @@ class Sparse:
     def __len__(self) -> int:
         return len(self.starts) - 1
 
+    @classmethod
+    def of(cls, index: list[np.ndarray], value: list[np.ndarray], width: int) -> Sparse:
+        none = np.zeros(0, np.int32)
+        starts = np.concatenate(([0], np.cumsum([len(i) for i in index], dtype=np.int64)))
+        return cls(starts, np.concatenate([none, *index]), np.concatenate([none.astype(np.float32), *value]), width)
+
+    def _blocks(self) -> Iterator[tuple[int, int]]:
+        """(first row, row behind the last) of runs of rows with about `BLOCK_ENTRIES` entries; every row comes once."""
+        row = 0
+        while row < len(self):
+            stop = max(row + 1, int(np.searchsorted(self.starts, self.starts[row] + BLOCK_ENTRIES, "right")) - 1)
+            yield row, stop
+            row = stop
+
     def dot(self, weights: np.ndarray) -> np.ndarray:
-        sums = np.concatenate(([0.0], np.cumsum(weights[self.index] * self.value)))
-        return sums[self.starts[1:]] - sums[self.starts[:-1]]
+        out = np.zeros(len(self))
+        for a, b in self._blocks():
+            low, high = self.starts[a], self.starts[b]
+            sums = np.concatenate(([0.0], np.cumsum(weights[self.index[low:high]] * self.value[low:high])))
+            at = self.starts[a: b + 1] - low
+            out[a:b] = sums[at[1:]] - sums[at[:-1]]
+        return out
 
     def back(self, gradient: np.ndarray) -> np.ndarray:
-        rows = np.repeat(gradient, np.diff(self.starts))
-        return np.bincount(self.index, rows * self.value, self.width)
-
-    def take(self, rows: np.ndarray) -> Sparse:
-        sizes = np.diff(self.starts)[rows]
-        starts = np.concatenate(([0], np.cumsum(sizes)))
-        at = np.repeat(self.starts[:-1][rows] - starts[:-1], sizes) + np.arange(starts[-1])
-        return Sparse(starts, self.index[at], self.value[at], self.width)
+        out = np.zeros(self.width)
+        for a, b in self._blocks():
+            low, high = self.starts[a], self.starts[b]
+            rows = np.repeat(gradient[a:b], np.diff(self.starts[a: b + 1]))
+            out += np.bincount(self.index[low:high], rows * self.value[low:high], self.width)
+        return out
 
 
 def fit_logistic(x: Sparse, y: np.ndarray, *, steps: int = 50, rate: float = 0.15, decay: float = 1e-4) -> tuple[np.ndarray, float]:

@@ -12,6 +12,7 @@ alone decide; repeated rows are scored alike; other columns pass through `keep`
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -133,14 +134,23 @@ def features(texts: tokens.Texts) -> list[tuple[np.ndarray, np.ndarray]]:
     return [tuple(map(np.concatenate, zip(*parts))) for parts in out]
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Bytes, packed without loss: steps between features and frequencies are mostly the same few numbers."""
+    return zlib.compress(values.tobytes(), 1)
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), kind)
+
+
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b, texts in tokens.chunks(batch.column(1)):
             got = features(texts)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a),
-                pa.array([x.astype(np.int32).tobytes() for x, _ in got], pa.binary()),
-                pa.array([v.tobytes() for _, v in got], pa.binary()),
+                pa.array([_packed(np.diff(x, prepend=0).astype(np.int32)) for x, _ in got], pa.binary()),
+                pa.array([_packed(v) for _, v in got], pa.binary()),
             ], names=["id", "label", "features", "values"])
 
 
@@ -153,7 +163,7 @@ def train(
     got = chosen.mapInArrow(_feature_rows, f"id {key}, label double, features binary, values binary").collect()
     got.sort(key=lambda r: (str(r.id), bytes(r.features)))
     return fit(
-        [np.frombuffer(r.features, np.int32) for r in got], [np.frombuffer(r["values"], np.float32) for r in got],
+        [np.cumsum(_unpacked(r.features, np.int32), dtype=np.int32) for r in got], [_unpacked(r["values"], np.float32) for r in got],
         np.array([r.label for r in got]),
     )
 
@@ -162,13 +172,11 @@ def fit(index: list[np.ndarray], values: list[np.ndarray], y: np.ndarray) -> Mod
     width = FAMILIES << BITS
     if not len(y) or (y > 0.5).all() or (y <= 0.5).all():
         return Model(np.zeros((FAMILIES, 1 << BITS), np.float32), 0.0, 1.0, 0.0)
-    x = learn.Sparse(
-        np.concatenate(([0], np.cumsum([len(i) for i in index]))), np.concatenate(index), np.concatenate(values), width,
-    )
     rows = np.arange(len(y))
     for_fit, for_scale = rows[rows % 4 != 3], rows[rows % 4 == 3]
-    weights, bias = learn.fit_logistic(x.take(for_fit), y[for_fit])
-    slope, shift = learn.calibrate(x.take(for_scale).dot(weights) + bias, y[for_scale])
+    some = lambda of: learn.Sparse.of([index[i] for i in of], [values[i] for i in of], width)
+    weights, bias = learn.fit_logistic(some(for_fit), y[for_fit])
+    slope, shift = learn.calibrate(some(for_scale).dot(weights) + bias, y[for_scale])
     return Model(weights.reshape(FAMILIES, -1).astype(np.float32), float(bias), slope, shift)
 
 

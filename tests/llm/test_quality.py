@@ -3,9 +3,10 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from gradewise.llm import labels, queries, quality_rules, rule_ensemble
+from gradewise.llm import labels, learn, queries, quality_rules, rule_ensemble, tokens
 from tests.llm import plain
 
 
@@ -73,6 +74,36 @@ def test_sample_is_bounded_and_repeatable(spark, sf):
     assert not any(plain.held_out(i, 5, 0) for i in once)
 
 
+def test_no_label_of_the_largest_test_table_is_left_out(spark):
+    data = f"{plain_dir()}/sf0.1"
+    rows = plain.read(spark, data, "labels").where("quality is not null").collect()
+    ids = {r.doc_id for r in rows if r.doc_id is not None and not plain.held_out(r.doc_id, 5, 0)}
+    assert {r.id for r in labels.sample(plain.read(spark, data, "documents"), plain.read(spark, data, "labels"), "quality").collect()} == ids
+
+
+def test_features_reach_the_driver_whole():
+    texts = ["", "word", plain.PROSE * 50, "a" * 70_000, "日本語 " * 9]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(texts), pa.array([1.0, 0, 1, 0, 1])], names=["id", "text", "label"])
+    sent = [r for out in quality_rules._feature_rows(iter([batch])) for r in out.to_pylist()]
+    for r, (index, values) in zip(sent, quality_rules.features(tokens.texts_of(batch.column(1))), strict=True):
+        assert (np.cumsum(quality_rules._unpacked(r["features"], np.int32), dtype=np.int32) == index).all()
+        assert (quality_rules._unpacked(r["values"], np.float32) == values).all()
+
+
+def test_sums_in_blocks(monkeypatch):
+    random = np.random.default_rng(3)
+    index = [random.integers(0, 50, n).astype(np.int32) for n in (0, 3, 40, 1, 0, 7)]
+    values = [random.random(len(i)).astype(np.float32) for i in index]
+    dense = np.zeros((6, 50))
+    for row, i, v in zip(dense, index, values):
+        np.add.at(row, i, v)
+    weights, gradient = random.random(50), random.random(6)
+    for size in (1, 5, 1 << 20):
+        monkeypatch.setattr(learn, "BLOCK_ENTRIES", size)
+        x = learn.Sparse.of(index, values, 50)
+        assert np.allclose(x.dot(weights), dense @ weights) and np.allclose(x.back(gradient), gradient @ dense)
+
+
 @pytest.mark.parametrize("name", ["op3_rule_ensemble"])
 def test_rule_ensemble(spark, name):
     data = f"{plain_dir()}/sf0.01"
