@@ -74,7 +74,9 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write(pages, path)
     key = pages.schema["page_id"].dataType
-    return warc.read_back(spark, path, payloads=False).select(
+    # The rows come by the pages' URLs; reading all blocks shows that none is missing.
+    found = warc.lookup(spark, path, pages, payloads=False)
+    return warc.checked(found, warc.read_back(spark, path, payloads=False)).select(
         F.col("page").cast(key).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast(key).alias("refers_to"),
     )

@@ -3,8 +3,8 @@
 `write` stores pages in archives of gzip members, one a record, in the order in which they come. Their index lines, which
 are small, are range-partitioned and sorted by reversed-host URL key and stored in compressed blocks of `BLOCK_LINES` lines. The
 directory, a Parquet table, has one row for each block: its first and last key and where it lies. `read_back` reads every
-record through it, in archive order; `lookup` binary-searches the directory for URLs, then the block, and range-reads just
-those records.
+record through it, in archive order; `lookup` binary-searches the directory for URLs, then their blocks, and range-reads just
+those records. It takes any number of URLs: their keys are shuffled to the blocks, so none passes the driver.
 
 Files go through Arrow's file systems to a folder that all machines share, under a name of the task's own; only
 what a finished task reports reaches the directory, so a lost or repeated task leaves at most an unused
@@ -28,6 +28,7 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.dataset
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -222,6 +223,7 @@ class _Reader:
         return [(f[0], f[1], int(f[2]), int(f[3])) for f in (line.split(" ") for line in text.split("\n") if line)]
 
 
+ENTRY = "archive string, offset long, length long"
 RECORD = "page string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, payload binary"
 
 
@@ -253,8 +255,13 @@ def read_back(spark: SparkSession, path: str, *, payloads: bool = True) -> DataF
         reader = _Reader(path)
         for rows in _slices(batches, 64):
             found = [{"archive": a, "offset": o, "length": n} for row in rows for _, a, o, n in reader.block(row)]
-            yield pa.RecordBatch.from_pylist(found, schema=_arrow("archive string, offset long, length long"))
+            yield pa.RecordBatch.from_pylist(found, schema=_arrow(ENTRY))
 
+    return _records(directory.repartition(spread, "index", "offset").mapInArrow(entries, ENTRY), path, int(tasks), payloads)
+
+
+def _records(found: DataFrame, path: str, tasks: int, payloads: bool) -> DataFrame:
+    """The records at the found places, read in archive order."""
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(path)
         for rows in _slices(batches, 256):
@@ -263,40 +270,79 @@ def read_back(spark: SparkSession, path: str, *, payloads: bool = True) -> DataF
                 told = [t | {"payload": None} for t in told]
             yield pa.RecordBatch.from_pylist(told, schema=_arrow(RECORD))
 
-    found = directory.repartition(spread, "index", "offset").mapInArrow(entries, "archive string, offset long, length long")
     stripe = (F.col("offset") / READ_BYTES).cast("long")
-    dealt = found.repartition(int(tasks), "archive", stripe).sortWithinPartitions("archive", "offset")
+    dealt = found.repartition(tasks, "archive", stripe).sortWithinPartitions("archive", "offset")
     return dealt.mapInArrow(records, RECORD)
 
 
-def lookup(spark: SparkSession, path: str, urls: DataFrame, *, url_col: str = "url") -> DataFrame:
-    """The records of the given URLs. The URLs are a query set and go to the tasks in blocks of `LOOKUP_BYTES`."""
+def lookup(spark: SparkSession, path: str, urls: DataFrame, *, url_col: str = "url", payloads: bool = True) -> DataFrame:
+    """The records of the given URLs, each once; a task takes about `LOOKUP_BYTES` of their keys."""
     directory = spark.read.schema(DIRECTORY).parquet(f"{path}/directory")
-    keys = urls.select(url_key(url_col).alias("key")).distinct()
+    total = directory.agg(F.count("*").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    spread = max(1, min(total.n, 4 * spark.sparkContext.defaultParallelism))
+    tasks = max(1, total.bytes // READ_BYTES, spread)
+    keys = stored(urls.select(url_key(url_col).alias("key")).distinct(), "keys")
     size = keys.agg(F.sum(F.octet_length("key") + 64)).first()[0] or 0
-    out = None
-    for k in range(max(1, -(-size // LOOKUP_BYTES))):
-        part = keys.where(F.pmod(F.xxhash64("key"), F.lit(max(1, -(-size // LOOKUP_BYTES)))) == k)
-        found = directory.mapInArrow(_looker(path, sorted(r.key for r in part.collect())), RECORD)
-        out = found if out is None else out.unionByName(found)
-    return out
+    # Keys that lie together are looked for in the same blocks.
+    ordered = keys.repartitionByRange(int(min(max(1, -(-size // LOOKUP_BYTES), spread), 10_000)), "key")
+    asked = ordered.mapInArrow(_block_finder(path), ASKED)
+    placed = asked.repartition(int(spread), "index", "block").sortWithinPartitions("index", "block", "key")
+    return _records(placed.mapInArrow(_line_finder(path), ENTRY), path, int(tasks), payloads)
+
 
+ASKED = "index string, block long, size long, key string"
 
-def _looker(path: str, keys: list[str]):
+
+def _block_finder(path: str):
+    """The blocks that may hold each key, by binary search of the directory, which a task reads once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _Reader(path)
-        for rows in _slices(batches, 1024):
-            for row in rows:
-                low, high = bisect_left(keys, row["first_key"]), bisect_right(keys, row["last_key"])
-                if low == high:
-                    continue
-                lines = reader.block(row)
-                names = [line[0] for line in lines]
-                told = []
-                for key in keys[low:high]:
-                    for _, archive, offset, length in lines[bisect_left(names, key): bisect_right(names, key)]:
-                        told.append(_told(reader.read(archive, offset, length)))
-                if told:
-                    yield pa.RecordBatch.from_pylist(told, schema=_arrow(RECORD))
+        store, root = _files(path)
+        columns = ["first_key", "last_key", "index", "offset", "length"]
+        folder = pa.fs.FileSelector(posixpath.join(root, "directory"), recursive=False)
+        names = [f.path for f in store.get_file_info(folder) if f.base_name.endswith(".parquet")]
+        blocks = pa.dataset.dataset(names, filesystem=store, format="parquet").to_table(columns=columns) if names else _arrow(DIRECTORY).empty_table()
+        # Blocks are in key order, so their first keys are and their last keys are; ordered as bytes, as Spark orders strings.
+        first, last = ([x.encode("utf-8", "surrogatepass") for x in blocks[c].to_pylist()] for c in columns[:2])
+        order = sorted(range(len(first)), key=lambda i: (first[i], last[i]))
+        first, last = [first[i] for i in order], [last[i] for i in order]
+        index, offset, length = (blocks[c].to_pylist() for c in columns[2:])
+        for rows in _slices(batches, 4096):
+            found = []
+            for key in (r["key"] for r in rows):
+                data = key.encode("utf-8", "surrogatepass")
+                for i in order[bisect_left(last, data): bisect_right(first, data)]:
+                    found.append({"index": index[i], "block": offset[i], "size": length[i], "key": key})
+            yield pa.RecordBatch.from_pylist(found, schema=_arrow(ASKED))
 
     return run
+
+
+def _line_finder(path: str):
+    """The places of each key's records, by binary search of a block's lines; a task's rows come block by block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, at, lines, names = _Reader(path), None, [], []
+        for rows in _slices(batches, 4096):
+            found = []
+            for r in rows:
+                if at != (r["index"], r["block"]):
+                    at = r["index"], r["block"]
+                    lines = reader.block({"index": r["index"], "offset": r["block"], "length": r["size"]})
+                    names = [line[0].encode("utf-8", "surrogatepass") for line in lines]
+                key = r["key"].encode("utf-8", "surrogatepass")
+                for _, archive, offset, length in lines[bisect_left(names, key): bisect_right(names, key)]:
+                    found.append({"archive": archive, "offset": offset, "length": length})
+            yield pa.RecordBatch.from_pylist(found, schema=_arrow(ENTRY))
+
+    return run
+
+
+def checked(looked_up: DataFrame, read: DataFrame) -> DataFrame:
+    """The looked up records, stored; an error if they aren't the records of `read`, each as often, payloads aside."""
+    rows = stored(looked_up.drop("payload"), "looked-up")
+    print_of = [F.count("*").alias("n"), *(
+        F.sum(F.shiftrightunsigned(F.xxhash64(F.lit(k), *(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in rows.columns)), 24)).alias(f"h{k}") for k in (1, 2)
+    )]
+    one, other = rows.agg(*print_of).first(), read.agg(*print_of).first()
+    if one != other:
+        raise ValueError(f"{one.n} records were found by their URLs, {other.n} by reading all blocks, or they differ")
+    return rows

@@ -59,6 +59,27 @@ def test_lookup(spark, pages, monkeypatch, lines):
     assert warc.lookup(spark, path, asked.limit(0)).count() == 0
 
 
+def test_query_looks_its_rows_up(spark, sf, monkeypatch):
+    asked = []
+    lookup = warc.lookup
+    monkeypatch.setattr(warc, "lookup", lambda *a, **b: asked.append(a) or lookup(*a, **b))
+    assert queries.op9_warc(spark, sf).count() == spark.read.parquet(f"{sf}/pages.parquet").count()
+    assert len(asked) == 1
+
+
+@pytest.mark.parametrize("lines", [1, 2, 300])
+def test_lookup_of_all_finds_what_all_blocks_hold(spark, pages, monkeypatch, lines):
+    monkeypatch.setattr(warc, "BLOCK_LINES", lines)
+    wide = pages.unionByName(pages.withColumn("url", F.concat(F.lit("http://é日😀\uffff.org/"), "page_id")))
+    path = scratch_path(spark, "warc")
+    warc.write(wide, path)
+    read = warc.read_back(spark, path)
+    rows = warc.checked(warc.lookup(spark, path, wide), read)
+    assert told(rows.collect()) == told(read.collect()) and rows.count() == wide.count()
+    with pytest.raises(ValueError, match="by their URLs"):
+        warc.checked(warc.lookup(spark, path, wide.where("page_id <> 4")), read)
+
+
 def test_url_key(spark):
     urls = ["http://www.Example.com/a/b?c=D", "https://u:p@x.y.z:8080", "plain", "", None, "ftp://h/ a"]
     rows = spark.createDataFrame([(u,) for u in urls], "url string").select(warc.url_key(F.col("url"))).collect()
