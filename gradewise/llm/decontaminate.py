@@ -3,8 +3,9 @@
 Each task reads its documents in shards of bounded size, sorts the suffixes of a shard's word sequence
 (by prefix doubling, to the window's depth), binary-searches every suffix of every benchmark item in
 it and joins neighbouring hits to the longest verbatim matches. Documents never cross a shard, so no
-match is lost and nothing is shuffled. The benchmark is a query set: it goes to the tasks in blocks of
-`BLOCK_BYTES`, one pass a block, so none of them grows with it.
+match is lost. The benchmark is a query set: it goes to the tasks in blocks of `BLOCK_BYTES`, one pass a block. One block
+is all that the driver or a task holds; of several, each pass stores its hits before the next block is collected, and the plan
+of the result reads them as one table. With one block nothing is shuffled; with more, the hits are.
 
 Words are runs of digits, a-z (A-Z lower-cased) and characters beyond ASCII. A window is `window`
 consecutive words of an item, or the whole item if it has fewer. Defined results: a null or empty
@@ -20,11 +21,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gradewise.llm import tokens
+from gradewise.llm.tables import stored
+from gradewise.session import scratch_path
 
 WINDOW = 10
 SHARD_BYTES = 6 << 20
@@ -190,17 +193,47 @@ def search(texts: tokens.Texts, items: Items, window: int) -> dict:
     return out
 
 
-def _blocks(items: DataFrame, item_id: str, item_text: str) -> list[tuple[list, list]]:
-    """The query set in blocks of bounded size."""
+def _query_set(items: DataFrame, item_id: str, item_text: str) -> tuple[DataFrame, int]:
+    """The query set and its number of blocks; of several blocks, it is stored by block (`part`)."""
     rows = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).where("t is not null")
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = -(-size // BLOCK_BYTES)
-    blocks = []
+    if n > 1:
+        # Items with one text lie in one block.
+        part = F.pmod(F.xxhash64("t"), F.lit(n)).cast("int")
+        path = scratch_path(items.sparkSession, "items")
+        rows.distinct().withColumn("part", part).repartition("part").write.partitionBy("part").parquet(path)
+        rows = items.sparkSession.read.schema("i string, t string, part int").parquet(path)
+    return rows, n
+
+
+def _block(rows: DataFrame, k: int, n: int) -> tuple[list, list]:
+    got = (rows if n == 1 else rows.where(F.col("part") == k)).collect()
+    return [r.i for r in got], [r.t for r in got]
+
+
+def _hits(docs: DataFrame, rows: DataFrame, n: int, window: int) -> DataFrame:
+    """(`row`, `block`, `item_ids`, `matches`) of the stored documents (`row`, `text`) and blocks with a match: one pass a block."""
+    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("item_ids", T.ArrayType(T.StringType())), T.StructField("matches", MATCH)])
+    path = scratch_path(docs.sparkSession, "hits")
     for k in range(n):
-        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
-        got = part.collect()
-        blocks.append(([r.i for r in got], [r.t for r in got]))
-    return blocks
+        ids, texts = _block(rows, k, n)
+        docs.select("row", "text").mapInArrow(_hitter(ids, texts, window), schema).withColumn("block", F.lit(k)).write.mode("append").parquet(path)
+    return docs.sparkSession.read.schema(schema.add("block", T.IntegerType())).parquet(path)
+
+
+def _covered(matches: str) -> Column:
+    """How many words the union of the matches covers."""
+    ordered = F.array_sort(F.transform(matches, lambda m: F.struct(m["start"], m["end"])))
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to"))
+    return F.aggregate(
+        ordered, zero,
+        lambda a, m: F.struct(
+            (a["n"] + F.greatest(F.lit(0).cast("long"), m["end"] - F.greatest(m["start"], a["to"]))).alias("n"),
+            F.greatest(a["to"], m["end"]).alias("to"),
+        ),
+        lambda a: a["n"],
+    )
 
 
 def find(
@@ -211,37 +244,29 @@ def find(
 
     A match names the first of the items with its text. `n_hit` counts words inside any window's occurrence.
     """
-    id_type = docs.schema[id_col].dataType
-    blocks = _blocks(items, item_id, item_text)
+    id_field = T.StructField("id", docs.schema[id_col].dataType)
+    rows, n = _query_set(items, item_id, item_text)
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    fields = [T.StructField("id", id_type), T.StructField("text", T.StringType())]
-    result = [
-        T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
-        T.StructField("item_ids", T.ArrayType(T.StringType())), T.StructField("matches", MATCH),
-    ]
-    if len(blocks) < 2:
-        ids, texts = blocks[0] if blocks else ([], [])
-        out = out.mapInArrow(_finder(ids, texts, window, False), T.StructType([fields[0], *result]))
+    counted = T.StructField("n_words", T.LongType())
+    if n < 2:
+        ids, texts = _block(rows, 0, n) if n else ([], [])
+        out = out.mapInArrow(_finder(ids, texts, window), T.StructType([
+            id_field, counted, T.StructField("n_hit", T.LongType()), T.StructField("item_ids", T.ArrayType(T.StringType())), T.StructField("matches", MATCH),
+        ]))
     else:
-        # Each pass adds a block's matches to those of the passes before; the last row of words covered is
-        # then the union of all spans.
-        out = out.withColumn("matches", F.array().cast(MATCH)).withColumn("item_ids", F.array().cast("array<string>"))
-        carried = T.StructType([*fields, T.StructField("matches", MATCH), result[2], result[0]])
-        for ids, texts in blocks:
-            out = out.mapInArrow(_finder(ids, texts, window, True), carried)
-        ordered = F.array_sort(F.transform("matches", lambda m: F.struct(m["start"], m["end"])))
-        zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to"))
-        covered = F.aggregate(
-            ordered, zero,
-            lambda a, m: F.struct(
-                (a["n"] + F.greatest(F.lit(0).cast("long"), m["end"] - F.greatest(m["start"], a["to"]))).alias("n"),
-                F.greatest(a["to"], m["end"]).alias("to"),
-            ),
-            lambda a: a["n"],
-        )
-        out = out.select(
-            "id", "n_words", covered.alias("n_hit"), F.array_sort("item_ids").alias("item_ids"), "matches",
+        known = out.mapInArrow(_count_words, T.StructType([id_field, T.StructField("text", T.StringType()), counted]))
+        known = stored(known.withColumn("row", F.monotonically_increasing_id()), "documents")
+        # A document's hits in the order of the blocks.
+        found = _hits(known, rows, n, window).groupBy("row").agg(
+            F.array_sort(F.collect_list(F.struct("block", "item_ids", "matches"))).alias("found"),
+        ).select(
+            F.col("row").alias("hit_row"), F.array_sort(F.array_distinct(F.flatten("found.item_ids"))).alias("item_ids"),
+            F.flatten("found.matches").alias("matches"),
         )
+        out = known.select("row", "id", "n_words").join(found, F.col("row") == F.col("hit_row"), "left").select(
+            "id", "n_words", F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
+            F.coalesce("matches", F.array().cast(MATCH)).alias("matches"),
+        ).select("id", "n_words", _covered("matches").alias("n_hit"), "item_ids", "matches")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -252,35 +277,47 @@ def _shards(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa
             yield batch.slice(a, b - a), shard
 
 
-def _finder(ids: list, texts: list, window: int, carry: bool):
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rows, shard in _shards([batch], "text"):
+            n = np.diff(word_hashes(shard)[1])
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(n, pa.int64())], names=["id", "text", "n_words"])
+
+
+def _told(hit: dict, items: Items) -> tuple[list[str], list[dict]]:
+    """Sorted item ids and the matches of one document's hit."""
+    ids = sorted({x for t in hit["texts"] for x in items.ids[t]})
+    return ids, [{"item_id": min(items.ids[t]), "start": s, "end": e} for t, s, e in sorted(hit["matches"], key=lambda m: m[1:])]
+
+
+_ITEM_IDS = pa.list_(pa.string())
+_MATCHES = pa.list_(pa.struct([("item_id", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _hitter(ids: list, texts: list, window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = index_items(ids, texts, window)
+        for rows, shard in _shards(batches, "text"):
+            hits = search(shard, items, window)["hits"]
+            told = [_told(hit, items) for hit in hits.values()]
+            yield pa.RecordBatch.from_arrays([
+                rows.column(0).take(pa.array(list(hits), pa.int64())), pa.array([t[0] for t in told], _ITEM_IDS), pa.array([t[1] for t in told], _MATCHES),
+            ], names=["row", "item_ids", "matches"])
+
+    return run
+
+
+def _finder(ids: list, texts: list, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = index_items(ids, texts, window)
         for rows, shard in _shards(batches, "text"):
             got = search(shard, items, window)
-            n_hit, found, matches = [], [], []
-            for i in range(len(shard)):
-                hit = got["hits"].get(i)
-                n_hit.append(hit["n_hit"] if hit else 0)
-                found.append(sorted({x for t in hit["texts"] for x in items.ids[t]}) if hit else [])
-                matches.append([
-                    {"item_id": min(items.ids[t]), "start": s, "end": e} for t, s, e in sorted(hit["matches"], key=lambda m: m[1:])
-                ] if hit else [])
-            if carry:
-                before = rows.column(2).to_pylist(), rows.column(3).to_pylist()
-                matches = [a + b for a, b in zip(before[0], matches)]
-                found = [sorted({*a, *b}) for a, b in zip(before[1], found)]
-            arrays = {
-                "n_words": pa.array(got["n_words"], pa.int64()), "n_hit": pa.array(n_hit, pa.int64()),
-                "item_ids": pa.array(found, pa.list_(pa.string())),
-                "matches": pa.array(matches, pa.list_(pa.struct([
-                    ("item_id", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
-                ]))),
-            }
-            names = ["matches", "item_ids", "n_words"] if carry else list(arrays)
-            kept = rows.columns[:2] if carry else rows.columns[:1]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, *(arrays[n] for n in names)], names=["id", *["text"][: len(kept) - 1], *names],
-            )
+            told = [_told(got["hits"][i], items) if i in got["hits"] else ([], []) for i in range(len(shard))]
+            n_hit = [got["hits"][i]["n_hit"] if i in got["hits"] else 0 for i in range(len(shard))]
+            yield pa.RecordBatch.from_arrays([
+                rows.column(0), pa.array(got["n_words"], pa.int64()), pa.array(n_hit, pa.int64()),
+                pa.array([t[0] for t in told], _ITEM_IDS), pa.array([t[1] for t in told], _MATCHES),
+            ], names=["id", "n_words", "n_hit", "item_ids", "matches"])
 
     return run
 
@@ -290,9 +327,13 @@ def remove(
     item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
 ) -> DataFrame:
     """The documents in which no window of any item occurs, with all their columns."""
-    for _, texts in _blocks(items, item_id, item_text):
-        docs = docs.mapInArrow(_remover(texts, text_col, window), docs.schema)
-    return docs
+    rows, n = _query_set(items, item_id, item_text)
+    if n < 2:
+        return docs.mapInArrow(_remover(_block(rows, 0, n)[1], text_col, window), docs.schema) if n else docs
+    every = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
+    known = stored(docs.select(every, F.monotonically_increasing_id().alias("row")), "documents")
+    hit = _hits(known.select("row", F.col("doc").getField(text_col).alias("text")), rows, n, window).select("row").distinct()
+    return known.join(hit, "row", "left_anti").select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
 
 
 def _remover(texts: list, column: str, window: int):

@@ -71,3 +71,20 @@ def test_nothing(spark, items):
     assert decontaminate.find(plain.no_docs(spark), items).count() == 0
     none = decontaminate.find(plain.odd_docs(spark), items.limit(0))
     assert none.where("n_hit > 0 or size(item_ids) > 0").count() == 0 and none.count() == 16
+
+
+def test_blocks_come_one_at_a_time(spark, items, plan, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 20)
+    docs = plain.odd_docs(spark)
+    plans = [plan(decontaminate.find(docs, items)), plan(decontaminate.remove(docs, items))]
+    # The passes are over: neither a block nor a step for each is left in the plan of the result.
+    assert not any("MapInArrow" in p for p in plans)
+
+
+def test_equal_items_of_many_blocks_match_once(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 60)
+    docs = spark.createDataFrame([(1, "x " + plain.PROSE)], "doc_id int, text string")
+    items = spark.createDataFrame([(k, plain.PROSE) for k in range(12)], "item_id int, text string")
+    row = decontaminate.find(docs, items).first()
+    n = len(plain.PROSE.split())
+    assert [tuple(m) for m in row.matches] == [("0", 1, 1 + n)] and row.n_hit == n and row.item_ids == sorted(map(str, range(12)))
