@@ -2,8 +2,8 @@
 
 A word enters as a learned vector of its own (if it is common enough in training), the mean of learned vectors of its
 hashed character trigrams, and how much its beginnings of `STEMS` bytes tell toxic texts from clean ones. Two gated recurrent layers read a window of `WINDOW` words in both directions, attention pools their
-states and a logistic unit scores the pool. Windows begin every `STRIDE` words, so all words are read in two of them but
-at a text's ends; a text's score is its highest window's, calibrated on the training sample. Everything is numpy: training on the driver over a bounded sample
+states and a logistic unit scores the pool. A text's score is the highest of all its windows', which begin at every word
+(`SCORE_STRIDE`), calibrated on the training sample's. The network learns from windows that begin every `STRIDE` words. Everything is numpy: training on the driver over a bounded sample
 of labelled texts (`TOXIC_ROWS`, `CLEAN_ROWS`, each of at most `TRAIN_BYTES`), scoring in Arrow batches without a shuffle.
 
 A label says only that something in a text is toxic. Training starts from windows with the words that tell toxic from clean
@@ -31,6 +31,7 @@ CLEAN_ROWS = 1800
 TRAIN_BYTES = 16 << 10
 WINDOW = 32
 STRIDE = 16
+SCORE_STRIDE = 1
 WORD_SIZE = CHAR_SIZE = 8
 HIDDEN = 8
 CHAR_BUCKETS = 1 << 12
@@ -83,13 +84,13 @@ class Words:
         stems = [texts.hashes(starts, starts + np.minimum(k, sizes), tokens.LOWER_CODES) * (sizes > k) for k in STEMS]
         return cls(keys, np.stack(stems, 1), grams, gram_first, which, first)
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
         """(start of each window, its text): as many as cover every word, none of a text without words."""
         n = np.diff(self.first)
-        many = np.where(n > 0, np.maximum(1, -(-(n - (WINDOW - STRIDE)) // STRIDE)), 0)
+        many = np.where(n > 0, np.maximum(1, -(-(n - (WINDOW - stride)) // stride)), 0)
         owner = np.repeat(np.arange(len(n)), many)
         rank = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        return self.first[owner] + STRIDE * rank, owner
+        return self.first[owner] + stride * rank, owner
 
     def rows(self, start: np.ndarray, owner: np.ndarray) -> np.ndarray:
         """Word of each place of the windows, -1 behind a text's end."""
@@ -253,9 +254,9 @@ class Network:
         g["chars"] = np.stack([np.bincount(part.grams, per_gram[:, c], CHAR_BUCKETS) for c in range(CHAR_SIZE)], 1)
         return g
 
-    def highest(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def highest(self, words: Words, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(raw score of every window, its start, its text, each text's highest score or minus infinity)."""
-        start, owner = words.windows()
+        start, owner = words.windows(stride)
         raw = np.empty(len(start), np.float32)
         x = self.inputs(words) if len(start) else None
         for k in range(0, len(start), BLOCK):
@@ -265,7 +266,7 @@ class Network:
         return raw, start, owner, best
 
     def score(self, texts: tokens.Texts) -> np.ndarray:
-        best = self.highest(Words.of(texts))[3]
+        best = self.highest(Words.of(texts), SCORE_STRIDE)[3]
         return np.where(np.isfinite(best), learn.sigmoid(self.slope * np.where(np.isfinite(best), best, 0) + self.shift), 0.0)
 
 
@@ -340,7 +341,8 @@ def fit(texts: list[str], y: np.ndarray) -> Network | None:
                     # Vectors of single words learn slowly: there are more of them than labelled texts.
                     rate = 0.0005 if name in ("words", "chars") else 0.01
                     network.p[name] -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
-        raw, _, _, best = network.highest(words)
+        raw = network.highest(words)[0]
+    best = network.highest(words, SCORE_STRIDE)[3]
     found = np.isfinite(best)
     network.slope, network.shift = learn.calibrate(best[found], y[found])
     return network

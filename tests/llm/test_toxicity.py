@@ -48,6 +48,16 @@ def test_windows_cover_every_word():
         assert len(covered) == n
 
 
+def test_every_window_start_is_scored():
+    random = np.random.default_rng(5)
+    lists = [["".join(random.choice(list("abcdefg"), 4)) for _ in range(n)] for n in (1, 31, 32, 33, 47, 100, 200)]
+    network = small_network(words_of([" ".join(w) for w in lists]))
+    score = lambda texts: network.score(tokens.texts_of(pa.array(texts)))
+    for w in lists:
+        parts = [" ".join(w[k: k + toxicity.WINDOW]) for k in range(max(1, len(w) - toxicity.WINDOW + 1))]
+        assert abs(score([" ".join(w)])[0] - score(parts).max()) < 1e-6
+
+
 def test_held_out(spark):
     data = f"{plain_dir()}/sf0.1"
     truth = {r.doc_id: r.toxic for r in plain.read(spark, data, "labels").collect()}
