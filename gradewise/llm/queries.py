@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gradewise.llm import bpe, decontaminate, kneser_ney, license_scan, pii, quality_rules, rule_ensemble, setsketch, toxicity, warc
+from gradewise.llm import (
+    bpe, collocations, conversation_repair, decontaminate, kneser_ney, license_scan, pii, quality_rules, rule_ensemble, setsketch,
+    token_counts, toxicity, warc,
+)
 from gradewise.llm.labels import held_out
 from gradewise.session import scratch_path
 
@@ -90,6 +93,24 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.mine(_read(spark, sf, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    counted = token_counts.count(_read(spark, sf, "documents"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    damaged = conversation_repair.damage(_read(spark, sf, "conversations"))
+    repaired = conversation_repair.repair(damaged, present_col="present")
+    told = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["text"])), "\n")
+    return repaired.select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", F.sha2(told, 256).alias("repaired_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -102,6 +123,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii": op8_pii,
         "op9_warc": op9_warc,
         "op10_decontaminate": op10_decontaminate,
+        "op11_collocations": op11_collocations,
+        "op12_token_counts": op12_token_counts,
+        "op13_conversation_repair": op13_conversation_repair,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -177,7 +201,129 @@ FROM q
 """
 
 
+_OP11 = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+  )
+),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS p FROM pieces WHERE len(w) > 0),
+one AS (SELECT lang, w[p] AS x, count(*) AS f FROM places GROUP BY ALL),
+two AS (SELECT lang, w[p] AS x, w[p + 1] AS y, count(*) AS f FROM places WHERE p < len(w) GROUP BY ALL),
+three AS (
+  SELECT lang, w[p] AS x, w[p + 1] AS y, w[p + 2] AS z, count(*) AS f FROM places WHERE p + 1 < len(w) GROUP BY ALL HAVING count(*) >= 10
+),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM one GROUP BY lang),
+cuts AS (
+  SELECT two.lang, two.x || ' ' || two.y AS phrase, two.f AS a, 1 AS k, i.f AS l, j.f AS r
+  FROM two JOIN one i ON i.lang = two.lang AND i.x = two.x JOIN one j ON j.lang = two.lang AND j.x = two.y
+  WHERE two.f >= 10 AND NOT EXISTS (
+    FROM three t WHERE t.lang = two.lang AND 100 * t.f >= 50 * two.f AND ((t.x = two.x AND t.y = two.y) OR (t.y = two.x AND t.z = two.y))
+  )
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, 1, i.f, j.f
+  FROM three t JOIN one i ON i.lang = t.lang AND i.x = t.x JOIN two j ON j.lang = t.lang AND j.x = t.y AND j.y = t.z
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, 2, i.f, j.f
+  FROM three t JOIN two i ON i.lang = t.lang AND i.x = t.x AND i.y = t.y JOIN one j ON j.lang = t.lang AND j.x = t.z
+),
+scored AS (SELECT *, CAST(1000000 * a::HUGEINT * a // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts),
+least_cut AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least_cut)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+_OP13 = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations
+),
+faults AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(
+    list_prepend(4294967295, list_transform(range(1, length(key) + 1), lambda i: unicode(substr(key, i, 1)))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS fault
+  FROM keyed, crc
+),
+damaged AS (
+  SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE fault WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM faults WHERE fault <> 0
+),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS p FROM damaged),
+told AS (
+  SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS cut_off,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 AS again,
+    left(lag(role) OVER (PARTITION BY conv_id ORDER BY p), 1) || left(role, 1) AS following
+  FROM numbered
+),
+fates AS (SELECT *, blank OR again AS must_go, NOT blank AND NOT again AND cut_off AS truncated FROM told),
+edits(edit, state, initial, goal, cost) AS (VALUES
+  ('K', 'e', 's', 's', 0), ('K', 'e', 'u', 'u', 0), ('K', 's', 'u', 'u', 0), ('K', 'u', 'a', 'a', 0), ('K', 'a', 'u', 'u', 0),
+  ('R', 'e', NULL, 'u', 1), ('R', 's', NULL, 'u', 1), ('R', 'u', NULL, 'a', 1), ('R', 'a', NULL, 'u', 1),
+  ('D', 'e', NULL, 'e', 2), ('D', 's', NULL, 's', 2), ('D', 'u', NULL, 'u', 2), ('D', 'a', NULL, 'a', 2)
+),
+inserts(state, goal, edits, cost) AS (VALUES
+  ('e', 'e', '', 0), ('s', 's', '', 0), ('u', 'u', '', 0), ('a', 'a', '', 0), ('e', 'u', 'I', 5), ('e', 'a', 'II', 10),
+  ('s', 'u', 'I', 5), ('s', 'a', 'II', 10), ('u', 'a', 'I', 5), ('a', 'u', 'I', 5)
+),
+reach AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS p, goal AS state, CAST(cost AS BIGINT) AS cost, edits AS audit
+  FROM (SELECT DISTINCT conv_id FROM damaged), inserts WHERE state = 'e'
+  UNION ALL
+  SELECT conv_id, p, state, cost, audit FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) AS place FROM (
+      SELECT r.conv_id, f.p, i.goal AS state, r.cost + e.cost + i.cost + CASE WHEN f.truncated AND e.edit <> 'D' THEN 5 ELSE 0 END AS cost,
+        r.audit || e.edit || i.edits AS audit
+      FROM reach r JOIN fates f ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.p = r.p + 1
+      JOIN edits e ON e.state = r.state AND coalesce(e.initial, f.initial) = f.initial AND (e.edit = 'D' OR NOT f.must_go)
+      JOIN inserts i ON i.state = e.goal
+    )
+  ) WHERE place = 1
+),
+counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (following NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM fates GROUP BY conv_id
+),
+cheapest AS (
+  SELECT r.conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit
+  FROM reach r JOIN counted c ON c.conv_id IS NOT DISTINCT FROM r.conv_id AND c.n = r.p
+  WHERE state IN ('e', 'a') QUALIFY row_number() OVER (PARTITION BY r.conv_id ORDER BY cost, audit) = 1
+),
+steps AS (
+  SELECT conv_id, j, audit[j] AS edit, length(replace(audit[1:j], 'I', '')) AS p, length(replace(audit[1:j], 'D', '')) AS q
+  FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS j FROM cheapest)
+),
+messages AS (
+  SELECT s.conv_id, s.j, s.edit, s.q, f.role, f.initial, CASE s.edit WHEN 'I' THEN '' ELSE f.text END AS text,
+    max(CASE WHEN s.q = 1 AND s.edit = 'K' AND f.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY s.conv_id) AS system
+  FROM steps s LEFT JOIN fates f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.p = s.p WHERE s.edit <> 'D'
+),
+repaired AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (q - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text,
+    chr(10) ORDER BY j) AS text FROM messages GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+  sha256(coalesce(r.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN cheapest c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL; the queries without it are tested against plain versions in `tests/llm`."""
-    sql = {"op5_setsketch": _OP5, "op9_warc": _OP9, "op10_decontaminate": _OP10}
+    sql = {
+        "op5_setsketch": _OP5, "op9_warc": _OP9, "op10_decontaminate": _OP10, "op11_collocations": _OP11, "op13_conversation_repair": _OP13,
+    }
     return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
