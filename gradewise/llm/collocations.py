@@ -17,7 +17,6 @@ scores go by occurrences, then by the phrase's bytes; columns besides text and l
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradewise.llm import tokens
+from gradewise.llm.packing import packed, unpacked
 from gradewise.llm.tables import stored
 
 LEAST = 10
@@ -152,53 +152,75 @@ def added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[order[lead]], np.add.reduceat(counts[order], lead)
 
 
-def _coded(batch: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """(n-grams as rows of three word numbers from 1 on, 0 for none; counts; hash of each number; word, space and language of each number)."""
-    chunk = batch.column("chunk").combine_chunks()
-    texts = tokens.texts_of(chunk)
-    starts, ends, first = texts.spans(NO_SPACE)
+def _codes(words: pa.Array, langs: pa.Array, lang: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(number of each word of its language from 1 on, the numbers' words with space and language behind)."""
+    words, langs = words.dictionary_encode(), langs.dictionary_encode()
+    names = langs.dictionary.cast(pa.large_binary())
+    both = words.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(names) + langs.indices.to_numpy(zero_copy_only=False)[lang]
+    used, code = distinct(both, len(words.dictionary) * len(names))
+    told = pc.binary_join_element_wise(
+        words.dictionary.take(pa.array(used // len(names))), names.take(pa.array(used % len(names))), pa.scalar(b"", pa.large_binary()),
+    )
+    # Numbers in the words' order: neighbours that begin alike shrink best.
+    order = pc.sort_indices(told)
+    number = np.empty(len(told), np.int64)
+    number[order.to_numpy()] = np.arange(1, len(told) + 1)
+    return number[code], told.take(order)
+
+
+def distinct(numbers: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the different numbers in order, the place of each number among them)."""
+    if below > max(1 << 22, 8 * len(numbers)):
+        return np.unique(numbers, return_inverse=True)
+    there = np.zeros(below, bool)
+    there[numbers] = True
+    used = np.flatnonzero(there)
+    place = np.zeros(below, np.int64)
+    place[used] = np.arange(len(used))
+    return used, place[numbers]
+
+
+def _buffers(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of an array of strings and where each begins, with the end of the last."""
+    texts = tokens.texts_of(pa.Array.from_buffers(pa.large_string(), len(words), words.buffers(), offset=words.offset))
+    return texts.data, texts.bounds
+
+
+def _grams(table: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(n-grams as rows of three word numbers, 0 for none; counts; the numbers' words with space and language behind)."""
+    texts = tokens.texts_of(table.column("chunk").combine_chunks())
+    starts, _, first = texts.spans(NO_SPACE)
     size = np.diff(first)
     owner = tokens.owners(first)
     # A word with the space behind it is a slice of the buffer.
     slices = pa.Array.from_buffers(
         pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(texts.data)).astype(np.int64)), pa.py_buffer(texts.data)],
-    ).dictionary_encode()
-    langs = batch.column("lang").combine_chunks().dictionary_encode()
-    names, lang_names = slices.dictionary.to_pylist(), [x.encode() for x in langs.dictionary.to_pylist()]
-    lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner]
-    both, code = np.unique(slices.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(lang_names) + lang, return_inverse=True)
-    words = [names[i] + lang_names[j] for i, j in zip((both // len(lang_names)).tolist(), (both % len(lang_names)).tolist())]
-    code = code.astype(np.int64) + 1
-    weight = batch.column("n").to_numpy().astype(np.int64)[owner]
-    place = np.arange(len(code)) - first[:-1][owner]
-    left = size[owner] - place
-    own = left > np.where(batch.column("last").to_numpy(zero_copy_only=False), 0, OVERLAP)[owner]
+    )
+    code, words = _codes(slices, table.column("lang").combine_chunks(), owner)
+    weight = table.column("n").to_numpy()[owner]
+    left = np.repeat(size, size) - (np.arange(len(code)) - first[:-1][owner])
+    own = left > np.where(table.column("last").to_numpy(), 0, OVERLAP)[owner]
     one = np.flatnonzero(own)
-    two = np.flatnonzero(own & (left > 1))
-    three = np.flatnonzero(own & (left > 2))
+    two = one[left[one] > 1]
+    three = two[left[two] > 2]
     keys = np.zeros((len(one) + len(two) + len(three), 3), np.int64)
     keys[:, 0] = code[np.concatenate((one, two, three))]
     keys[len(one):, 1] = code[np.concatenate((two, three)) + 1]
     keys[len(one) + len(two):, 2] = code[three + 2]
-    keys, counts = added(keys, weight[np.concatenate((one, two, three))])
-    hashes = np.zeros(len(words) + 1, np.uint64)
-    hashes[1:] = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
-    return keys, counts, hashes, words
-
-
-_GRAMS = ["bucket", "n_words", "n_grams", "words_size", "words", "grams_size", "grams"]
+    return *added(keys, weight[np.concatenate((one, two, three))]), words
 
 
-def _packed(raw: bytes) -> tuple[int, bytes]:
-    return len(raw), pa.compress(raw, codec="zstd", asbytes=True)
+PAYLOAD = ["bucket", "n_words", "n_grams", "words_size", "words", "grams_size", "grams"]
 
 
 def _counter(buckets: int):
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
-            # Words of a batch, but for a few bytes: what is flushed at once follows the texts.
+            # About the batch's words; what is counted at once follows the texts.
             size += int(pc.sum(pc.binary_length(batch.column(2))).as_py() or 0) // 6 + len(batch)
             held.append(batch)
             if size >= FLUSH_WORDS:
@@ -211,40 +233,36 @@ def _counter(buckets: int):
         table = pa.Table.from_batches(held).rename_columns(["lang", "last", "chunk", "n"])
         if not len(table):
             return
-        keys, counts, hashes, words = _coded(table.set_column(2, "chunk", table.column("chunk").cast(pa.large_string())))
+        keys, counts, words = _grams(table.set_column(2, "chunk", table.column("chunk").cast(pa.large_string())))
+        data, bounds = _buffers(words)
+        hashes = np.append(np.zeros(1, np.uint64), tokens.Texts(data, bounds).hashes(bounds[:-1], bounds[1:]))
         mixed = np.zeros(len(keys), np.uint64)
         for k in range(3):
             mixed = tokens.mix(mixed + hashes[keys[:, k]] + np.uint64(k))
-        bucket = (mixed % np.uint64(buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
+        bucket = mixed % np.uint64(buckets)
+        order = np.argsort(bucket.astype(np.uint16 if buckets < 1 << 16 else np.uint32), kind="stable")
         edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
         rows = []
         for k in np.flatnonzero(np.diff(edges)).tolist():
-            at = order[edges[k]: edges[k + 1]]
-            used, local = np.unique(keys[at], return_inverse=True)
-            local = local.reshape(-1, 3) + (used[0] != 0)
-            used = used[used != 0]
-            own = _joined([words[i - 1] for i in used.tolist()])
-            # Sorted rows: the first word as steps; each column by itself.
-            kind = np.uint16 if len(used) < 1 << 16 else np.uint32
-            columns = [np.diff(local[:, 0], prepend=0).astype(kind), local[:, 1].astype(kind), local[:, 2].astype(kind), counts[at]]
-            rows.append((k, len(used), len(at), *_packed(own), *_packed(b"".join(c.tobytes() for c in columns))))
-        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
-        for a in range(0, len(rows), 64):
-            part = zip(*rows[a: a + 64])
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(part, kinds)], names=_GRAMS)
+            rows.append((k, *_payload(keys[order[edges[k]: edges[k + 1]]], counts[order[edges[k]: edges[k + 1]]], words)))
+            if len(rows) == 64:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=PAYLOAD)
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=PAYLOAD)
 
     return run
 
 
-def _joined(words: list[bytes]) -> bytes:
-    """The words' sizes and bytes."""
-    return np.fromiter(map(len, words), np.uint32, len(words)).tobytes() + b"".join(words)
-
-
-def _parted(raw: bytes, n: int) -> list[bytes]:
-    ends = (4 * n + np.cumsum(np.frombuffer(raw, np.uint32, n).astype(np.int64))).tolist()
-    return [raw[a:b] for a, b in zip([4 * n, *ends], ends)]
+def _payload(keys: np.ndarray, counts: np.ndarray, words: pa.Array) -> tuple:
+    """Words and n-grams of one bucket as packed numbers, the n-grams' words renumbered."""
+    used, local = distinct(np.append(keys.ravel(), 0), len(words) + 1)
+    local = local[:-1].reshape(-1, 3)
+    data, bounds = _buffers(words.take(pa.array(used[1:] - 1)))
+    # Sorted rows: the first word as steps; each column by itself.
+    kind = np.uint16 if len(used) <= 1 << 16 else np.uint32
+    columns = [np.diff(local[:, 0], prepend=0).astype(kind), local[:, 1].astype(kind), local[:, 2].astype(kind), counts]
+    return len(used) - 1, len(keys), *packed(np.diff(bounds).astype(np.uint32), data), *packed(*columns)
 
 
 def _adder(least: int):
@@ -256,63 +274,64 @@ def _adder(least: int):
                 if k != now:
                     yield from bucket.result()
                     bucket, now = _Bucket(least), k
-                bucket.add(
-                    _parted(pa.decompress(words, decompressed_size=words_size, codec="zstd", asbytes=True), n_words),
-                    pa.decompress(grams, decompressed_size=grams_size, codec="zstd", asbytes=True), n_grams,
-                )
+                bucket.add(unpacked(words_size, words), n_words, unpacked(grams_size, grams), n_grams)
         yield from bucket.result()
 
     return run
 
 
 class _Bucket:
-    """N-grams of one bucket, by numbers of the words met so far."""
+    """N-grams of one bucket, by numbers of the words met so far; what has come since the last merge waits."""
 
     def __init__(self, least: int):
         self.least = least
-        self.number: dict[bytes, int] = {}
-        self.held: list[tuple[np.ndarray, np.ndarray]] = []
-        self.size = self.merged = 0
-
-    def add(self, words: list[bytes], raw: bytes, n: int) -> None:
-        number = self.number
-        code = np.zeros(len(words) + 1, np.int64)
-        code[1:] = [number.setdefault(w, len(number) + 1) for w in words]
-        kind = np.dtype(np.uint16 if len(words) < 1 << 16 else np.uint32)
+        self.words = pa.array([], pa.large_binary())
+        self.keys, self.counts = np.zeros((0, 3), np.int64), np.zeros(0, np.int64)
+        self.waiting: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, words: bytes, n_words: int, raw: bytes, n: int) -> None:
+        ends = np.append(0, np.cumsum(np.frombuffer(words, np.uint32, n_words).astype(np.int64)))
+        words = pa.Array.from_buffers(pa.large_binary(), n_words, [None, pa.py_buffer(ends), pa.py_buffer(words[4 * n_words:])])
+        kind = np.dtype(np.uint16 if n_words < 1 << 16 else np.uint32)
         step = n * kind.itemsize
-        first = np.cumsum(np.frombuffer(raw, kind, n), dtype=kind)
-        columns = [first, np.frombuffer(raw, kind, n, step), np.frombuffer(raw, kind, n, 2 * step)]
-        self.held.append((np.stack([code[c] for c in columns], axis=1), np.frombuffer(raw, np.int64, n, 3 * step)))
+        columns = [np.cumsum(np.frombuffer(raw, kind, n), dtype=kind), np.frombuffer(raw, kind, n, step), np.frombuffer(raw, kind, n, 2 * step)]
+        self.waiting.append((words, np.stack(columns, axis=1), np.frombuffer(raw, np.int64, n, 3 * step)))
         self.size += n
-        if self.size > max(MERGE_ROWS, 2 * self.merged):
+        if self.size > max(MERGE_ROWS, 2 * len(self.keys)):
             self._merge()
 
     def _merge(self) -> None:
-        self.held = [added(*map(np.concatenate, zip(*self.held)))]
-        self.size = self.merged = len(self.held[0][0])
+        coded = pa.chunked_array([self.words, *(w for w, _, _ in self.waiting)]).combine_chunks().dictionary_encode()
+        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        keys, at = [self.keys], len(self.words)
+        for words, own, _ in self.waiting:
+            keys.append(np.append(0, code[at: at + len(words)])[own])
+            at += len(words)
+        self.words = coded.dictionary
+        self.keys, self.counts = added(np.concatenate(keys), np.concatenate([self.counts, *(c for _, _, c in self.waiting)]))
+        self.waiting, self.size = [], 0
 
     def result(self) -> Iterator[pa.RecordBatch]:
         """N-grams with `least` occurrences, and for each language all its words' occurrences (no word)."""
-        if not self.held:
+        if not self.waiting and not len(self.keys):
             return
         self._merge()
-        keys, counts = self.held[0]
-        names = [b"", *self.number]
+        keys, counts = self.keys, self.counts
         single = np.flatnonzero(keys[:, 1] == 0)
-        total: dict[bytes, int] = {}
-        for k, n in zip(keys[single, 0].tolist(), counts[single].tolist()):
-            lang = names[k].partition(b" ")[2]
+        total: dict[str, int] = {}
+        names = self.words.take(pa.array(keys[single, 0] - 1)).to_pylist()
+        for name, n in zip(names, counts[single].tolist()):
+            lang = name.partition(b" ")[2]
             total[lang] = total.get(lang, 0) + n
         rows = [(lang.decode(), None, None, None, n) for lang, n in total.items()]
         many = np.flatnonzero(counts >= self.least)
         for a in range(0, max(1, len(many)), BATCH_ROWS):
             part = many[a: a + BATCH_ROWS]
-            for (u, v, w), n in zip(keys[part].tolist(), counts[part].tolist()):
-                word, _, lang = names[u].partition(b" ")
-                rows.append((
-                    lang.decode(), word.decode(), names[v].partition(b" ")[0].decode() if v else None,
-                    names[w].partition(b" ")[0].decode() if w else None, n,
-                ))
+            names = [self.words.take(pa.array(keys[part, k] - 1, mask=keys[part, k] == 0)).to_pylist() for k in range(3)]
+            for *word, n in zip(*names, counts[part].tolist()):
+                apart = [w.partition(b" ") if w is not None else None for w in word]
+                rows.append((apart[0][2].decode(), *(w and w[0].decode() for w in apart), n))
             if rows:
                 kinds = [pa.string()] * 4 + [pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["lang", "w1", "w2", "w3", "f"])
