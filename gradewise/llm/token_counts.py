@@ -4,13 +4,14 @@ A pre-token is a stretch of text that no piece of the vocabulary reaches out of,
 those of its pre-tokens. In a vocabulary whose pieces have their space marks in front, a run of spaces with what follows it up to the next
 space is one; characters that no piece has (line breaks here) stand alone. The vocabulary is checked for it.
 
-1. Each task counts the pre-tokens of its documents, some MB of texts at a time, and ships for each bucket of pre-tokens the distinct ones
-   with their documents' frequencies (numbers, packed).
-2. The task of a bucket looks up or counts the pieces of each distinct pre-token, joins them to the frequencies and adds up for each document.
-3. The documents' partial sums are added by Spark. No list of ids of a document is ever made.
+1. Each task counts the pre-tokens of its documents, some MB of texts (a chunk) at a time. It ships the chunk's distinct pre-tokens to their
+   buckets, and the documents' frequencies as packed numbers.
+2. The task of a bucket counts the pieces of each distinct pre-token once, and sends each chunk the numbers for its pre-tokens, in their order.
+   The frequencies pass through, dealt over all tasks.
+3. The numbers of a chunk's pre-tokens meet its frequencies, and the products are added up for each document. No list of ids of a document is ever made.
 
-A pre-token that many documents of a chunk have goes to another bucket for each chunk, so frequent ones don't meet in one task; its
-pieces are then counted once in each of those buckets. A task holds the distinct pre-tokens of one bucket.
+What moves is the distinct pre-tokens of each chunk, however many buckets there are; a frequent pre-token comes once from each chunk. A task holds the distinct pre-tokens
+of one bucket, then one chunk.
 
 Defined results: a null or empty text has no bytes and no tokens; null ids and repeated rows are counted row by row; strings of special tokens are plain text, as
 the library takes them; other columns don't matter. The vocabulary file is a parameter.
@@ -34,15 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradewise.llm import tokens
+from gradewise.llm.packing import packed, planes, unpacked
 
 VOCABULARY = "piece_bpe_32k.model"
 CHUNK_BYTES = 10 << 20
 CHUNK_ROWS = 1 << 16
 # A text beyond this is split piece by piece, not into a list.
 LONG_TEXT = 4 << 20
-# A pre-token is frequent in a chunk if one in so many documents has it.
-FREQUENT = 16
-FREQUENT_ROWS = 64
 BUCKETS_PER_PARTITION = 4
 MARK = "▁"
 BREAKS = "\n\t\r"
@@ -91,81 +90,55 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def packed(*arrays: np.ndarray) -> tuple[int, bytes]:
-    """(size, compressed bytes) of arrays, one behind the other."""
-    raw = b"".join(a.tobytes() for a in arrays)
-    return len(raw), pa.compress(raw, codec="zstd", asbytes=True) if raw else b""
+class Chunk:
+    """Distinct pre-tokens of some documents in the order of their buckets, and the documents' frequencies of them."""
 
-
-def unpacked(size: int, data: bytes) -> bytes:
-    return pa.decompress(data, decompressed_size=size, codec="zstd", asbytes=True) if size else b""
-
-
-class Postings:
-    """Distinct pre-tokens of a chunk with their documents and frequencies, by bucket."""
-
-    def __init__(self, counted: list[Counter], chunk: int, buckets: int):
+    def __init__(self, counted: list[Counter], buckets: int):
         found = list(chain.from_iterable(counted))
-        number = {w: i for i, w in enumerate(dict.fromkeys(found))}
-        self.words = list(number)
+        words = list(dict.fromkeys(found))
+        n = len(words)
+        home = np.fromiter(map(zlib.crc32, map(str.encode, words)), np.uint32, n) % np.uint32(buckets)
+        order = np.argsort(home.astype(np.uint16) if buckets < 1 << 16 else home, kind="stable")
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        self.words = [words[i] for i in order.tolist()]
+        self.edges = np.searchsorted(home[order], np.arange(buckets + 1))
+        number = dict(zip(words, place.tolist()))
         code = np.fromiter(map(number.__getitem__, found), np.int64, len(found))
-        row = np.repeat(np.arange(len(counted)), [len(c) for c in counted])
-        times = np.fromiter(chain.from_iterable(c.values() for c in counted), np.int64, len(found))
-        rows_of = np.bincount(code, minlength=len(self.words))
-        home = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in self.words), np.int64, len(self.words))
-        often = rows_of >= max(FREQUENT_ROWS, len(counted) // FREQUENT)
-        bucket = (home + np.where(often, zlib.crc32(str(chunk).encode()), 0)) % buckets
-        # Words by bucket; a word's documents in their order.
-        self.order = np.argsort(bucket, kind="stable")
-        place = np.empty_like(self.order)
-        place[self.order] = np.arange(len(self.order))
-        by_word = np.argsort(place[code], kind="stable")
+        row = np.repeat(np.arange(len(counted), dtype=np.uint16), [len(c) for c in counted])
+        times = np.fromiter(chain.from_iterable(c.values() for c in counted), np.uint32, len(found))
+        # A word's documents in their order.
+        by_word = np.argsort(code, kind="stable")
         self.row, self.times = row[by_word], times[by_word]
-        self.runs = rows_of[self.order]
-        self.edges = np.searchsorted(bucket[self.order], np.arange(buckets + 1))
-        self.at = np.concatenate(([0], np.cumsum(self.runs)))
+        self.runs = np.bincount(code, minlength=n).astype(np.uint32)
 
-    def rows(self) -> Iterator[tuple[int, list[str], int, bytes]]:
-        for k in np.flatnonzero(np.diff(self.edges)).tolist():
-            a, b = self.edges[k], self.edges[k + 1]
-            part = slice(self.at[a], self.at[b])
-            size, data = packed(
-                self.runs[a:b].astype(np.uint32), np.diff(self.row[part], prepend=0).astype(np.uint16), self.times[part].astype(np.uint32),
-            )
-            yield k, [self.words[i] for i in self.order[a:b].tolist()], size, data
+    def frequencies(self) -> tuple[int, bytes]:
+        often = np.flatnonzero(self.times >= 255)
+        return packed(
+            np.array([len(self.runs), len(self.row), len(often)], np.int64), self.times[often], self.runs, *planes(self.row),
+            np.minimum(self.times, 255).astype(np.uint8),
+        )
 
+    def lists(self) -> Iterator[tuple[int, list[str]]]:
+        for k in np.flatnonzero(np.diff(self.edges)).tolist():
+            yield k, self.words[self.edges[k]: self.edges[k + 1]]
 
-def _postings(path: str, buckets: int, chunk_bytes: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = pieces(path)
-        # A task's chunks are numbered, so the numbers are the same if the task is run again.
-        chunk = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            column = pc.fill_null(batch.column(1), "")
-            for a, b in _slices(column, chunk_bytes):
-                texts = column.slice(a, b - a)
-                counted = [cut.split(t) for t in texts.to_pylist()]
-                sizes = pc.binary_length(texts).cast(pa.int64())
-                own = pa.array([zlib.crc32(f"documents {chunk}".encode()) % buckets], pa.int32())
-                one = lambda values: pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), values)
-                none = lambda kind, n: pa.ListArray.from_arrays(pa.array([0] * (n + 1), pa.int32()), pa.array([], kind))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([chunk]), own, one(batch.column(0).slice(a, b - a)), one(sizes), none(pa.string(), 1), pa.array([0], pa.int32()), pa.array([b""]),
-                ], names=_POSTINGS)
-                rows = list(Postings(counted, chunk, buckets).rows())
-                n = len(rows)
-                if rows:
-                    home, words, size, data = zip(*rows)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([chunk] * n), pa.array(home, pa.int32()), none(batch.column(0).type, n), none(pa.int64(), n),
-                        pa.array(words, pa.list_(pa.string())), pa.array(size, pa.int32()), pa.array(data, pa.binary()),
-                    ], names=_POSTINGS)
-                chunk += 1
 
-    return run
+def frequencies(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(documents that have each word, the documents word by word, how often each has it), from a chunk's packed ones."""
+    n, m, many = np.frombuffer(raw, np.int64, 3).tolist()
+    at = 24
+    often = np.frombuffer(raw, np.uint32, many, at)
+    runs = np.frombuffer(raw, np.uint32, n, at := at + 4 * many)
+    low = np.frombuffer(raw, np.uint8, m, at := at + 4 * n).astype(np.int64)
+    high = np.frombuffer(raw, np.uint8, m, at := at + m).astype(np.int64)
+    times = np.frombuffer(raw, np.uint8, m, at + m).astype(np.int64)
+    times[times == 255] = often
+    return runs, low | high << 8, times
 
 
-_POSTINGS = ["chunk", "bucket", "ids", "sizes", "words", "size", "data"]
+PARTS = ["chunk", "bucket", "words", "ids", "sizes", "size", "data"]
+WHOLE = -1  # the bucket of a chunk's frequencies
 
 
 def _slices(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
@@ -174,49 +147,90 @@ def _slices(column: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
             yield start, min(b, start + CHUNK_ROWS)
 
 
-def _sums(path: str) -> Callable:
-    names = ["chunk", "row", "id", "n_bytes", "n_tokens"]
+def _lists(values: pa.Array, sizes: list[int]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), values)
 
+
+def _chunks(path: str, buckets: int, chunk_bytes: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = pieces(path)
+        # A task's chunks are numbered, so the numbers are the same if the task is run again.
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            texts = pc.fill_null(batch.column(1), "")
+            for a, b in _slices(texts, chunk_bytes):
+                column = texts.slice(a, b - a)
+                chunk = Chunk([cut.split(t) for t in column.to_pylist()], buckets)
+                ids, sizes = batch.column(0).slice(a, b - a), pc.binary_length(column).cast(pa.int64())
+                size, data = chunk.frequencies()
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([number]), pa.array([WHOLE], pa.int32()), _lists(pa.array([], pa.string()), [0]), _lists(ids, [b - a]), _lists(sizes, [b - a]),
+                    pa.array([size], pa.int32()), pa.array([data], pa.binary()),
+                ], names=PARTS)
+                lists = list(chunk.lists())
+                n = len(lists)
+                if n:
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(n, number)), pa.array([k for k, _ in lists], pa.int32()), _lists(pa.array(chunk.words, pa.string()), [len(w) for _, w in lists]),
+                        _lists(ids.slice(0, 0), [0] * n), _lists(sizes.slice(0, 0), [0] * n), pa.array([0] * n, pa.int32()), pa.array([b""] * n, pa.binary()),
+                    ], names=PARTS)
+                number += 1
+
+    return run
+
+
+def _sized(path: str) -> Callable:
+    """Lists of words become the numbers of their pieces; all else passes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = pieces(path)
         known: dict[str, int] = {}
         now = None
         for batch in batches:
-            id_type = batch.schema.field("ids").type.value_type
-            for i in range(len(batch)):
-                chunk, bucket, ids, sizes, words, size, data = (c[i] for c in batch.columns)
-                ids, chunk = ids.values, chunk.as_py()
-                if len(ids):
-                    n = len(ids)
-                    for a in range(0, n, BATCH_ROWS):
-                        b = min(n, a + BATCH_ROWS)
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array(np.full(b - a, chunk)), pa.array(np.arange(a, b)), ids.slice(a, b - a), sizes.values.slice(a, b - a),
-                            pa.array(np.zeros(b - a, np.int64)),
-                        ], names=names)
+            size, data = batch.column(5).to_pylist(), batch.column(6).to_pylist()
+            for i, bucket in enumerate(batch.column(1).to_pylist()):
+                if bucket == WHOLE:
                     continue
-                if bucket.as_py() != now:
-                    now = bucket.as_py()
+                if bucket != now:
+                    now = bucket
                     known.clear()
-                words = words.as_py()
+                words = batch.column(2)[i].as_py()
                 fresh = [w for w in words if w not in known]
                 known.update(zip(fresh, cut.sizes(fresh)))
-                raw = unpacked(size.as_py(), data.as_py())
-                runs = np.frombuffer(raw, np.uint32, len(words))
-                n = int(runs.sum())
-                row = np.cumsum(np.frombuffer(raw, np.uint16, n, 4 * len(words)), dtype=np.uint16).astype(np.int64)
-                times = np.frombuffer(raw, np.uint32, n, 4 * len(words) + 2 * n).astype(np.int64)
-                each = np.repeat(np.fromiter(map(known.__getitem__, words), np.int64, len(words)), runs)
-                total = np.zeros(row.max() + 1, np.int64)
-                np.add.at(total, row, each * times)
-                row = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(row), chunk)), pa.array(row), pa.nulls(len(row), id_type), pa.nulls(len(row), pa.int64()), pa.array(total[row]),
-                ], names=names)
+                size[i], data[i] = packed(np.fromiter(map(known.__getitem__, words), np.uint32, len(words)))
+            columns = batch.columns[:2] + batch.columns[3:5] + [pa.array(size, pa.int32()), pa.array(data, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*PARTS[:2], *PARTS[3:]])
 
     return run
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each document, from a chunk's frequencies and, behind them, its words' numbers of pieces by bucket."""
+    held: tuple | None = None
+    each: list[bytes] = []
+
+    def result() -> Iterator[pa.RecordBatch]:
+        if held is None:
+            return
+        ids, sizes, (runs, row, times) = held
+        number = np.frombuffer(b"".join(each), np.uint32)
+        # Whole numbers up to 2^53 are exact.
+        total = np.bincount(row, np.repeat(number, runs) * times.astype(np.float64), len(ids)).astype(np.int64)
+        for a in range(0, len(ids), BATCH_ROWS):
+            yield pa.RecordBatch.from_arrays(
+                [ids.slice(a, BATCH_ROWS), sizes.slice(a, BATCH_ROWS), pa.array(total[a: a + BATCH_ROWS])], names=["id", "n_bytes", "n_tokens"],
+            )
+
+    for batch in batches:
+        for i, (bucket, size, data) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 4, 5)))):
+            raw = unpacked(size, data)
+            if bucket == WHOLE:
+                yield from result()
+                held, each = (batch.column(2)[i].values, batch.column(3)[i].values, frequencies(raw)), []
+            else:
+                each.append(raw)
+    yield from result()
+
+
 def count(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, buckets: int | None = None,
     chunk_bytes: int = CHUNK_BYTES,
@@ -225,13 +239,15 @@ def count(
     path = path or vocabulary_path()
     key = docs.schema[id_col].dataType.simpleString()
     buckets = buckets or BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        _postings(path, buckets, chunk_bytes), f"chunk long, bucket int, ids array<{key}>, sizes array<long>, words array<string>, size int, data binary",
+    rest = f"ids array<{key}>, sizes array<long>, size int, data binary"
+    chunks = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
+        _chunks(path, buckets, chunk_bytes), f"chunk long, bucket int, words array<string>, {rest}",
     )
-    return (
-        parts.repartition("bucket").sortWithinPartitions("bucket")
-        .mapInArrow(_sums(path), f"chunk long, row long, id {key}, n_bytes long, n_tokens long")
-        .groupBy("chunk", "row").agg(F.max("id").alias(id_col), F.max("n_bytes").alias("n_bytes"), F.sum("n_tokens").alias("n_tokens"))
-        .select(id_col, "n_bytes", "n_tokens")
+    # Frequencies have no bucket and go where their chunk's number falls.
+    home = F.when(F.col("bucket") == WHOLE, F.xxhash64("chunk")).otherwise(F.col("bucket"))
+    sized = chunks.withColumn("home", home).repartition("home").drop("home").sortWithinPartitions("bucket").mapInArrow(
+        _sized(path), f"chunk long, bucket int, {rest}",
     )
-
+    return sized.repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(
+        _summed, f"id {key}, n_bytes long, n_tokens long",
+    ).withColumnRenamed("id", id_col)
