@@ -254,9 +254,7 @@ def split(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     edges = np.append(np.flatnonzero(edge[:n]), n)
     first = np.flatnonzero(start[:n])
     last = edges[np.searchsorted(edges, first, "right")]
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((points.astype(np.uint64) + np.uint64(1)) * tokens.power("up", n))))
-    keys = (sums[last] - sums[first]) * tokens.power("down", n + 1)[first]
-    return first, last, tokens.mix(keys + (last - first).astype(np.uint64) * tokens.BASE)
+    return first, last, tokens.slice_hashes(lambda a, b: tokens.mix(points[a:b].astype(np.uint64) + np.uint64(1)), first, last)
 
 
 class Known:

@@ -6,7 +6,7 @@ longest single text. A null text is treated as an empty one everywhere.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,22 +27,9 @@ CODES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint6
 LOWER_CODES = CODES.copy()
 LOWER_CODES[0x41:0x5B] = CODES[0x61:0x7B]
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-
-_powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-
-
-def power(kind: str, size: int) -> np.ndarray:
-    held = _powers[kind]
-    if len(held) < size:
-        base = BASE if kind == "up" else BASE_INVERSE
-        fresh = np.full(max(size, CHUNK_BYTES), base, np.uint64)
-        fresh[0] = 1
-        with np.errstate(over="ignore"):
-            held = np.multiply.accumulate(fresh)
-        if size <= 4 * CHUNK_BYTES:
-            _powers[kind] = held
-    return held[:size]
+# Added for each place in a word, so that the sum below tells orders apart.
+STEP = np.uint64(0xD1B54A32D192ED03)
+FOLD = np.uint64(0xFF51AFD7ED558CCD)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -56,12 +43,38 @@ def mixed_int(value: int) -> np.uint64:
     return mix(np.array([value], np.uint64))[0]
 
 
+def slice_hashes(codes: Callable[[int, int], np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each slice of a sequence; the slices follow one another without overlap.
+
+    `codes(a, b)` gives 64-bit codes of the elements a to b. Each is mixed with its place in the slice before they are added, so that
+    the sum is not linear in them. Work goes by blocks of about `CHUNK_BYTES` elements, or one longer slice.
+    """
+    size = ends - starts
+    out = np.zeros(len(starts), np.uint64)
+    k = 0
+    while k < len(starts):
+        stop = max(k + 1, int(np.searchsorted(ends, starts[k] + CHUNK_BYTES, "right")))
+        low, high = int(starts[k]), int(ends[stop - 1])
+        begin, end = starts[k:stop] - low, ends[k:stop] - low
+        place = np.arange(high - low) - np.repeat(begin, np.diff(begin, append=high - low))
+        x = np.zeros(high - low + 1, np.uint64)
+        x[:-1] = codes(low, high) + place.astype(np.uint64) * STEP
+        x ^= x >> np.uint64(32)
+        x *= FOLD
+        x ^= x >> np.uint64(29)
+        x *= STEP
+        x ^= x >> np.uint64(32)
+        out[k:stop] = np.add.reduceat(x, np.stack((begin, end), axis=1).ravel())[::2]
+        k = stop
+    out[size == 0] = 0
+    return mix(out + size.astype(np.uint64) * BASE)
+
+
 class Texts:
     """The bytes of consecutive texts: `data`, and `bounds`, where text i is data[bounds[i]:bounds[i + 1]]."""
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray):
         self.data, self.bounds = data, bounds
-        self._sums: dict[int, np.ndarray] = {}
 
     def __len__(self) -> int:
         return len(self.bounds) - 1
@@ -81,16 +94,13 @@ class Texts:
         return s, np.flatnonzero(ends) + 1, np.searchsorted(s, self.bounds)
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray = CODES) -> np.ndarray:
-        """A 64-bit hash of each slice of the data."""
-        key = id(codes)
-        if key not in self._sums:
-            sums = np.empty(len(self.data) + 1, np.uint64)
-            sums[0] = 0
-            np.cumsum(codes[self.data] * power("up", len(self.data)), out=sums[1:])
-            self._sums[key] = sums
-        sums = self._sums[key]
-        down = power("down", len(self.data) + 1)
-        return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * BASE)
+        """A 64-bit hash of each slice of the data; no two slices overlap."""
+        if (starts[1:] < ends[:-1]).any():
+            order = np.argsort(starts)
+            out = np.empty(len(starts), np.uint64)
+            out[order] = self.hashes(starts[order], ends[order], codes)
+            return out
+        return slice_hashes(lambda a, b: codes[self.data[a:b]], starts, ends)
 
     def counted(self, positions: np.ndarray) -> np.ndarray:
         """How many of the sorted positions lie in each text."""
