@@ -24,15 +24,15 @@ from gradewise.functions import (
     row_hash,
 )
 from gradewise.operators import merge, quality, reports
-from gradewise.plans import dashboard, models
-from gradewise.plans.ingest import ingest
-from gradewise.plans.report import run_report
+from gradewise.plans import dashboard, models, refresh
+from gradewise.plans.ingest import ingest, ingest_new_files, merge_into_raw
+from gradewise.plans.report import add_load, run_report
 from gradewise.schemas import RAW_SCHEMA, SOURCE_COLUMNS
 from gradewise.session import scratch_path, stream_session
 from gradewise.sources import events as event_source
 from gradewise.sources import files, tables
 from gradewise.streaming import counter, sinks, windows
-from gradewise.streaming.runner import start_query
+from gradewise.streaming.runner import late_figures, late_rows, start_query
 
 try:
     from gradewise.llm import queries as llm_queries
@@ -51,6 +51,8 @@ ISSUED = (dt.date(1996, 3, 1), dt.date(1997, 10, 31))
 DELAY = "1 minute"
 SESSION_GAP = 1800
 PUBLISH_LIMIT = 5000
+REPORT_EVERY = 500
+LATE_DAYS = ((20, 24), (25, 31), (1, 4))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -208,9 +210,9 @@ def merge_new_rows(spark, sf):
 
 
 def merge_new_rows_shuffled(spark, sf):
-    """The same merge with the held keys stored first."""
+    """The same merge with the new keys stored first."""
     batch = fixtures.raw_loans(spark, sf)
-    return _ntz(merge.new_rows(batch, _loaded_before(batch), held_path=scratch_path(spark, "held")), "ingest_ts")
+    return _ntz(merge.new_rows(batch, _loaded_before(batch), keys_path=scratch_path(spark, "keys")), "ingest_ts")
 
 
 def merge_existing_rows(spark, sf):
@@ -256,6 +258,77 @@ def ingest_normalize(spark, sf):
     return _ntz(ingest(spark, everything, raw, ingest_ts=F.lit(LOADS[1])), "ingest_ts")
 
 
+def merge_side_table(spark, sf):
+    """Three loads into a stored raw table, whose keys lie in a bucketed side table: some loans, all of them, all again."""
+    raw = scratch_path(spark, "raw")
+    batch = fixtures.raw_loans(spark, sf)
+    for rows in (_loaded_before(batch), batch, batch):
+        merge_into_raw(spark, rows, raw)
+    return _ntz(files.read_raw(spark, raw), "ingest_ts")
+
+
+def ingest_new_files_once(spark, sf):
+    """A folder of CSV files loaded twice as it fills up: the second run opens the new files only."""
+    folder, raw, ledger = (scratch_path(spark, label) for label in ("csv", "raw", "ledger"))
+    rows = fixtures.loans(spark, sf)
+    columns = fixtures.csv_loans(spark, sf).columns
+    loaded = F.col("ingest_ts") < F.lit(LOADED_BEFORE)
+    read = []
+    for stamp, part in zip(LOADS, (loaded, ~loaded)):
+        rows.where(part).select(*columns).write.mode("append").option("header", True).csv(folder)
+        read += ingest_new_files(spark, folder, raw, ledger, ingest_ts=F.lit(stamp))
+    # Each line is taken up once.
+    return _ntz(files.read_raw(spark, raw), "ingest_ts").withColumn("lines_read", F.lit(sum(read)).cast("bigint"))
+
+
+def declared_months(spark, sf):
+    """Rows by month as the catalog's table has them, after a load whose months alone were made known to it."""
+    path = scratch_path(spark, "raw")
+    batch = fixtures.raw_loans(spark, sf)
+    merge_into_raw(spark, _loaded_before(batch), path)
+    tables.create_layers(spark, scratch_path(spark, "layers"))
+    tables.register_raw(spark, path)
+    merge_into_raw(spark, batch, path, table="raw.loans_raw")
+    return spark.table("raw.loans_raw").groupBy("issue_month").agg(F.count("*").alias("n_loans"))
+
+
+def refresh_models(spark, sf):
+    """The mart after two loads, of which the second rebuilt the changed months' facts only; with the number of months rebuilt."""
+    path = scratch_path(spark, "raw")
+    batch = fixtures.raw_loans(spark, sf)
+    layers = scratch_path(spark, "layers")
+    for layer in ("raw", "core", "mart"):
+        # Databases keep the folder that they were made in.
+        spark.sql(f"DROP DATABASE IF EXISTS `{layer}` CASCADE")
+    tables.create_layers(spark, layers)
+    later = F.col("issue_date") >= F.lit(ISSUED[0])
+    merge_into_raw(spark, batch.where(~later | later.isNull()), path)
+    tables.register_raw(spark, path)
+    refresh.refresh_models(spark, check="report")
+    merge_into_raw(spark, batch, path, table="raw.loans_raw")
+    built = refresh.refresh_models(spark, check="report")
+    return _cents(built["mart_loan_risk"], "total_loan_volume").withColumn("months_rebuilt", F.lit(len(built["months"])).cast("bigint"))
+
+
+def model_checks(spark, sf):
+    """The check report of a model build, counted while its facts are written."""
+    path = scratch_path(spark, "raw")
+    files.write_raw(fixtures.raw_loans(spark, sf), path)
+    tables.create_layers(spark, scratch_path(spark, "layers"))
+    tables.register_raw(spark, path)
+    return models.build_models(spark, check="report")["report"]
+
+
+def cube_of_loads(spark, sf):
+    """The portfolio cube added up from the cubes of three loads."""
+    cubes = scratch_path(spark, "cubes")
+    loans = fixtures.loans(spark, sf)
+    for load in range(3):
+        add_load(loans.where(F.col("k") % 3 == load), cubes, f"part-{load}")
+    cube = reports.merged_cube(files.read_parquet(spark, cubes))
+    return _ntz(_cents(_cents(cube, "volume"), "rate_sum"), "issue_month")
+
+
 def reject_csv(spark, sf):
     """Lines with a field too many: put aside as they are, and the others loaded."""
     csv, rejects, raw = (scratch_path(spark, label) for label in ("csv", "rejects", "raw"))
@@ -265,9 +338,18 @@ def reject_csv(spark, sf):
     first = F.col("k") == F.min("k").over(Window.partitionBy("file"))
     text = lines.select(F.when(first, F.concat(header, F.lit("\n"), "value")).otherwise(F.col("value")).alias("value"), "file", "k")
     text.sortWithinPartitions("file", "k").select("value").write.text(csv)
-    loaded = ingest(spark, csv, raw, rejects_path=rejects)
-    kept = loaded.select(F.lit("loaded").alias("kind"), F.col("id").alias("line"))
-    return kept.unionByName(spark.read.text(rejects).select(F.lit("rejected").alias("kind"), F.substring_index("value", ",", 1).alias("line")))
+    loaded = _ntz(ingest(spark, csv, raw, ingest_ts=F.lit(LOADS[0]), rejects_path=rejects), "ingest_ts")
+    kept = loaded.select(F.lit("loaded").alias("kind"), "*")
+    # A rejected line's text: from the first delimiter of a number on, since the two engines print numbers in different ways, its texts.
+    line = F.regexp_extract("value", r"^([^,]*),", 1).alias("id")
+    fields = F.split("value", ",")
+    return kept.unionByName(
+        spark.read.text(rejects).select(
+            F.lit("rejected").alias("kind"), line, *[F.nullif(fields[SOURCE_COLUMNS.index(c)], F.lit("")).alias(c) for c in ("grade", "sub_grade", "loan_status", "purpose", "addr_state")],
+            F.concat_ws(",", fields[SOURCE_COLUMNS.index("int_rate")], fields[SOURCE_COLUMNS.index("issue_d")], fields[len(SOURCE_COLUMNS)]).alias("row_hash"),
+        ),
+        allowMissingColumns=True,
+    )
 
 
 def build_all_models(spark, sf):
@@ -276,7 +358,7 @@ def build_all_models(spark, sf):
     files.write_raw(fixtures.raw_loans(spark, sf), path)
     tables.create_layers(spark, scratch_path(spark, "layers"))
     tables.register_raw(spark, path)
-    models.build_models(spark, check=False)
+    models.build_models(spark, check="report")
     return _cents(tables.source(spark.newSession(), "mart", "mart_loan_risk"), "total_loan_volume")
 
 
@@ -426,6 +508,33 @@ def delinquency_by_grade(spark, sf):
     return _snapshot(counts, spark, "counter").orderBy("grade")
 
 
+def counter_reports(spark, sf):
+    """A report whenever 500 more messages have come, over a folder of files, in the order of the loans' ids."""
+    out = scratch_path(spark, "reports")
+    write = counter.reports_every(out, REPORT_EVERY, order=("loan_id",))
+    start_query(_replay(spark, sf), write, scratch_path(spark, "reports-checkpoint"), available_now=True).awaitTermination()
+    told = counter.reports(spark, out)
+    return told.withColumn("by_grade", F.array_join(F.transform(F.map_entries("by_grade"), lambda e: F.concat_ws(":", e["key"], e["value"])), ","))
+
+
+def late_rows_by_batch(spark, sf):
+    """What the watermark dropped (windows of a grade in a batch), as the batches' stored figures have it: three files, the last one late."""
+    topic, figures = scratch_path(spark, "topic"), scratch_path(spark, "late")
+    events = fixtures.loan_events(spark, sf)
+    parts = [F.dayofmonth("event_time").between(*days) for days in LATE_DAYS]
+    stream = stream_session(spark).readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{topic}/*")
+    out = scratch_path(spark, "late-windows")
+    results = windows.tumbling_by_grade(stream, delay=DELAY)
+    checkpoint = scratch_path(spark, "late-checkpoint")
+    for n, part in enumerate(parts):
+        # One file, and one run, for each part, so that they come in this order.
+        events.where(part).coalesce(1).write.parquet(f"{topic}/{n}")
+        query = start_query(results, out, checkpoint, available_now=True, late_path=figures)
+        query.awaitTermination()
+        late_rows(query)  # waits for the last batch's figure
+    return late_figures(spark, figures).agg(F.coalesce(F.sum("dropped"), F.lit(0)).alias("dropped"))
+
+
 def delinquency_counter(spark, sf):
     return counter.delinquency_totals(delinquency_by_grade(spark, sf))
 
@@ -466,7 +575,13 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_deduped_batch": merge_deduped_batch,
         "merge_deduped_into_target": merge_deduped_into_target,
         "reject_csv": reject_csv,
+        "merge_side_table": merge_side_table,
+        "ingest_new_files": ingest_new_files_once,
+        "declared_months": declared_months,
         "build_models": build_all_models,
+        "model_checks": model_checks,
+        "refresh_models": refresh_models,
+        "cube_of_loads": cube_of_loads,
         "ingest_normalize": ingest_normalize,
         "raw_issue_range": raw_issue_range,
         "dq_unique": dq_unique,
@@ -487,6 +602,8 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clocked_tumbling": clocked_tumbling,
         "clocked_sessions": clocked_sessions,
         "stream_replay": stream_replay,
+        "counter_reports": counter_reports,
+        "late_rows_by_batch": late_rows_by_batch,
         "delinquency_counter": delinquency_counter,
         "delinquency_by_grade": delinquency_by_grade,
     }
@@ -661,6 +778,19 @@ def own_sql() -> dict[str, str]:
     merged = f"""WITH {_RAW}
       SELECT {raw_columns} FROM raw b
       WHERE NOT EXISTS (SELECT 1 FROM raw t WHERE t.{loaded} AND t.row_hash = b.row_hash)"""
+    cube = f"""WITH {_RICH} SELECT grade, risk_tier, CAST(issue_month AS TIMESTAMP) AS issue_month,
+        bucket AS dpd_bucket, count(*) AS n_loans, CAST(sum(is_defaulted) AS BIGINT) AS n_defaults,
+        {_round("sum(loan_amnt)", 2)} AS volume, {_round("sum(int_rate)", 2)} AS rate_sum,
+        count(int_rate) AS rate_n
+        FROM rich GROUP BY grade, risk_tier, rich.issue_month, bucket"""
+    staged_checks = f"""WITH {_STG}
+        SELECT 'unique_loan_id' AS check_name, 'loan_id' AS column_name, count(*) AS failures FROM
+          (SELECT loan_id FROM stg WHERE loan_id IS NOT NULL GROUP BY loan_id HAVING count(*) > 1)
+        UNION ALL SELECT 'not_null_loan_id', 'loan_id', count(*) FROM stg WHERE loan_id IS NULL
+        UNION ALL SELECT 'not_null_grade', 'grade', count(*) FROM stg WHERE grade IS NULL
+        UNION ALL SELECT 'not_null_loan_status', 'loan_status', count(*) FROM stg WHERE loan_status IS NULL
+        UNION ALL SELECT 'accepted_values_risk_tier', 'risk_tier', count(DISTINCT risk_tier) FROM stg
+          WHERE risk_tier NOT IN ('Low Risk', 'Medium Risk', 'High Risk', 'Unknown')"""
     publish = f"WITH {_STG} SELECT {_EVENT_COLUMNS} FROM stg"
     return {
         "scan_loans": f"WITH {_LOANS} SELECT * EXCLUDE (k) FROM loans",
@@ -689,11 +819,8 @@ def own_sql() -> dict[str, str]:
             FROM rich GROUP BY bucket""",
         "risk_tier_summary": f"""WITH {_RICH} SELECT risk_tier, count(*) AS total_loans, {_RATES},
             {_round("sum(loan_amnt)", 2)} AS total_volume_usd FROM rich GROUP BY risk_tier""",
-        "portfolio_cube": f"""WITH {_RICH} SELECT grade, risk_tier, CAST(issue_month AS TIMESTAMP) AS issue_month,
-            bucket AS dpd_bucket, count(*) AS n_loans, CAST(sum(is_defaulted) AS BIGINT) AS n_defaults,
-            {_round("sum(loan_amnt)", 2)} AS volume, {_round("sum(int_rate)", 2)} AS rate_sum,
-            count(int_rate) AS rate_n
-            FROM rich GROUP BY grade, risk_tier, rich.issue_month, bucket""",
+        "portfolio_cube": cube,
+        "cube_of_loads": cube,
         "portfolio_kpis": f"""WITH {_MART} SELECT CAST(sum(total_loans) AS BIGINT) AS total_loans,
             {_round("sum(total_loan_volume)", 2)} AS total_volume_usd,
             {_round("sum(total_defaults) * CAST(100 AS DOUBLE) / sum(total_loans)", 2)} AS default_rate_pct,
@@ -731,9 +858,17 @@ def own_sql() -> dict[str, str]:
             SELECT row_hash, min(k) AS k, arg_min(loan_amnt, k) AS loan_amnt FROM batch WHERE row_hash IS NOT NULL
               AND row_hash NOT IN (SELECT row_hash FROM batch WHERE k % 5 = 0 AND row_hash IS NOT NULL) GROUP BY row_hash
             UNION ALL SELECT * FROM batch WHERE row_hash IS NULL""",
-        "reject_csv": f"""WITH {_LOANS}
-            SELECT 'loaded' AS kind, id AS line FROM loans WHERE id IS NOT NULL AND k % 7 <> 0
-            UNION ALL SELECT 'rejected', coalesce(id, '') FROM loans WHERE k % 7 = 0""",
+        "reject_csv": f"""WITH {_RAW}
+            SELECT 'loaded' AS kind, raw.* REPLACE (TIMESTAMP '{LOADS[0]}' AS ingest_ts) FROM raw WHERE CAST(id AS BIGINT) % 7 <> 0
+            UNION ALL BY NAME SELECT 'rejected' AS kind, coalesce(id, '') AS id, grade, sub_grade, loan_status, purpose, addr_state,
+              int_rate || ',' || issue_d || ',EXTRA' AS row_hash FROM loans WHERE k % 7 = 0""",
+        "merge_side_table": f"WITH {_RAW} SELECT {raw_columns} FROM raw",
+        "ingest_new_files": f"""WITH {_RAW} SELECT * REPLACE (CASE WHEN {loaded} THEN TIMESTAMP '{LOADS[0]}'
+            ELSE TIMESTAMP '{LOADS[1]}' END AS ingest_ts), (SELECT count(*) FROM loans) AS lines_read FROM raw""",
+        "declared_months": f"WITH {_RAW} SELECT strftime(issue_date, '%Y-%m') AS issue_month, count(*) AS n_loans FROM raw GROUP BY 1",
+        "model_checks": staged_checks,
+        "refresh_models": f"""WITH {_MART} SELECT *, (SELECT count(DISTINCT strftime(issue_date, '%Y-%m')) FROM raw
+            WHERE issue_date >= DATE '{ISSUED[0]}') AS months_rebuilt FROM mart""",
         "build_models": f"WITH {_MART} SELECT * FROM mart",
         "ingest_normalize": f"""WITH {_RAW} SELECT * REPLACE (CASE WHEN {loaded} THEN TIMESTAMP '{LOADS[0]}'
             ELSE TIMESTAMP '{LOADS[1]}' END AS ingest_ts) FROM raw""",
@@ -744,14 +879,7 @@ def own_sql() -> dict[str, str]:
         "dq_not_null": f"WITH {_STG} SELECT loan_id, risk_tier FROM stg WHERE grade IS NULL",
         "dq_accepted_values": f"""WITH {_STG} SELECT grade, count(*) AS n_records FROM stg
             WHERE grade NOT IN ('A', 'B', 'C', 'D', 'E', 'F', 'G') GROUP BY grade""",
-        "dq_report": f"""WITH {_STG}
-            SELECT 'unique_loan_id' AS check_name, 'loan_id' AS column_name, count(*) AS failures FROM
-              (SELECT loan_id FROM stg WHERE loan_id IS NOT NULL GROUP BY loan_id HAVING count(*) > 1)
-            UNION ALL SELECT 'not_null_loan_id', 'loan_id', count(*) FROM stg WHERE loan_id IS NULL
-            UNION ALL SELECT 'not_null_grade', 'grade', count(*) FROM stg WHERE grade IS NULL
-            UNION ALL SELECT 'not_null_loan_status', 'loan_status', count(*) FROM stg WHERE loan_status IS NULL
-            UNION ALL SELECT 'accepted_values_risk_tier', 'risk_tier', count(DISTINCT risk_tier) FROM stg
-              WHERE risk_tier NOT IN ('Low Risk', 'Medium Risk', 'High Risk', 'Unknown')
+        "dq_report": f"""{staged_checks}
             UNION ALL SELECT 'accepted_values_grade', 'grade', count(DISTINCT grade) FROM stg
               WHERE grade NOT IN ('A', 'B', 'C', 'D', 'E', 'F', 'G')""",
         "publish_events": publish,
@@ -781,6 +909,21 @@ def own_sql() -> dict[str, str]:
             {_round("sum(loan_amount)", 2)} AS total_volume FROM loan_events
             WHERE loan_status IN {_BAD_EXACT} OR mths_since_last_delinq > 0 GROUP BY grade""",
         "stream_replay": publish,
+        "counter_reports": f"""WITH {_STG}, placed AS (
+              SELECT coalesce(grade, 'Unknown') AS grade, coalesce(mths_since_last_delinq > 0, false) AS delinquent,
+                row_number() OVER (ORDER BY loan_id) AS place FROM stg),
+            due AS (SELECT unnest(range({REPORT_EVERY}, (SELECT count(*) FROM stg) + 1, {REPORT_EVERY})) AS total_loans),
+            counted AS (SELECT total_loans, grade, count(*) AS n, count(*) FILTER (delinquent) AS d
+              FROM due JOIN placed ON place <= total_loans GROUP BY ALL)
+            SELECT total_loans, CAST(sum(d) AS BIGINT) AS delinquent_loans,
+              {_round("sum(d) / CAST(total_loans AS DOUBLE) * 100", 1)} AS delinquency_rate_pct,
+              string_agg(grade || ':' || n, ',' ORDER BY grade) AS by_grade FROM counted GROUP BY total_loans""",
+        "late_rows_by_batch": f"""WITH {_EVENTS}, parts AS (
+              SELECT event_time, grade, CASE {" ".join(f"WHEN day(event_time) BETWEEN {a} AND {b} THEN {n}" for n, (a, b) in enumerate(LATE_DAYS))} END AS part
+              FROM loan_events),
+            marks AS (SELECT part, date_trunc('milliseconds', max(event_time)) - INTERVAL '1 minute' AS mark FROM parts GROUP BY part)
+            SELECT count(DISTINCT (p.part, time_bucket(INTERVAL '5 minutes', event_time), grade)) AS dropped FROM parts p
+            WHERE time_bucket(INTERVAL '5 minutes', event_time) + INTERVAL '5 minutes' <= (SELECT max(mark) FROM marks m WHERE m.part < p.part)""",
         "delinquency_counter": f"""WITH {_BY_GRADE} SELECT CAST(sum(total_loans) AS BIGINT) AS total_loans,
             CAST(sum(delinquent_loans) AS BIGINT) AS delinquent_loans,
             {_round("sum(delinquent_loans) / CAST(sum(total_loans) AS DOUBLE) * 100", 1)} AS delinquency_rate_pct

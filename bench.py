@@ -24,6 +24,7 @@ from gradewise.plans.report import run_report
 from gradewise.session import build_session, scratch_path, stream_session
 from gradewise.sources import events as event_source
 from gradewise.sources import files
+from gradewise.sources.keys import held_keys
 from gradewise.streaming import counter, windows
 from gradewise.streaming.runner import start_query
 
@@ -84,7 +85,7 @@ def main() -> None:
         "mart_loan_risk": lambda: work(models.mart_loan_risk(models.fct_loans(staged))),
         "dq_report": lambda: work(quality.run_checks(staged)),
         "merge_rerun": lambda: work(merge.new_rows(raw, raw)),
-        "merge_rerun_stored": lambda: work(merge.new_rows(raw, raw, held_path=scratch_path(spark, "held"))),
+        "merge_rerun_side_table": lambda: work(merge.new_rows(raw, held_keys(spark, raw, raw_path), keys_path=scratch_path(spark, "keys"))),
         "merge_first_load": lambda: work(merge.new_rows(raw, None, dedupe_batch=True)),
         "ingest_csv": ingest_csv,
         "ingest_csv_default": lambda: ingest(spark, csv_path, scratch_path(spark, "ingested")),

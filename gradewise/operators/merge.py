@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Bits of the filter that a batch's keys set. Its size is fixed: at most 16 MiB are broadcast.
-FILTER_BITS = 1 << 27
-BITMAP_BITS = 8 * 4096  # of one row of the filter, as bitmap_construct_agg makes them
-
 
 def one_row_per_key(batch: DataFrame, key: str = "row_hash") -> DataFrame:
     """One row per key, the smallest by its other columns so that reruns agree; rows without a key all stay.
@@ -22,31 +18,28 @@ def one_row_per_key(batch: DataFrame, key: str = "row_hash") -> DataFrame:
     return unpacked.unionByName(batch.where(F.col(key).isNull()))
 
 
-def _place(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
-
+def new_keys(batch: DataFrame, target: DataFrame | None, key: str = "row_hash") -> DataFrame:
+    """The batch's keys that the target lacks, each once.
 
-def key_filter(keys: DataFrame, key: str = "row_hash") -> DataFrame:
-    """A Bloom filter of the keys with one hash: rows (`part`, `bits`), at most FILTER_BITS / BITMAP_BITS of them."""
-    place = keys.where(F.col(key).isNotNull()).select(_place(key).alias("place"))
-    return place.groupBy(F.floor(F.col("place") / BITMAP_BITS).cast("int").alias("part")).agg(
-        F.bitmap_construct_agg(F.col("place") % BITMAP_BITS).alias("bits")
-    )
+    Copies of a key are reduced before they are exchanged, so a frequent key weighs no more than another. Of the
+    target only the key column is read. A table bucketed by the key (`sources.keys`) isn't exchanged at all; any
+    other target's keys are.
+    """
+    keys = batch.select(key).where(F.col(key).isNotNull()).distinct()
+    if target is None:
+        return keys
+    held = target.select(F.col(key).alias("_key"))
+    return keys.join(held, F.col(key) == F.col("_key"), "left_anti")
 
 
-def held_keys(batch: DataFrame, target: DataFrame, key: str = "row_hash") -> DataFrame:
-    """Target keys that may be among the batch's: all those that are, and few others.
+def with_keys(batch: DataFrame, keys: DataFrame, key: str = "row_hash") -> DataFrame:
+    """Batch rows whose key is among `keys`, and those without a key, which are always new.
 
-    The target is read on its key column and put through the batch's filter where it is scanned. Of a target
-    far larger than the batch nearly all is dropped there, before any exchange.
+    If `keys` is stored, both sides of the join come straight from their scans, in the form in which adaptive
+    execution can split a frequent key or broadcast few keys.
     """
-    marks = key_filter(batch.select(key), key)
-    place = target.select(key, _place(key).alias("_place")).withColumn("_part", F.floor(F.col("_place") / BITMAP_BITS).cast("int"))
-    at = (F.col("_place") % BITMAP_BITS).cast("int")
-    byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.floor(byte / F.pow(F.lit(2), at % 8)).cast("int") % 2 == 1
-    found = place.join(F.broadcast(marks), F.col("_part") == F.col("part")).where(hit)
-    return found.where(F.col(key).isNotNull()).select(key).distinct()
+    found = batch.join(keys.select(F.col(key).alias("_key")), F.col(key) == F.col("_key"), "left_semi")
+    return found.unionByName(batch.where(F.col(key).isNull()))
 
 
 def new_rows(
@@ -54,24 +47,19 @@ def new_rows(
     target: DataFrame | None,
     key: str = "row_hash",
     dedupe_batch: bool = False,
-    held_path: str | None = None,
+    keys_path: str | None = None,
 ) -> DataFrame:
     """Rows of `batch` whose key is not in `target` (None: there is none yet); a NULL key is never in it.
 
-    Copies of a new key inside the batch are all kept unless `dedupe_batch` is set.
-
-    One plan for every size: the target's keys pass the batch's filter (see `held_keys`), and what is left
-    meets the batch in an anti join, which adaptive execution broadcasts if those keys turn out few, as they do
-    when most of the batch is new. With `held_path` they are stored there first (the caller deletes it): both
-    sides of the join then come straight from their scans, in the form in which adaptive execution can split a frequent
-    key.
+    Copies of a new key inside the batch are all kept unless `dedupe_batch` is set. With `keys_path` the new keys
+    are stored there first (the caller deletes it), for `with_keys` and for a side table of keys.
     """
     if dedupe_batch:
         batch = one_row_per_key(batch, key)
-    if target is None:
+    if target is None and keys_path is None:
         return batch
-    held = held_keys(batch, target, key)
-    if held_path is not None:
-        held.write.parquet(held_path)
-        held = batch.sparkSession.read.schema(held.schema).parquet(held_path)
-    return batch.join(held.withColumnRenamed(key, "_key"), F.col(key) == F.col("_key"), "left_anti")
+    keys = new_keys(batch, target, key)
+    if keys_path is not None:
+        keys.write.parquet(keys_path)
+        keys = batch.sparkSession.read.schema(keys.schema).parquet(keys_path)
+    return batch if target is None else with_keys(batch, keys, key)

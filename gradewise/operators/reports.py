@@ -59,6 +59,11 @@ def portfolio_cube(loans: DataFrame, ts: str = "ingest_ts") -> DataFrame:
     return tally(enrich(loans, ts), *CUBE_KEYS)
 
 
+def merged_cube(cubes: DataFrame) -> DataFrame:
+    """One cube from the rows of several, such as those of single loads."""
+    return cubes.groupBy(*CUBE_KEYS).agg(*[F.sum(c).alias(c) for c in _TALLIES])
+
+
 def _by(source: DataFrame, key: str, ts: str = "ingest_ts") -> DataFrame:
     """A tally per key, from a cube or from loans."""
     if "n_loans" in source.columns:

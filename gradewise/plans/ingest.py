@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,8 +11,11 @@ from pyspark.sql import types as T
 from gradewise.functions import parse_issue_month, percent_to_double, row_hash
 from gradewise.operators.merge import new_rows
 from gradewise.schemas import RAW_SCHEMA, SOURCE_COLUMNS
-from gradewise.session import scratch
-from gradewise.sources.files import csv_rejects, read_loans_csv, read_raw, write_raw
+from gradewise.session import list_folder, path_exists, scratch
+from gradewise.sources import keys
+from gradewise.sources.files import RECORD, csv_rejects, csv_stream, loan_text, read_loans_csv, read_raw, surplus_lines, write_raw
+from gradewise.sources.tables import add_months
+from gradewise.streaming.runner import start_query
 
 
 def pick_columns(df: DataFrame, columns: Sequence[str] = SOURCE_COLUMNS, required: Sequence[str] = ("id",)) -> DataFrame:
@@ -61,21 +63,29 @@ def to_raw_schema(df: DataFrame, ingest_ts: Column | None = None) -> DataFrame:
     return df.where(F.col("id").isNotNull()).select(*columns)
 
 
-def merge_into_raw(spark: SparkSession, staged: DataFrame, raw_path: str, dedupe_batch: bool = False) -> None:
-    """Append the staged rows that the raw table lacks.
+def merge_into_raw(
+    spark: SparkSession, staged: DataFrame, raw_path: str, dedupe_batch: bool = False, table: str | None = None,
+) -> list[str | None]:
+    """Append the staged rows that the raw table lacks; returns the issue months that got rows.
 
-    One writer at a time. A run that dies half-way is repaired by running it again, as rows
-    already written are then found and skipped. Only copies of one id inside a batch, kept
-    when `dedupe_batch` is off, can come out fewer after such a repair.
+    The table's keys come from its side table (`sources.keys`). One writer at a time. A run that dies half-way is repaired
+    by running it again, as rows already written are then found and skipped. Only copies of one id inside a batch, kept
+    when `dedupe_batch` is off, can come out fewer after such a repair. The months are made known to the catalog's `table`, if one is named.
     """
-    try:
-        target = read_raw(spark, raw_path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        target = None
-    with scratch(spark, "held-keys") as held:
-        write_raw(new_rows(staged, target, dedupe_batch=dedupe_batch, held_path=held), raw_path)
+    target = read_raw(spark, raw_path) if path_exists(spark, raw_path) else None
+    held = None if target is None else keys.held_keys(spark, target, raw_path)
+    with scratch(spark, "new-keys") as fresh:
+        rows = new_rows(staged, held, dedupe_batch=dedupe_batch, keys_path=fresh)
+        with keys.loading(spark, raw_path):
+            months = write_raw(rows, raw_path)
+            added = spark.read.schema(staged.select(keys.KEY).schema).parquet(fresh)
+            if held is None:
+                keys.build_keys(spark, added, raw_path)
+            else:
+                keys.add_keys(spark, added, raw_path)
+    if table is not None:
+        add_months(spark, table, months)
+    return months
 
 
 def ingest(
@@ -86,6 +96,7 @@ def ingest(
     dedupe_batch: bool = False,
     one_line_per_record: bool = False,
     rejects_path: str | None = None,
+    table: str | None = None,
 ) -> DataFrame:
     """Load CSV files into the raw table; returns the raw table after the merge.
 
@@ -99,8 +110,57 @@ def ingest(
     else:
         csv_rejects(spark, csv_path, one_line_per_record).write.mode("append").text(rejects_path)
         text = read_loans_csv(spark, csv_path, one_line_per_record, surplus="drop")
-    batch = to_raw_schema(pick_columns(text), ingest_ts)
+    _load(spark, to_raw_schema(pick_columns(text), ingest_ts), raw_path, dedupe_batch, table)
+    return read_raw(spark, raw_path)
+
+
+def _load(spark: SparkSession, batch: DataFrame, raw_path: str, dedupe_batch: bool, table: str | None) -> None:
     with scratch(spark, "staged-loans") as staged:
         batch.write.parquet(staged)
-        merge_into_raw(spark, spark.read.schema(RAW_SCHEMA).parquet(staged), raw_path, dedupe_batch)
-    return read_raw(spark, raw_path)
+        merge_into_raw(spark, spark.read.schema(RAW_SCHEMA).parquet(staged), raw_path, dedupe_batch, table)
+
+
+def ingest_new_files(
+    spark: SparkSession,
+    folder: str,
+    raw_path: str,
+    checkpoint: str,
+    ingest_ts: Column | None = None,
+    dedupe_batch: bool = False,
+    one_line_per_record: bool = False,
+    rejects_path: str | None = None,
+    table: str | None = None,
+    files_per_batch: int | None = None,
+) -> list[int]:
+    """Load the CSV files of a folder that no run with this checkpoint has loaded; returns the input rows of each batch.
+
+    The stream's checkpoint is the ledger: it names the files taken up, whatever their number, so a run opens new files only. A run that
+    dies loads its batch again; the merge skips the rows that are in. A file counts by its name: one that is changed in place isn't
+    read again. All files must have one header. With `files_per_batch` a large backlog comes in several batches. The other
+    parameters are `ingest`'s.
+    """
+    if not [n for n in list_folder(spark, folder) if not n.startswith(("_", "."))]:
+        return []
+    lines, surplus = csv_stream(spark, folder, one_line_per_record, files_per_batch)
+
+    def typed(text: DataFrame) -> DataFrame:
+        return to_raw_schema(pick_columns(text), ingest_ts)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        if rejects_path is None:
+            _load(session, typed(loan_text(batch, surplus)), raw_path, dedupe_batch, table)
+            return
+        with scratch(session, "csv-lines") as parsed:
+            # The files are parsed once, though the lines part here.
+            marked = batch.withColumn("_surplus", surplus.cast("string"))
+            pick_columns(marked, (*SOURCE_COLUMNS, RECORD, "_surplus"), ("id", RECORD)).write.parquet(parsed)
+            found = session.read.parquet(parsed)
+            too_many = F.col("_surplus") == "true"
+            # A batch's rejects replace those of its first try.
+            surplus_lines(found, too_many).write.mode("overwrite").text(f"{rejects_path.rstrip('/')}/batch_id={batch_id}")
+            _load(session, typed(loan_text(found, too_many, "drop")), raw_path, dedupe_batch, table)
+
+    query = start_query(lines, load, checkpoint, available_now=True)
+    query.awaitTermination()
+    return [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradewise.functions import default_flag, repayment_rate_pct, risk_tier, round_stable
-from gradewise.operators.quality import require_passing
+from gradewise.operators.quality import WatchedChecks, raise_failures
 from gradewise.schemas import RISK_TIERS, UNKNOWN
 from gradewise.sources import tables
 
@@ -85,20 +85,25 @@ def mart_loan_risk(facts: DataFrame) -> DataFrame:
     )
 
 
-def build_models(spark: SparkSession, raw: DataFrame | None = None, check: bool = True) -> dict[str, DataFrame]:
-    """Build all layers in order and check the staged one; returns the published models.
+def build_models(spark: SparkSession, raw: DataFrame | None = None, check: bool | str = True) -> dict[str, DataFrame]:
+    """Build all layers in order and check the staged rows; returns the published models, and the check `report`.
 
     Without `raw` the models read the catalog's `raw.loans_raw` (see `tables.register_raw`), and
     `staging.stg_loans` is a stored view that any session can read; of a DataFrame it is a session view. Either way
-    Spark folds it into the scan behind the fact table, which is stored and feeds the mart. A failed check raises
-    QualityError after the build.
+    Spark folds it into the scan behind the fact table, which is stored and feeds the mart. The checks watch the rows on their way
+    into the fact table, so the raw loans are read once. A failed check raises QualityError after the
+    build, or with `check="report"` is left to the caller; `check=False` leaves the checks out.
     """
     if raw is None:
         staged = tables.stored_view(spark, "staging", "stg_loans", stg_loans_sql("`raw`.`loans_raw`"))
     else:
         staged = tables.materialize(stg_loans(raw), "stg_loans", "view")
-    facts = tables.materialize(fct_loans(staged), "fct_loans", "table", layer="core")
+    watched = WatchedChecks()
+    facts = fct_loans(staged)
+    facts = tables.materialize(watched.watch(facts) if check else facts, "fct_loans", "table", layer="core")
     mart = tables.materialize(mart_loan_risk(facts), "mart_loan_risk", "table", layer="mart")
+    models = {"stg_loans": staged, "fct_loans": facts, "mart_loan_risk": mart}
     if check:
-        require_passing(staged)
-    return {"stg_loans": staged, "fct_loans": facts, "mart_loan_risk": mart}
+        report = watched.report(facts)
+        models["report"] = report if check == "report" else raise_failures(report)
+    return models

@@ -31,3 +31,20 @@ def run_report(spark: SparkSession, loans_path: str, out: str, ts: str = "ingest
     frames = report_frames(read_parquet(spark, cube_path))
     paths = save_results(frames, out)
     return {name: read_parquet(spark, path) for name, path in paths.items()}
+
+
+def add_load(loans: DataFrame, cubes: str, load: str, ts: str = "ingest_ts") -> None:
+    """Tally a load's loans on their own and keep the tally; the same load again replaces it."""
+    if not load or "/" in load:
+        raise ValueError(f"a load's name is part of a path, not {load!r}")
+    write_parquet(reports.portfolio_cube(loans, ts), f"{cubes.rstrip('/')}/load={load}")
+
+
+def report_loads(spark: SparkSession, cubes: str, out: str) -> dict[str, DataFrame]:
+    """The reports over all loads, from their stored tallies: no loan is read again."""
+    cube = reports.merged_cube(read_parquet(spark, cubes))
+    cube_path = f"{out.rstrip('/')}/portfolio_cube"
+    write_parquet(cube, cube_path)
+    frames = report_frames(read_parquet(spark, cube_path))
+    paths = save_results(frames, out)
+    return {name: read_parquet(spark, path) for name, path in paths.items()}

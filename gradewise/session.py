@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 # Settings a job of this package wants; a cluster's own submit-time settings win over them.
 SETTINGS = {
@@ -78,6 +78,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/gradewise/{label}-{uuid.uuid4().hex}"
 
 
+def observed(observation: Observation) -> dict:
+    """What was observed; nothing if Spark found out that there are no rows and left the observation out."""
+    return observation.get if observation._jo.getRow().schema() is not None else {}
+
+
 def _folder(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
@@ -90,6 +95,27 @@ def list_folder(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
 
 
+def whole_path(spark: SparkSession, path: str) -> str:
+    """The path with its file system and from its root, as the catalog wants it."""
+    files, folder = _folder(spark, path)
+    return files.makeQualified(folder).toString()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _folder(spark, path)
+    return files.exists(folder)
+
+
+def write_text(spark: SparkSession, path: str, text: str = "") -> None:
+    """Write a small file, replacing it."""
+    files, place = _folder(spark, path)
+    out = files.create(place, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder on any file system that Spark reaches."""
     files, folder = _folder(spark, path)

@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from gradewise.schemas import CSV_NULLS, RAW_SCHEMA
+from gradewise.session import observed
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -23,27 +25,73 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 
 # Holds the text of a line that does not fit its header.
-_RECORD = "_record"
+RECORD = "_record"
 
 
-def _csv(spark: SparkSession, path: str | list[str], one_line_per_record: bool) -> tuple[DataFrame, Column]:
+def _names(spark: SparkSession, path: str | list[str], options: dict) -> list[str]:
+    return spark.read.options(**options).csv(path).columns
+
+
+def _options(one_line_per_record: bool) -> dict:
+    return {"header": True, "quote": '"', "escape": '"', "multiLine": not one_line_per_record}
+
+
+def _lines(reader: DataFrameReader | DataStreamReader, names: list[str], path: str | list[str], options: dict) -> tuple[DataFrame, Column]:
     """The columns of CSV files as text and `_record`, and whether a line has more fields than the header."""
-    options = {"header": True, "quote": '"', "escape": '"', "multiLine": not one_line_per_record}
-    names = spark.read.options(**options).csv(path).columns
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, _RECORD)])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, RECORD)])
     lines = (
-        spark.read.options(**options).option("enforceSchema", False).option("columnPruning", False)
-        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RECORD).schema(schema).csv(path)
+        reader.options(**options).option("enforceSchema", False).option("columnPruning", False)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RECORD).schema(schema).csv(path)
     )
     # The record is also kept of a line with too few fields, which is no fault. One more column tells them apart.
     wider = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names) + 1)])
-    again = F.from_csv(F.col(_RECORD), wider.simpleString()[7:-1].replace(":", " "), {
+    again = F.from_csv(F.col(RECORD), wider.simpleString()[7:-1].replace(":", " "), {
         "quote": '"', "escape": '"', "nullValue": "\u0001", "emptyValue": "",
     })
-    surplus = F.col(_RECORD).isNotNull() & again.getField(f"c{len(names)}").isNotNull()
+    surplus = F.col(RECORD).isNotNull() & again.getField(f"c{len(names)}").isNotNull()
     return lines, surplus
 
 
+def _csv(spark: SparkSession, path: str | list[str], one_line_per_record: bool) -> tuple[DataFrame, Column]:
+    options = _options(one_line_per_record)
+    return _lines(spark.read, _names(spark, path, options), path, options)
+
+
+def csv_stream(
+    spark: SparkSession, folder: str, one_line_per_record: bool = False, files_per_batch: int | None = None
+) -> tuple[DataFrame, Column]:
+    """The lines of a folder's CSV files as a stream, each file once, and whether a line has too many fields.
+
+    `loan_text` and `surplus_lines` take both. The header is that of the files now there. A file's age doesn't matter: by default Spark
+    would pass over files much older than the newest.
+    """
+    options = _options(one_line_per_record)
+    reader = spark.readStream.option("maxFileAge", "36500d")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return _lines(reader, _names(spark, folder, options), folder, options)
+
+
+def loan_text(lines: DataFrame, too_many: Column, surplus: str = "stop") -> DataFrame:
+    """The columns of CSV lines, with missing-value marks as NULL; for `surplus` see `read_loans_csv`."""
+    if surplus == "stop":
+        stop = F.raise_error(F.concat(F.lit("more fields than the header has: "), F.col(RECORD))).cast("boolean")
+        kept = lines.where(F.when(too_many, stop).otherwise(True))
+    elif surplus == "drop":
+        kept = lines.where(~too_many)
+    else:
+        raise ValueError(f"surplus must be 'stop' or 'drop', not {surplus!r}")
+    names = [c for c in lines.columns if c != RECORD]
+    return kept.select(*[F.when(~F.col(f"`{c}`").isin(CSV_NULLS), F.col(f"`{c}`")).alias(c) for c in names])
+
+
+def surplus_lines(lines: DataFrame, too_many: Column) -> DataFrame:
+    """The lines with too many fields, as text in `value`."""
+    # Spark refuses to read the record alone.
+    nothing = F.substring(F.coalesce(F.col(f"`{lines.columns[0]}`"), F.lit("")), 1, 0)
+    return lines.where(too_many).select(F.concat(RECORD, nothing).alias("value"))
+
+
 def read_loans_csv(
     spark: SparkSession, path: str | list[str], one_line_per_record: bool = False, surplus: str = "stop"
 ) -> DataFrame:
@@ -58,42 +106,34 @@ def read_loans_csv(
     files, for inputs known to hold no line breaks inside fields. Files whose header
     differs from the first one's stop the read, as columns go by position.
     """
-    lines, too_many = _csv(spark, path, one_line_per_record)
-    if surplus == "stop":
-        stop = F.raise_error(F.concat(F.lit("more fields than the header has: "), F.col(_RECORD))).cast("boolean")
-        kept = lines.where(F.when(too_many, stop).otherwise(True))
-    elif surplus == "drop":
-        kept = lines.where(~too_many)
-    else:
-        raise ValueError(f"surplus must be 'stop' or 'drop', not {surplus!r}")
-    names = [c for c in lines.columns if c != _RECORD]
-    return kept.select(*[F.when(~F.col(f"`{c}`").isin(CSV_NULLS), F.col(f"`{c}`")).alias(c) for c in names])
+    return loan_text(*_csv(spark, path, one_line_per_record), surplus)
 
 
 def csv_rejects(spark: SparkSession, path: str | list[str], one_line_per_record: bool = False) -> DataFrame:
     """The lines with more fields than the header has, as text in `value`."""
-    lines, too_many = _csv(spark, path, one_line_per_record)
-    # Spark refuses to read the record alone.
-    nothing = F.substring(F.coalesce(F.col(f"`{lines.columns[0]}`"), F.lit("")), 1, 0)
-    return lines.where(too_many).select(F.concat(_RECORD, nothing).alias("value"))
+    return surplus_lines(*_csv(spark, path, one_line_per_record))
 
 
-def write_raw(loans: DataFrame, path: str, mode: str = "append") -> None:
-    """Write raw-schema rows partitioned by issue month, sorted by grade and status inside.
+def write_raw(loans: DataFrame, path: str, mode: str = "append") -> list[str | None]:
+    """Write raw-schema rows partitioned by issue month, sorted by grade and status inside; returns the months written.
 
     `rebalance` brings a month's rows together in full-size files and splits a month too
     large for one task, such as that of the loans without a date. The sort lets a reader
-    skip row groups by grade and status.
+    skip row groups by grade and status. The months are noted while the rows go by.
     """
     month = F.date_format("issue_date", "yyyy-MM")
+    seen = Observation()
     (
         loans.withColumn("issue_month", month)
+        .observe(seen, F.collect_set("issue_month").alias("months"), F.count_if(F.col("issue_month").isNull()).alias("undated"))
         .hint("rebalance", "issue_month")
         .sortWithinPartitions("issue_month", "grade", "loan_status")
         .write.mode(mode)
         .partitionBy("issue_month")
         .parquet(path)
     )
+    noted = observed(seen)
+    return sorted(noted.get("months", ())) + ([None] if noted.get("undated") else [])
 
 
 def read_raw(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from gradewise.schemas import LAYERS
@@ -45,6 +47,23 @@ def register_raw(spark: SparkSession, path: str) -> DataFrame:
     return external_table(spark, path, "raw.loans_raw")
 
 
+def location(spark: SparkSession, name: str) -> str:
+    """The folder of a table's files."""
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").where("col_name = 'Location'")
+    return told.first()["data_type"]
+
+
+def add_months(spark: SparkSession, name: str, months: Iterable[str | None], column: str = "issue_month") -> None:
+    """Make a load's partitions known to the catalog, without looking at the others; those it knows already stay as they are."""
+    parts = [
+        f"PARTITION ({column} = {'NULL' if month is None else repr(month)})"
+        for month in dict.fromkeys(months)
+    ]
+    if parts:
+        spark.sql(f"ALTER TABLE {_quoted(name)} ADD IF NOT EXISTS {' '.join(parts)}")
+        spark.catalog.refreshTable(_quoted(name))
+
+
 def stored_view(spark: SparkSession, layer: str, name: str, query: str) -> DataFrame:
     """A view that is kept in the catalog, so that other sessions read it; recomputed when read."""
     spark.sql(f"CREATE OR REPLACE VIEW `{layer}`.`{name}` AS {query}")

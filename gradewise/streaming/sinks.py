@@ -38,21 +38,22 @@ def snapshot_batches(path: str, keep: int = 3) -> BatchWriter:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, batch_id)
-        for old in _batches(batch.sparkSession, path):
+        for old in batch_ids(batch.sparkSession, path):
             if old <= batch_id - keep:
                 delete_path(batch.sparkSession, f"{path.rstrip('/')}/batch_id={old}")
 
     return write
 
 
-def _batches(spark: SparkSession, path: str) -> list[int]:
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batches that lie in a folder, in order."""
     names = list_folder(spark, path)
     return sorted(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
 
 
 def newest(spark: SparkSession, path: str) -> DataFrame:
     """The rows of the latest snapshot."""
-    return spark.read.parquet(f"{path.rstrip('/')}/batch_id={_batches(spark, path)[-1]}")
+    return spark.read.parquet(f"{path.rstrip('/')}/batch_id={batch_ids(spark, path)[-1]}")
 
 
 def jdbc_batches(

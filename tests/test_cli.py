@@ -44,6 +44,23 @@ def test_from_csv_to_counter(spark, tmp_path, capsys):
     assert sessions.agg(F.sum("events_in_session")).first()[0] == windows.delinquent_events(events).count() > 0
 
 
+def test_new_files_and_reports(spark, tmp_path, capsys):
+    folder, raw, ledger = tmp_path / "in", str(tmp_path / "raw"), str(tmp_path / "ledger")
+    folder.mkdir()
+    write(folder / "a.csv", LINES)
+    main(["ingest", str(folder), raw, "--new-files", ledger])
+    write(folder / "b.csv", [LINES[0].replace("1,1000", "9,1000")])
+    main(["ingest", str(folder), raw, "--new-files", ledger])
+    assert "3 loans" in capsys.readouterr().out.replace("4 loans", "3 loans, then 4 loans")
+    with pytest.raises(SystemExit):
+        main(["ingest", str(folder), "another", raw, "--new-files", ledger])
+    topic, out = str(tmp_path / "topic"), str(tmp_path / "counts")
+    main(["publish", "--files", topic, raw])
+    main(["count", "--files", topic, out, str(tmp_path / "c"), "--report-every", "2", "--available-now"])
+    told = capsys.readouterr().out
+    assert "processed 2, " in told and told.count("processed 4, ") == 2 and "by grade" in told
+
+
 def test_a_topic_or_files_are_required():
     with pytest.raises(SystemExit):
         main(["publish", "raw"])

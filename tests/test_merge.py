@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gradewise.operators import merge
 from gradewise.session import scratch_path
+from gradewise.sources import keys
 
 SCHEMA = "row_hash string, v int"
 
@@ -22,25 +25,25 @@ def rows(df):
 
 
 @pytest.fixture(params=[False, True])
-def held_path(request, spark):
-    """None, or a function that gives new paths for the held keys."""
-    return (lambda: scratch_path(spark, "held")) if request.param else (lambda: None)
+def keys_path(request, spark):
+    """None, or a function that gives new paths for the new keys."""
+    return (lambda: scratch_path(spark, "keys")) if request.param else (lambda: None)
 
 
-def test_only_new_keys(spark, held_path):
+def test_only_new_keys(spark, keys_path):
     target = frame(spark, [("a", 1), ("a", 2), ("b", 3)])
     batch = frame(spark, [("a", 9), ("c", 4), ("c", 5), ("d", 6), ("d", 6)])
-    assert rows(merge.new_rows(batch, target, held_path=held_path())) == [("c", 4), ("c", 5), ("d", 6), ("d", 6)]
-    once = merge.new_rows(batch, target, dedupe_batch=True, held_path=held_path())
+    assert rows(merge.new_rows(batch, target, keys_path=keys_path())) == [("c", 4), ("c", 5), ("d", 6), ("d", 6)]
+    once = merge.new_rows(batch, target, dedupe_batch=True, keys_path=keys_path())
     assert rows(once) == [("c", 4), ("d", 6)]
 
 
-def test_empty_sides(spark, held_path):
+def test_empty_sides(spark, keys_path):
     some, none = frame(spark, [("a", 1), ("b", 2)]), frame(spark, [])
     for target in (none, None):
-        assert rows(merge.new_rows(some, target, held_path=held_path())) == [("a", 1), ("b", 2)]
-    assert rows(merge.new_rows(none, some, held_path=held_path())) == []
-    assert rows(merge.new_rows(some, some, held_path=held_path())) == []
+        assert rows(merge.new_rows(some, target, keys_path=keys_path())) == [("a", 1), ("b", 2)]
+    assert rows(merge.new_rows(none, some, keys_path=keys_path())) == []
+    assert rows(merge.new_rows(some, some, keys_path=keys_path())) == []
     assert rows(merge.new_rows(frame(spark, [("a", 2), ("a", 1)]), None, dedupe_batch=True)) == [("a", 1)]
 
 
@@ -66,43 +69,68 @@ def test_dedupe_keeps_column_order_and_nulls(spark):
     assert rows(merge.one_row_per_key(batch)) == sorted([(None, "k", 1), (3, "j", None)], key=str)
 
 
-def test_filter_holds_every_key(spark):
-    keys = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("row_hash"))
-    assert merge.held_keys(keys, keys).count() == 20_000
-    others = spark.range(10**6, 10**6 + 20_000).select(F.md5(F.col("id").cast("string")).alias("row_hash"))
-    assert merge.held_keys(keys, others).count() < 200
-    sizes = merge.key_filter(keys).agg(F.count("*"), F.max(F.octet_length("bits"))).first()
-    assert sizes[0] <= merge.FILTER_BITS // merge.BITMAP_BITS and sizes[1] == 4096
-
-
-def test_no_exchange_of_the_unfiltered_target(spark, raw, tmp_path):
-    """At any size: one plan, in which the target's keys meet the filter below their first exchange."""
-    path = str(tmp_path / "raw")
-    raw.write.parquet(path)
-    target = spark.read.parquet(path)
-    for n in (1, 1000, 10_000_000):
-        batch = spark.range(n).select(F.md5(F.col("id").cast("string")).alias("row_hash"), "id")
-        text = merge.new_rows(batch, target)._jdf.queryExecution().executedPlan().toString()
-        lines = text.split("\n")
-        scan = next(i for i, x in enumerate(lines) if "FileScan parquet" in x or "Scan parquet" in x)
-        depth = lambda line: len(line) - len(line.lstrip(" :+-|*()0123456789"))
-        above, at = [], depth(lines[scan])
-        for line in reversed(lines[:scan]):
-            if depth(line) < at:
-                above.append(line)
-                at = depth(line)
-        first = next(i for i, x in enumerate(above) if "Exchange" in x and "BroadcastExchange" not in x)
-        assert any("BroadcastHashJoin" in x for x in above[:first])
-        assert "ReadSchema: struct<row_hash:string>" in lines[scan]
-
-
-def test_null_keys_are_always_new(spark, held_path):
+def hashed(spark, first, end):
+    return spark.range(first, end).select(F.md5(F.col("id").cast("string")).alias("row_hash"), "id")
+
+
+def above_scan(plan: str, scan: str) -> list[str]:
+    """The operators over a scan, from the scan up to the plan's root."""
+    lines = plan.split("\n")
+    at = next(i for i, x in enumerate(lines) if scan in x)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-|*()0123456789"))
+    above, level = [lines[at]], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < level:
+            above.append(line)
+            level = depth(line)
+    return above
+
+
+def test_only_the_batch_is_exchanged(spark, plan, tmp_path):
+    """The target's side is its bucketed keys: neither they nor any other column of the target is exchanged."""
+    raw_path = str(tmp_path / "raw")
+    target = hashed(spark, 0, 5000)
+    held = keys.build_keys(spark, target, raw_path)
+    keys.add_keys(spark, hashed(spark, 5000, 6000), raw_path)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for n in (1, 10_000, 10_000_000):
+            text = plan(merge.new_keys(hashed(spark, 4000, 4000 + n), held))
+            above = above_scan(text, "gradewise_keys")
+            assert "Bucketed: true" in above[0] and "ReadSchema: struct<row_hash:string>" in above[0]
+            assert not any("Exchange" in x for x in above)
+            assert any("SortMergeJoin" in x and "LeftAnti" in x for x in above)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    again = keys.held_keys(spark, target, raw_path)
+    assert again.count() == 6000
+    assert merge.new_keys(hashed(spark, 5990, 6010), again).count() == 10
+
+
+def test_side_table_of_keys(spark, tmp_path):
+    raw_path = str(tmp_path / "raw")
+    raw = frame(spark, [("a", 1), ("a", 2), (None, 3), ("b", 4)])
+    assert rows(keys.held_keys(spark, raw, raw_path)) == [("a",), ("b",)]  # built from the raw table
+    keys.add_keys(spark, frame(spark, [("c", 1)]), raw_path)
+    more = raw.union(frame(spark, [("c", 5), ("d", 6)]))
+    assert rows(keys.held_keys(spark, more, raw_path)) == [("a",), ("b",), ("c",)]  # trusted as it is
+    with pytest.raises(RuntimeError):
+        with keys.loading(spark, raw_path):
+            raise RuntimeError
+    assert rows(keys.held_keys(spark, more, raw_path)) == [("a",), ("b",), ("c",), ("d",)]  # built anew after a load that died
+    wide = keys.build_keys(spark, more, raw_path, buckets=40)
+    assert rows(wide) == [("a",), ("b",), ("c",), ("d",)]
+    assert [n for n in os.listdir(keys.key_folder(raw_path)) if n.startswith("v")] == ["v3-40"]
+
+
+def test_null_keys_are_always_new(spark, keys_path):
     target = frame(spark, [(None, 1), ("a", 1), ("b", 1), ("c", 1)])
     batch = frame(spark, [(None, 2), (None, 3), ("a", 2), ("b", 2), ("z", 2), ("z", 3)])
-    assert rows(merge.new_rows(batch, target, held_path=held_path())) == sorted(
+    assert rows(merge.new_rows(batch, target, keys_path=keys_path())) == sorted(
         [(None, 2), (None, 3), ("z", 2), ("z", 3)], key=str
     )
-    once = merge.new_rows(batch, target, dedupe_batch=True, held_path=held_path())
+    once = merge.new_rows(batch, target, dedupe_batch=True, keys_path=keys_path())
     assert rows(once) == sorted([(None, 2), (None, 3), ("z", 2)], key=str)
 
 
@@ -113,7 +141,7 @@ def test_hot_key_in_batch_and_target(spark):
     target = spark.range(n).select(hot.alias("row_hash"), F.lit(0).alias("v"))
     batch = spark.range(n // 2, n + n // 2).select(hot.alias("row_hash"), F.lit(1).alias("v"))
     expected = n // 2 - n // 6
-    for path in (None, scratch_path(spark, "held")):
-        assert merge.new_rows(batch, target, held_path=path).count() == expected
+    for path in (None, scratch_path(spark, "keys")):
+        assert merge.new_rows(batch, target, keys_path=path).count() == expected
     fresh = merge.new_rows(batch, target.where("row_hash != 'hot'"), dedupe_batch=True)
     assert fresh.count() == expected + 1

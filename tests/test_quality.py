@@ -88,3 +88,23 @@ def test_no_rows(good):
 def test_unknown_kind(good):
     with pytest.raises(ValueError):
         quality.Check("between", "grade").violated()
+
+
+def test_watched_checks_equal_a_scan(spark, good, tmp_path):
+    spoiled = good.union(good.limit(5)).withColumns({
+        "grade": F.when(F.col("grade") != "B", F.col("grade")),
+        "risk_tier": F.when(F.col("loan_amount") > 150_000, F.concat(F.lit("T"), F.col("state"))).otherwise(F.col("risk_tier")),
+    })
+    for n, rows in enumerate((spoiled, good, good.limit(0))):
+        watched = quality.WatchedChecks()
+        watched.watch(rows).write.parquet(f"{tmp_path}/{n}")
+        report = watched.report(spark.read.schema(rows.schema).parquet(f"{tmp_path}/{n}"))
+        assert {r["check_name"]: r["failures"] for r in report.collect()} == failures(rows)
+
+
+def test_columns_are_tallied_by_themselves(spark, plan):
+    """Many different values in two checked columns: no combinations of them."""
+    df = spark.range(3000).selectExpr("concat('a', id % 50) AS a", "concat('b', id % 47) AS b", "if(id % 7 = 0, null, id) AS c")
+    checks = [quality.Check("accepted_values", "a", ["a1"]), quality.Check("accepted_values", "b", ["b1"]), quality.Check("not_null", "c")]
+    assert failures(df, checks) == {"accepted_values_a": 49, "accepted_values_b": 46, "not_null_c": 429}
+    assert quality._row_checks(df, checks)._jdf.queryExecution().executedPlan().toString().count("keys=[_entry") == 2

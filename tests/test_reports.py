@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gradewise.operators import reports
 from gradewise.plans.dashboard import tiles
 from gradewise.plans.models import fct_loans, mart_loan_risk, stg_loans
-from gradewise.plans.report import REPORTS, report_frames, run_report
+from gradewise.plans.report import REPORTS, add_load, report_frames, report_loads, run_report
 
 
 def rows(df):
@@ -89,3 +89,20 @@ def test_report_job(spark, loans, tmp_path):
         assert sorted(rows(saved[name]), key=str) == sorted(rows(frame), key=str), name
     again = run_report(spark, path, out)  # replaces
     assert again["default_by_grade"].count() == 9
+
+
+def test_cube_of_loads_equals_one_cube(spark, loans, tmp_path):
+    cubes = str(tmp_path / "cubes")
+    for load in range(3):
+        for _ in range(2 if load == 1 else 1):  # a load that is run again replaces itself
+            add_load(loans.where(F.col("k") % 3 == load), cubes, f"l{load}")
+    merged = reports.merged_cube(spark.read.parquet(cubes))
+    want = reports.portfolio_cube(loans)
+    exact = ["grade", "risk_tier", "issue_month", "dpd_bucket", "n_loans", "n_defaults", "rate_n"]
+    assert merged.columns == want.columns
+    assert merged.select(exact).exceptAll(want.select(exact)).isEmpty() and want.select(exact).exceptAll(merged.select(exact)).isEmpty()
+    told = report_loads(spark, cubes, str(tmp_path / "report"))
+    whole = reports.default_rate_by_grade(loans)
+    assert told["default_by_grade"].exceptAll(whole).isEmpty() and told["default_by_grade"].count() == whole.count()
+    with pytest.raises(ValueError):
+        add_load(loans, cubes, "a/b")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import time
 
 import pytest
@@ -12,7 +13,7 @@ from gradewise import fixtures
 from gradewise.schemas import EVENT_SCHEMA
 from gradewise.session import scratch_path, stream_session
 from gradewise.streaming import counter, sinks, windows
-from gradewise.streaming.runner import late_rows, start_query
+from gradewise.streaming.runner import late_figures, late_rows, start_query
 
 COLUMNS = "loan_id string, grade string, loan_amount double, interest_rate double, loan_status string, " \
           "mths_since_last_delinq int, event_time timestamp"
@@ -99,6 +100,30 @@ def test_late_events(spark, streams, tmp_path):
     assert late_rows(query) == 1
 
 
+def test_late_rows_of_more_batches_than_spark_reports(spark, tmp_path):
+    """The first and the last of 112 batches drop rows, and 40 in between; a query's own list holds the last 100."""
+    source, n = tmp_path / "in", 112
+    source.mkdir()
+    late = {0: 0, 1: 3, n - 1: 2} | {k: 1 for k in range(2, 82, 2)}
+    for k in range(n):
+        moment = lambda s: (dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)).isoformat()
+        rows_ = [("A", moment(100_000 + 1000 * k))] + [(f"late{i}", moment(10 + i)) for i in range(late.get(k, 0))]
+        (source / f"{k:04d}.csv").write_text("".join(f"{g},{t}\n" for g, t in rows_))
+        os.utime(source / f"{k:04d}.csv", (10**9 + k, 10**9 + k))
+    events = stream_session(spark, 1).readStream.schema("grade string, event_time timestamp").option("maxFilesPerTrigger", 1).csv(str(source))
+    events = events.withColumns({"loan_amount": F.lit(1.0), "interest_rate": F.lit(1.0)})
+    figures = str(tmp_path / "late")
+    query = start_query(
+        windows.tumbling_by_grade(events, delay="0 seconds"), lambda batch, _: batch.write.format("noop").mode("overwrite").save(), str(tmp_path / "c"), "append", available_now=True, late_path=figures,
+    )
+    query.awaitTermination()
+    assert len(query.recentProgress) == 100
+    assert late_rows(query) == sum(late.values())
+    told = {r["batch_id"]: r["dropped"] for r in late_figures(spark, figures).collect()}
+    assert sorted(told.values()) == sorted(x for x in late.values() if x) and min(told) < 5
+    assert late_figures(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_event_time_needs_a_delay(spark, streams, sf):
     stream = fixtures.loan_event_stream(streams, sf)
     for window in (windows.tumbling_by_grade, windows.delinquency_sessions):
@@ -151,6 +176,54 @@ def test_counter_reports_per_batch(spark, streams, tmp_path):
     assert rows(counter.delinquency_totals(current.limit(0))) == [(0, 0, 0.0)]
 
 
+def messages(spark, n, first=0):
+    """Messages first, first + 1, ...: every third delinquent, grades A, B, C and none in turn."""
+    i = F.col("id")
+    return spark.range(first, first + n).select(
+        F.lpad(i.cast("string"), 9, "0").alias("loan_id"), F.when(i % 4 < 3, F.substring(F.lit("ABC"), (i % 4 + 1).cast("int"), F.lit(1))).alias("grade"),
+        F.when(i % 3 == 0, 5).otherwise(0).alias("mths_since_last_delinq"),
+    )
+
+
+def plain_reports(n, every):
+    out = []
+    for end in range(every, n + 1, every):
+        grades = {}
+        for i in range(end):
+            grades[("A", "B", "C", "Unknown")[i % 4]] = grades.get(("A", "B", "C", "Unknown")[i % 4], 0) + 1
+        bad = len(range(0, end, 3))
+        out.append((end, bad, round(bad / end * 100 + 1e-12, 1), grades))
+    return out
+
+
+def told_reports(spark, path):
+    return sorted(((r.total_loans, r.delinquent_loans, r.delinquency_rate_pct, r.by_grade) for r in counter.reports(spark, path).collect()), key=lambda r: r[0])
+
+
+def test_counter_reports_by_message_count(spark, tmp_path):
+    """Batches of any size, some without a report and one delivered twice; the counts go on where they were."""
+    path = str(tmp_path / "counter")
+    write = counter.reports_every(path, every=7, order=("loan_id",))
+    done = 0
+    for batch, n in enumerate([3, 0, 40, 1, 5, 14]):
+        for _ in range(2 if batch == 2 else 1):
+            write(messages(spark, n, done).repartition(3), batch)
+        done += n
+        assert told_reports(spark, path) == plain_reports(done, 7)
+        assert counter.totals(spark, path).agg(F.sum("total_loans")).first()[0] == (done or None)
+    assert len([x for x in os.listdir(f"{path}/totals") if x.startswith("batch_id")]) == 3
+
+
+def test_counter_reports_on_a_folder(spark, streams, tmp_path):
+    messages(spark, 1234).write.parquet(str(tmp_path / "in"))
+    events = streams.readStream.schema("loan_id string, grade string, mths_since_last_delinq int").option("maxFilesPerTrigger", 2).parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    run(events, counter.reports_every(out, 500), str(tmp_path / "c"))
+    told = told_reports(spark, out)
+    assert [r[0] for r in told] == [500, 1000] and [sum(r[3].values()) for r in told] == [500, 1000]
+    assert rows(counter.delinquency_totals(counter.totals(spark, out))) == [(1234, 412, 33.4)]
+
+
 def test_redelivered_batch_replaces_itself(spark, tmp_path):
     write = sinks.parquet_batches(str(tmp_path))
     write(spark.range(3), 0)
