@@ -117,7 +117,7 @@ def test_late_rows_of_more_batches_than_spark_reports(spark, tmp_path):
         windows.tumbling_by_grade(events, delay="0 seconds"), lambda batch, _: batch.write.format("noop").mode("overwrite").save(), str(tmp_path / "c"), "append", available_now=True, late_path=figures,
     )
     query.awaitTermination()
-    assert len(query.recentProgress) == 100
+    assert len(query.recentProgress) <= 100 < n
     assert late_rows(query) == sum(late.values())
     told = {r["batch_id"]: r["dropped"] for r in late_figures(spark, figures).collect()}
     assert sorted(told.values()) == sorted(x for x in late.values() if x) and min(told) < 5
