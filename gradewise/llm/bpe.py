@@ -37,6 +37,7 @@ CHUNK_BYTES = 3 << 20
 # Fixed value: the split pattern that `Pieces` finds by array operations; any other goes through `regex`.
 COMMON_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 VOCABULARY = "word_bpe_49k.json"
+SALT, CHECK_SALT = tokens.mixed_int(7), tokens.mixed_int(8)
 LAST = 0x100  # added to the last byte's symbol where the vocabulary marks word ends
 
 
@@ -192,8 +193,8 @@ class Encoder:
             odd = {i: self.encode(t) for i, t in enumerate(texts)}
         normal = [self.normal(t) if t and i not in odd else "" for i, t in enumerate(texts)]
         joined = "\n".join(normal)
-        start, end, keys = split(joined)
-        ids, sizes = self.known.ids_of(keys, lambda k: self.encode_piece(joined[start[k]: end[k]]))
+        start, end, keys, checks = split(joined)
+        ids, sizes = self.known.ids_of(keys, checks, lambda k: self.encode_piece(joined[start[k]: end[k]]))
         bounds = np.concatenate(([0], np.cumsum([len(t) + 1 for t in normal])))
         before = np.concatenate(([0], np.cumsum(sizes)))[np.searchsorted(start, bounds)]
         if odd:
@@ -225,12 +226,12 @@ def _kinds() -> np.ndarray:
     return kinds
 
 
-def split(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and hash of the pieces of `COMMON_SPLIT` in a text without capitals."""
+def split(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and two hashes of the pieces of `COMMON_SPLIT` in a text without capitals."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     n = len(points)
     if not n:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     padded = np.concatenate((points, np.zeros(4, np.uint32)))
     kind = np.concatenate((_kinds()[points], np.zeros(4, np.uint8)))
     start = np.zeros(n + 4, bool)
@@ -254,22 +255,29 @@ def split(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     edges = np.append(np.flatnonzero(edge[:n]), n)
     first = np.flatnonzero(start[:n])
     last = edges[np.searchsorted(edges, first, "right")]
-    return first, last, tokens.slice_hashes(lambda a, b: tokens.mix(points[a:b].astype(np.uint64) + np.uint64(1)), first, last)
+    keys, checks = (
+        tokens.slice_hashes(lambda a, b, salt=salt: tokens.mix(points[a:b].astype(np.uint64) ^ salt), first, last) for salt in (SALT, CHECK_SALT)
+    )
+    return first, last, keys, checks
 
 
 class Known:
-    """Ids of the pieces seen, by hash; emptied when it holds `CACHE_PIECES` of them."""
+    """Ids of the pieces seen, by hash; emptied when it holds `CACHE_PIECES` of them.
+
+    A second hash of each piece tells whether two pieces met in the first; then all are encoded one by one.
+    """
 
     def __init__(self) -> None:
         self.clear()
 
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
+        self.checks = np.zeros(0, np.uint64)
         self.at = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
-    def ids_of(self, keys: np.ndarray, compute) -> tuple[np.ndarray, np.ndarray]:
+    def ids_of(self, keys: np.ndarray, checks: np.ndarray, compute) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces in their order, and how many each has; `compute(k)` gives those of piece k."""
         unique, first, which = np.unique(keys, return_index=True, return_inverse=True)
         slot = np.searchsorted(self.keys, unique)
@@ -280,15 +288,19 @@ class Known:
         if len(missing):
             if len(self.keys) + len(missing) > CACHE_PIECES and len(self.keys):
                 self.clear()
-                return self.ids_of(keys, compute)
+                return self.ids_of(keys, checks, compute)
             fresh = [compute(k) for k in first[missing].tolist()]
             sizes = np.array([len(x) for x in fresh], np.int32)
             at = len(self.ids) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
             self.ids = np.concatenate((self.ids, np.array([i for x in fresh for i in x], np.uint32)))
             self.at = np.insert(self.at, slot[missing], at)
             self.size = np.insert(self.size, slot[missing], sizes)
+            self.checks = np.insert(self.checks, slot[missing], checks[first[missing]])
             self.keys = np.insert(self.keys, slot[missing], unique[missing])
             slot = np.searchsorted(self.keys, unique)
+        if (self.checks[slot][which] != checks).any():
+            each = [compute(k) for k in range(len(keys))]
+            return np.array([i for x in each for i in x], np.uint32), np.array([len(x) for x in each], np.int32)
         sizes = self.size[slot][which]
         begin = self.at[slot][which]
         out = np.concatenate(([0], np.cumsum(sizes)))

@@ -36,11 +36,18 @@ def sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
+def thue_morse(length: int = 2048) -> tuple[str, str]:
+    """Two words that any polynomial hash modulo 2^64 takes for one."""
+    one = "".join("ab"[bin(i).count("1") & 1] for i in range(length))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
 def odd_docs(spark):
     """Nulls, empty and very long texts, repeated rows, ties, and columns that clash with the operators' own."""
     texts = [
         (1, PROSE * 3), (2, PROSE * 3), (2, PROSE * 3), (3, None), (4, ""), (5, " \n\t "), (6, "one two"), (7, "one two"), (None, PROSE * 3),
         (8, "ÄÖ é x y Straße 日本語 😀 it's \x00 end"), (9, "a" * 200_000), (10, PROSE * 4000), (11, "x\nx\nx\n\n x\ny"),
+        (14, thue_morse()[0] + " x"), (15, thue_morse()[1] + " x"), (16, "\n".join(thue_morse())),
         (12, PROSE + "mail me at jo.do@mail.example.com or 10.0.0.255 now"), (None, None), (13, "1" * 5000 + "@" * 500),
     ]
     return spark.createDataFrame([(i, t, None, "s", None, "clash", 7, None) for i, t in texts], DOCS)

@@ -66,5 +66,13 @@ def test_known_pieces_are_forgotten_in_time(coder, library, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_PIECES", 3)
     fresh = bpe.Known()
     monkeypatch.setattr(coder, "known", fresh)
-    for text in ("a b c", "d e f g h", "a d"):
+    for text in ("a b c", "d e f g h", "a d", *plain.thue_morse()):
         assert coder.encode_all([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_with_one_hash_are_told_apart(coder, library, monkeypatch):
+    monkeypatch.setattr(coder, "known", bpe.Known())
+    true = bpe.split
+    monkeypatch.setattr(bpe, "split", lambda text: (*(t := true(text))[:2], np.zeros_like(t[2]), t[3]))
+    for text in ("one two three two", "four", "one"):
+        assert coder.encode_all([text, "five"])[0].tolist() == [i for t in (text, "five") for i in library.encode(t, add_special_tokens=False).ids]

@@ -54,3 +54,24 @@ def test_windows_stay_in_a_text():
 def test_sliced_column():
     column = pa.array(["no", "a b", "c"]).slice(1)
     assert tokens.texts_of(column).data.tobytes() == b"a bc"
+
+
+def test_hash_is_not_linear():
+    for length in (1024, 4096, 1 << 15):
+        texts = tokens.texts_of(pa.array(plain.thue_morse(length)))
+        one, other = texts.hashes(texts.bounds[:-1], texts.bounds[1:])
+        assert one != other
+
+
+def test_hash_of_any_cut(monkeypatch):
+    """The same for a word wherever it lies, however the work is cut, and in any order of the slices."""
+    words = ["", "a", "ab", "b" * 50, "ab", "", "a"]
+    texts = tokens.texts_of(pa.array(words))
+    starts, ends = texts.bounds[:-1], texts.bounds[1:]
+    want = texts.hashes(starts, ends)
+    assert want[2] == want[4] and want[0] == want[5] and want[1] == want[6] and len(set(want.tolist())) == 4
+    order = np.array([3, 1, 2, 6])
+    assert texts.hashes(starts[order], ends[order]).tolist() == want[order].tolist()
+    for size in (1, 7):
+        monkeypatch.setattr(tokens, "CHUNK_BYTES", size)
+        assert texts.hashes(starts, ends).tolist() == want.tolist()
