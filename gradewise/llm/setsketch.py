@@ -113,7 +113,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return np.take_along_axis(np.broadcast_to(j, chance.shape), chance.argmax(-1)[..., None], -1)[..., 0]
 
 
-SKETCH = "n long, print binary, registers binary, bands array<long>"
+SKETCH = "text_hash long, n long, print binary, registers binary, bands array<long>"
 
 
 def _sketcher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,17 +130,17 @@ def _sketcher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 some.append(k if size else None)
                 k += bool(size)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).slice(a, b - a), pa.array(n, pa.int64()),
+                batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(n, pa.int64()),
                 pa.array([None if k is None else p.tobytes() for k, p in zip(some, prints)], pa.binary()),
                 pa.array([None if k is None else rows[k].tobytes() for k in some], pa.binary()),
                 pa.array([None if k is None else keys_of[k] for k in some], pa.list_(pa.int64())),
-            ], names=["id", "n", "print", "registers", "bands"])
+            ], names=["id", "text_hash", "n", "print", "registers", "bands"])
 
 
 def sketch(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: id, n (size of its set), print, registers, bands; the last three null without a set."""
+    """Per document: id, text_hash, n (size of its set), print, registers, bands; the last three null without a set."""
     key = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_sketcher, f"id {key}, {SKETCH}")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")).mapInArrow(_sketcher, f"id {key}, {SKETCH}")
 
 
 def _may_link(a, b, n_a, n_b, m_a, m_b, percent: int) -> np.ndarray:
@@ -375,6 +375,14 @@ def _round(
 
 def groups(docs: DataFrame, *, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, n_shingles, component_id (the smallest id of its component), kept."""
+    found = _grouped(docs, percent, id_col, text_col)
+    return found.select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),
+    )
+
+
+def _grouped(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """Per document: id, n (shingles), text_hash, component (null without a set or id) and component_id."""
     sketches = stored(sketch(docs, id_col=id_col, text_col=text_col), "sketches")
     nodes = stored(
         sketches.where("n > 0 and id is not null").groupBy("print")
@@ -388,12 +396,12 @@ def groups(docs: DataFrame, *, percent: int = PERCENT, id_col: str = "doc_id", t
 
     placed = _labelled(nodes.select("node", "print", "first"), labels)
     smallest = placed.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = placed.join(smallest, "component").select("print", "component_id")
-    out = sketches.select("id", "n", "print").join(named, "print", "left")
-    component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id"))
+    named = placed.join(smallest, "component").select("print", "component", "component_id")
+    out = sketches.select("id", "n", "print", "text_hash").join(named, "print", "left")
+    whole = (F.col("n") > 0) & F.col("id").isNotNull()
     return out.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+        "id", "n", "text_hash", F.when(whole, F.col("component")).alias("component"),
+        F.when(whole, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
     )
 
 
@@ -445,11 +453,21 @@ def _own_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def keep_one(docs: DataFrame, *, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component, and every document without a set or id, with all columns."""
-    found = groups(docs, percent=percent, id_col=id_col, text_col=text_col)
-    kept = found.where(F.col("kept") & (F.col("n_shingles") > 0) & F.col(id_col).isNotNull())
-    ids = kept.select(F.col(id_col).alias("__kept")).distinct()
-    filled = docs.where(F.col(id_col).isNotNull() & F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
-    bare = docs.where(F.col(id_col).isNull() | ~F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
-    one = filled.join(ids, F.col(id_col) == F.col("__kept"), "left_semi").dropDuplicates([id_col, text_col])
-    return one.unionByName(bare)
+    """One document of each component, and every document without a set or id, with all columns.
+
+    It is a row with the component's smallest id; of several such rows the text with the smallest hash stays, and of rows of one id and
+    text the smallest by their columns.
+    """
+    found = _grouped(docs, percent, id_col, text_col).where("component is not null and id = component_id")
+    chosen = found.groupBy("component", "id", "text_hash").agg(F.count("*").alias("copies")).groupBy("component").agg(
+        F.min(F.struct("text_hash", "id", "copies")).alias("one"),
+    ).select(F.col("one.id").alias("id"), F.col("one.text_hash").alias("text_hash"), F.col("one.copies").alias("copies"))
+    chosen = chosen.select(F.struct("*").alias("kept"))
+    every = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
+    has_words = F.col(text_col).rlike(r"[^\x20\x09-\x0D]")
+    rows = docs.select(every, F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), (F.col(id_col).isNotNull() & F.coalesce(has_words, F.lit(False))).alias("filled"))
+    joined = rows.where("filled").join(chosen, (F.col("id") == F.col("kept.id")) & (F.col("text_hash") == F.col("kept.text_hash"))).select("doc", "kept")
+    alone = joined.where("kept.copies = 1").select("doc")
+    several = joined.where("kept.copies > 1").groupBy("kept").agg(F.min("doc").alias("doc")).select("doc")
+    kept = alone.unionByName(several).unionByName(rows.where("not filled").select("doc"))
+    return kept.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))

@@ -49,7 +49,7 @@ def test_odd_rows(spark):
     check(setsketch.groups(docs).collect(), [(r.doc_id, r.text) for r in docs.collect()])
     kept = setsketch.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([1, 3, 4, 5, 6, 8, 9, 11, 12, 13, None, None], key=str)
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([1, 3, 4, 5, 6, 8, 9, 11, 12, 13, 14, 15, 16, None, None], key=str)
     assert setsketch.groups(plain.no_docs(spark)).count() == 0
 
 
@@ -108,3 +108,15 @@ def test_shingles_of_short_texts():
     keys, first = setsketch.shingles(tokens.texts_of(pa.array(["a", "a b", "A B", None, "a b c d e", "b a", "a a a a a a"])))
     assert np.diff(first).tolist() == [1, 1, 1, 0, 1, 1, 1]
     assert keys[1] == keys[2] and len(set(keys.tolist())) == 5
+
+
+def test_keep_one_by_text(spark):
+    """One id with two texts, texts with two ids, rows that differ elsewhere, and a column of a name that is used inside."""
+    a, b = plain.PROSE * 3, "quite another text of some more words than five in all"
+    rows = [(1, a, 5), (2, a, 1), (2, b, 2), (3, b, 0), (4, "only this one here", 9), (4, "only this one here", 3), (5, "", 1), (5, "", 1), (None, a, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __kept int").selectExpr("*", "doc_id AS kept", "text AS doc")
+    got = setsketch.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted((tuple(r)[:3] for r in got.collect()), key=str) == sorted(
+        [(1, a, 5), (2, b, 2), (4, "only this one here", 3), (5, "", 1), (5, "", 1), (None, a, 7)], key=str,
+    )
