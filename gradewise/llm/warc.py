@@ -26,8 +26,11 @@ import uuid
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.dataset
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +42,7 @@ BLOCK_LINES = 300
 REVISIT_BYTES = 100
 READ_BYTES = 8 << 20
 LOOKUP_BYTES = 8 << 20
+HELD_BYTES = 4 << 20
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"  # pages carry no capture time
@@ -62,13 +66,22 @@ def _files(path: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
 
 
-def _record(kind: str, page: str, url: str | None, payload: bytes, digest: str, size: int, refers_to: str | None) -> bytes:
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{page}>", f"WARC-Date: {DATE}"]
+def _urn(page: str | None) -> str:
+    """A page's name in a header, whatever characters its id has."""
+    return "<urn:unnamed>" if page is None else f"<urn:page:{quote(page, safe='')}>"
+
+
+def _page(urn: str) -> str | None:
+    return None if urn == "<urn:unnamed>" else unquote(urn.removeprefix("<urn:page:").removesuffix(">"))
+
+
+def _record(kind: str, page: str | None, url: str | None, payload: bytes, digest: str, size: int, refers_to: str | None) -> bytes:
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_urn(page)}", f"WARC-Date: {DATE}"]
     if url is not None:
         lines.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20]", "%20", url))
     lines += [f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {size}", "Content-Type: text/html; charset=utf-8"]
     if kind == "revisit":
-        lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {_urn(refers_to)}"]
         payload = b""
     lines.append(f"Content-Length: {len(payload)}")
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
@@ -143,16 +156,26 @@ class _Output:
             self.file.close()
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[list[dict]]:
+def _slices(batches: Iterator[pa.RecordBatch], rows: int, sizes: str | None = None) -> Iterator[list[dict]]:
+    """Rows of the batches, at most so many at a time; of a column of strings or lengths `sizes`, about `HELD_BYTES` or one row at a time."""
     for batch in batches:
-        for k in range(0, len(batch), rows):
-            yield batch.slice(k, rows).to_pylist()
+        ends = np.arange(1, len(batch) + 1) * 0
+        if sizes is not None:
+            column = batch.column(batch.schema.get_field_index(sizes))
+            lengths = column if pa.types.is_integer(column.type) else pc.binary_length(column)
+            ends = np.cumsum(pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        k = 0
+        while k < len(batch):
+            stop = int(np.searchsorted(ends, (ends[k - 1] if k else 0) + HELD_BYTES, "right"))
+            stop = min(k + rows, max(k + 1, stop))
+            yield batch.slice(k, stop - k).to_pylist()
+            k = stop
 
 
 def _archive_writer(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         archive = _Output(path, "warc.gz")
-        for rows in _slices(batches, 256):
+        for rows in _slices(batches, 256, "body"):
             captures = []
             for row in rows:
                 payload = row["body"].encode("utf-8", "surrogatepass")
@@ -176,7 +199,7 @@ def _index_writer(path: str):
         held: list[dict] = []
 
         def block(rows: list[dict]) -> dict:
-            lines = (f"{r['key']} {r['archive']} {r['offset']} {r['length']} {r['kind']} {r['page']}\n" for r in rows)
+            lines = (f"{r['key']} {r['archive']} {r['offset']} {r['length']} {r['kind']} {_urn(r['page'])}\n" for r in rows)
             packed = _gzip("".join(lines).encode("utf-8", "surrogatepass"))
             return {
                 "first_key": rows[0]["key"], "last_key": rows[-1]["key"], "index": index.name, "offset": index.write(packed),
@@ -234,12 +257,11 @@ def _told(data: bytes) -> dict:
         if hashlib.sha256(content).hexdigest() != digest:
             raise ValueError(f"the payload of {headers['WARC-Record-ID']} is damaged")
         size = len(content)
-    page = headers["WARC-Record-ID"].removeprefix("<urn:page:").removesuffix(">")
     refers_to = headers.get("WARC-Refers-To")
     return {
-        "page": None if page == "None" else page, "url": headers.get("WARC-Target-URI"), "payload_bytes": size,
+        "page": _page(headers["WARC-Record-ID"]), "url": headers.get("WARC-Target-URI"), "payload_bytes": size,
         "payload_digest": digest, "record_type": kind,
-        "refers_to": refers_to and refers_to.removeprefix("<urn:page:").removesuffix(">"),
+        "refers_to": refers_to and _page(refers_to),
         "payload": content if kind == "response" else None,
     }
 
@@ -264,7 +286,7 @@ def _records(found: DataFrame, path: str, tasks: int, payloads: bool) -> DataFra
     """The records at the found places, read in archive order."""
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(path)
-        for rows in _slices(batches, 256):
+        for rows in _slices(batches, 256, "length"):
             told = [_told(reader.read(r["archive"], r["offset"], r["length"])) for r in rows]
             if not payloads:
                 told = [t | {"payload": None} for t in told]
@@ -284,7 +306,7 @@ def lookup(spark: SparkSession, path: str, urls: DataFrame, *, url_col: str = "u
     keys = stored(urls.select(url_key(url_col).alias("key")).distinct(), "keys")
     size = keys.agg(F.sum(F.octet_length("key") + 64)).first()[0] or 0
     # Keys that lie together are looked for in the same blocks.
-    ordered = keys.repartitionByRange(int(min(max(1, -(-size // LOOKUP_BYTES), spread), 10_000)), "key")
+    ordered = keys.repartitionByRange(int(min(max(1, -(-size // LOOKUP_BYTES), spread), 10_000)), "key").sortWithinPartitions("key")
     asked = ordered.mapInArrow(_block_finder(path), ASKED)
     placed = asked.repartition(int(spread), "index", "block").sortWithinPartitions("index", "block", "key")
     return _records(placed.mapInArrow(_line_finder(path), ENTRY), path, int(tasks), payloads)
@@ -294,24 +316,27 @@ ASKED = "index string, block long, size long, key string"
 
 
 def _block_finder(path: str):
-    """The blocks that may hold each key, by binary search of the directory, which a task reads once."""
+    """The blocks that may hold each key, by binary search of the directory; a batch of neighbouring keys reads the part of it between them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _files(path)
         columns = ["first_key", "last_key", "index", "offset", "length"]
         folder = pa.fs.FileSelector(posixpath.join(root, "directory"), recursive=False)
         names = [f.path for f in store.get_file_info(folder) if f.base_name.endswith(".parquet")]
-        blocks = pa.dataset.dataset(names, filesystem=store, format="parquet").to_table(columns=columns) if names else _arrow(DIRECTORY).empty_table()
-        # Blocks are in key order, so their first keys are and their last keys are; ordered as bytes, as Spark orders strings.
-        first, last = ([x.encode("utf-8", "surrogatepass") for x in blocks[c].to_pylist()] for c in columns[:2])
-        order = sorted(range(len(first)), key=lambda i: (first[i], last[i]))
-        first, last = [first[i] for i in order], [last[i] for i in order]
-        index, offset, length = (blocks[c].to_pylist() for c in columns[2:])
+        whole = pa.dataset.dataset(names, filesystem=store, format="parquet") if names else pa.dataset.dataset(_arrow(DIRECTORY).empty_table())
         for rows in _slices(batches, 4096):
+            low, high = min(r["key"] for r in rows), max(r["key"] for r in rows)
+            near = (pc.field("last_key") >= low) & (pc.field("first_key") <= high)
+            blocks = whole.to_table(columns=columns, filter=near)
+            # Blocks are in key order, so their first keys are and their last keys are; ordered as bytes, as Spark orders strings.
+            first, last = ([x.encode("utf-8", "surrogatepass") for x in blocks[c].to_pylist()] for c in columns[:2])
+            order = sorted(range(len(first)), key=lambda i: (first[i], last[i]))
+            first, last = [first[i] for i in order], [last[i] for i in order]
+            index, offset, length = (blocks[c].to_pylist() for c in columns[2:])
             found = []
-            for key in (r["key"] for r in rows):
-                data = key.encode("utf-8", "surrogatepass")
+            for r in rows:
+                data = r["key"].encode("utf-8", "surrogatepass")
                 for i in order[bisect_left(last, data): bisect_right(first, data)]:
-                    found.append({"index": index[i], "block": offset[i], "size": length[i], "key": key})
+                    found.append({"index": index[i], "block": offset[i], "size": length[i], "key": r["key"]})
             yield pa.RecordBatch.from_pylist(found, schema=_arrow(ASKED))
 
     return run

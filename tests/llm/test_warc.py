@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +98,26 @@ def test_damage_is_noticed():
     record = warc._record("response", "1", "http://x/", b"payload", "0" * 64, 7, None)
     with pytest.raises(ValueError, match="damaged"):
         warc._told(warc._gzip(record))
+
+
+def test_any_page_id(spark):
+    """Ids with line breaks, spaces, signs of the formats, or the name of nothing."""
+    ids = ["a\nb", "a\r\nWARC-Type: x", "None", "-", "", "<urn:page:1>", "100%41", "ü é", None]
+    body = "y" * 200
+    rows = [(i, f"http://a.example.com/{k}", body if k % 2 else body + str(k)) for k, i in enumerate(ids)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    path = scratch_path(spark, "warc")
+    warc.write(pages, path)
+    got = warc.read_back(spark, path).collect()
+    first = min(i for i, _, b in rows if i is not None and b == body)
+    want = [(i, len(b), "revisit" if b == body and i != first else "response", first if b == body and i != first else None) for i, _, b in rows]
+    assert told(got) == sorted(want, key=str)
+    assert warc.lookup(spark, path, pages).count() == len(ids)
+
+
+def test_slices_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "HELD_BYTES", 10)
+    batch = pa.RecordBatch.from_pydict({"body": ["x" * 4, "x" * 4, "x" * 4, None, "x" * 30, "", "y"], "length": [1] * 7})
+    assert [len(s) for s in warc._slices(iter([batch]), 256, "body")] == [2, 2, 1, 2]
+    assert [len(s) for s in warc._slices(iter([batch]), 3)] == [3, 3, 1]
+    assert [len(s) for s in warc._slices(iter([batch]), 256, "length")] == [7]
