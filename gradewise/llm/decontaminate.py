@@ -256,12 +256,15 @@ def find(
     else:
         known = out.mapInArrow(_count_words, T.StructType([id_field, T.StructField("text", T.StringType()), counted]))
         known = stored(known.withColumn("row", F.monotonically_increasing_id()), "documents")
-        # A document's hits in the order of the blocks.
         found = _hits(known, rows, n, window).groupBy("row").agg(
             F.array_sort(F.collect_list(F.struct("block", "item_ids", "matches"))).alias("found"),
         ).select(
             F.col("row").alias("hit_row"), F.array_sort(F.array_distinct(F.flatten("found.item_ids"))).alias("item_ids"),
-            F.flatten("found.matches").alias("matches"),
+            # By place, whichever block they come from.
+            F.transform(
+                F.array_sort(F.transform(F.flatten("found.matches"), lambda m: F.struct(m["start"], m["end"], m["item_id"]))),
+                lambda m: F.struct(m["item_id"], m["start"], m["end"]),
+            ).alias("matches"),
         )
         out = known.select("row", "id", "n_words").join(found, F.col("row") == F.col("hit_row"), "left").select(
             "id", "n_words", F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
@@ -287,7 +290,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _told(hit: dict, items: Items) -> tuple[list[str], list[dict]]:
     """Sorted item ids and the matches of one document's hit."""
     ids = sorted({x for t in hit["texts"] for x in items.ids[t]})
-    return ids, [{"item_id": min(items.ids[t]), "start": s, "end": e} for t, s, e in sorted(hit["matches"], key=lambda m: m[1:])]
+    told = sorted((s, e, min(items.ids[t])) for t, s, e in hit["matches"])
+    return ids, [{"item_id": i, "start": s, "end": e} for s, e, i in told]
 
 
 _ITEM_IDS = pa.list_(pa.string())

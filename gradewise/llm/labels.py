@@ -21,7 +21,7 @@ def sample(
 ) -> DataFrame:
     """(`id`, `text`, `label`) of at most `rows` labelled documents outside the held-out fold.
 
-    A null label or id isn't used; of several labels of one document the largest counts. The ids
+    A null label or id isn't used; of several labels of one document the largest counts, of several texts one. The ids
     are chosen first, so only the chosen texts are read on.
     """
     chosen = (
@@ -30,5 +30,8 @@ def sample(
         .orderBy(F.xxhash64("id"), "id").limit(rows)
     )
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # At most `rows` ids.
-    return texts.join(F.broadcast(chosen), "id").select("id", "text", F.col("label").cast("double").alias("label"))
+    # At most `rows` ids. Of several texts with one id the one with the smallest hash counts, so there are no more rows either.
+    found = texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text"))).alias("one"),
+    )
+    return found.select("id", F.col("one.text").alias("text"), F.col("label").cast("double").alias("label"))

@@ -58,8 +58,9 @@ def statistics(texts: tokens.Texts) -> dict[str, np.ndarray]:
     echo[1:] = (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])
     bare = np.zeros(len(hashes), bool)
     if len(starts):
-        # Words of symbols alone: their first and last byte say enough.
-        bare = IS_PUNCT[texts.data[starts]] & IS_PUNCT[texts.data[ends - 1]]
+        # Words of symbols alone.
+        others = np.concatenate(([0], np.cumsum(~IS_PUNCT[texts.data])))
+        bare = others[starts] == others[ends]
     lines = texts.counted(np.flatnonzero(texts.data == quality_rules.NEWLINE)) + 1
 
     def share(member: np.ndarray) -> np.ndarray:
@@ -204,9 +205,9 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = labelled.SAMPLE_ROW
 
 
 def score(docs: DataFrame, ensemble: Ensemble, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: id, score (0 to 1), predicted (1 from `PREDICT_AT`), then the statistics."""
+    """Per document: id, score (0 to 1), predicted (1 from `PREDICT_AT`), then the statistics, but for one of the id's name."""
     named = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
     scored = measure(named, ["__id"]).withColumn("score", ensemble.column())
     return scored.select(
-        F.col("__id").alias(id_col), "score", (F.col("score") >= PREDICT_AT).cast("int").alias("predicted"), *STATISTICS,
+        F.col("__id").alias(id_col), "score", (F.col("score") >= PREDICT_AT).cast("int").alias("predicted"), *(s for s in STATISTICS if s != id_col),
     )

@@ -122,3 +122,25 @@ def test_rules_compile_to_what_they_predict(spark, sf):
     x = np.array([[r[s] for s in rule_ensemble.STATISTICS] for r in got])
     assert ensemble.rules and np.allclose(ensemble.predict(x), [r.score for r in got])
     assert all(np.isfinite(r.score) for r in got)
+
+
+def test_sample_is_bounded_by_rows(spark):
+    """Many texts with one labelled id give one row, the same one in any order."""
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(300)] + [(2, None), (2, "b")], "doc_id long, text string")
+    marks = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    got = [sorted(map(tuple, labels.sample(d, marks, "quality", rows=2, folds=10**9).collect())) for d in (docs, docs.repartition(5))]
+    assert got[0] == got[1] and [r[0] for r in got[0]] == [1, 2]
+    assert labels.sample(docs, marks, "quality", rows=1, folds=10**9).count() == 1
+
+
+def test_bare_symbols_and_lines():
+    texts = ["(word) --- a-b !?", "== x", plain.thue_morse()[0] + "\n" + plain.thue_morse()[1]]
+    got = rule_ensemble.statistics(tokens.texts_of(pa.array(texts)))
+    assert got["bare_symbols"].tolist() == [0.5, 0.5, 0.0] and got["repeated_lines"][2] == 0
+
+
+def test_id_named_like_a_statistic(spark):
+    docs = spark.createDataFrame([("a", "some words here")], "words string, text string")
+    ensemble = rule_ensemble.fit(np.random.default_rng(1).random((40, len(rule_ensemble.STATISTICS))), np.arange(40) % 2.0)
+    got = rule_ensemble.score(docs, ensemble, id_col="words")
+    assert got.columns.count("words") == 1 and got.first().words == "a"
