@@ -1,10 +1,13 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, over overlapping windows of words.
 
 A word enters as a learned vector of its own (if it is common enough in training), the mean of learned vectors of its
-hashed character trigrams, and how much its beginnings of `STEMS` bytes tell toxic texts from clean ones. Two gated recurrent layers read a window of `WINDOW` words in both directions, attention pools their
-states and a logistic unit scores the pool. A text's score is the highest of all its windows', which begin at every word
-(`SCORE_STRIDE`), calibrated on the training sample's. The network learns from windows that begin every `STRIDE` words. Everything is numpy: training on the driver over a bounded sample
-of labelled texts (`TOXIC_ROWS`, `CLEAN_ROWS`, each of at most `TRAIN_BYTES`), scoring in Arrow batches without a shuffle.
+hashed character trigrams, and how much its beginnings of `STEMS` bytes tell toxic texts from clean ones. Two gated recurrent
+layers read the text once, one in each direction: in segments of `SEGMENT` words from the text's first one on, each with a lead-in
+of `LEAD` words on the side where the layer begins. Attention pools the states of a window of `WINDOW` words and a logistic
+unit scores the pool. A text's score is the highest of all its windows', which begin at every word, calibrated on the training
+sample's. Since a window's pool is a quotient of two sums over its words, all windows cost a few additions a word. The network
+learns from windows that begin every `STRIDE` words, through the same segments. Everything is numpy: training on the driver over a
+bounded sample of labelled texts (`TOXIC_ROWS`, `CLEAN_ROWS`, each of at most `TRAIN_BYTES`), scoring in Arrow batches without a shuffle.
 
 A label says only that something in a text is toxic. Training starts from windows with the words that tell toxic from clean
 texts best and, in later rounds, takes each toxic text's highest window and the clean texts' highest windows.
@@ -29,9 +32,12 @@ from gradewise.llm import learn, tokens
 TOXIC_ROWS = 1200
 CLEAN_ROWS = 1800
 TRAIN_BYTES = 16 << 10
+# A power of two, see `window_sums`.
 WINDOW = 32
 STRIDE = 16
-SCORE_STRIDE = 1
+# At least WINDOW, so that a window lies in two segments at most.
+SEGMENT = 32
+LEAD = 16
 WORD_SIZE = CHAR_SIZE = 8
 HIDDEN = 8
 CHAR_BUCKETS = 1 << 12
@@ -39,9 +45,12 @@ LEAST_TEXTS = 3
 BY_CHANCE = 4.0
 STEMS = range(4, 13)
 CLEAN_WINDOWS = 4
+BARE = 0.5
 ROUNDS, EPOCHS, BATCH = 3, 4, 128
+# A small sample is gone over more often, up to so many steps a round.
+LEAST_STEPS = 60
 PREDICT_AT = 0.5
-BLOCK = 8192
+BLOCK = 2048
 
 IS_LETTER = np.zeros(256, bool)
 IS_LETTER[0x41:0x5B] = IS_LETTER[0x61:0x7B] = IS_LETTER[0x80:] = True
@@ -92,10 +101,35 @@ class Words:
         rank = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         return self.first[owner] + stride * rank, owner
 
-    def rows(self, start: np.ndarray, owner: np.ndarray) -> np.ndarray:
-        """Word of each place of the windows, -1 behind a text's end."""
-        at = start[:, None] + np.arange(WINDOW)
-        return np.where(at < self.first[1:][owner][:, None], self.which[np.minimum(at, len(self.which) - 1)], -1)
+    def segments(self) -> tuple[np.ndarray, np.ndarray]:
+        """(start of each segment, its text)"""
+        n = np.diff(self.first)
+        many = -(-n // SEGMENT)
+        owner = np.repeat(np.arange(len(n)), many)
+        rank = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        return self.first[owner] + SEGMENT * rank, owner
+
+    def rows(self, start: np.ndarray, owner: np.ndarray, places: range) -> np.ndarray:
+        """Word at each of these places from the starts, -1 outside the text."""
+        at = start[:, None] + np.arange(places.start, places.stop)
+        inside = (at >= self.first[owner][:, None]) & (at < self.first[1:][owner][:, None])
+        return np.where(inside, self.which[np.clip(at, 0, len(self.which) - 1)], -1)
+
+    def around(self, start: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(words of the two segments that hold a window, with both lead-ins; place of the window behind the first lead-in)"""
+        offset = (start - self.first[owner]) % SEGMENT
+        return self.rows(start - offset, owner, range(-LEAD, 2 * SEGMENT + LEAD)), offset
+
+    def window_sums(self, values: np.ndarray, start: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """Sum of each window's values, by doubling: nothing is subtracted, so small values beside large ones keep their digits."""
+        sums, width = np.concatenate((values, np.zeros(WINDOW - 1))), 1
+        while width < WINDOW:
+            sums = sums[:-width] + sums[width:]
+            width *= 2
+        n = np.diff(self.first)
+        whole = np.zeros(len(n))
+        whole[n > 0] = np.add.reduceat(values, self.first[:-1][n > 0])
+        return np.where(n[owner] < WINDOW, whole[owner], sums[start])
 
 
 def _gram_means(words: Words, table: np.ndarray) -> np.ndarray:
@@ -117,47 +151,57 @@ def _gates(name: str, p: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray,
 
 
 def _run(inputs: np.ndarray, mask: np.ndarray, state_weights: np.ndarray, backward: bool, keep: bool) -> tuple[np.ndarray, list]:
-    """States of one layer: `inputs` (window, place, 3 * HIDDEN) hold the input's share of update, reset and candidate."""
-    n, length = mask.shape
+    """States of one layer: `inputs` (place, segment, 3 * HIDDEN) hold the input's share of update, reset and candidate."""
+    length, n = mask.shape
     h = np.zeros((n, HIDDEN), np.float32)
-    states = np.empty((n, length, HIDDEN), np.float32)
+    states = np.empty((length, n, HIDDEN), np.float32)
     tape = []
     for t in range(length - 1, -1, -1) if backward else range(length):
-        g = inputs[:, t]
+        g = inputs[t]
         u = h @ state_weights
         gate = _sigmoid(g[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
         z, r = gate[:, :HIDDEN], gate[:, HIDDEN:]
         candidate = _tanh(g[:, 2 * HIDDEN:] + r * u[:, 2 * HIDDEN:])
         new = candidate + z * (h - candidate)
-        m = mask[:, t, None]
+        m = mask[t, :, None]
         if keep:
             tape.append((t, h, z, r, candidate, u[:, 2 * HIDDEN:]))
         h = np.where(m, new, h)
-        states[:, t] = h
+        states[t] = h
     return states, tape
 
 
 def _back(tape: list, mask: np.ndarray, state_weights: np.ndarray, d_states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gradients of `_run`'s inputs and state weights."""
-    n, length = mask.shape
-    d_inputs = np.zeros((n, length, 3 * HIDDEN), np.float32)
+    length, n = mask.shape
+    d_inputs = np.zeros((length, n, 3 * HIDDEN), np.float32)
     d_weights = np.zeros_like(state_weights)
     d_h = np.zeros((n, HIDDEN), np.float32)
     for t, h, z, r, candidate, u in reversed(tape):
-        d = d_h + d_states[:, t]
-        m = mask[:, t, None]
+        d = d_h + d_states[t]
+        m = mask[t, :, None]
         active = np.where(m, d, 0)
         d_z = active * (h - candidate) * z * (1 - z)
         d_c = active * (1 - z) * (1 - candidate * candidate)
         d_r = d_c * u * r * (1 - r)
         d_u = np.concatenate((d_z, d_r, d_c * r), 1)
-        d_inputs[:, t] = np.concatenate((d_z, d_r, d_c), 1)
+        d_inputs[t] = np.concatenate((d_z, d_r, d_c), 1)
         d_weights += h.T @ d_u
         d_h = np.where(m, active * z, d) + d_u @ state_weights.T
     return d_inputs, d_weights
 
 
 LAYERS = ("forth", "back")
+# Places of a segment that each layer reads, and where the segment itself lies among them.
+READS = {"forth": range(-LEAD, SEGMENT), "back": range(SEGMENT + LEAD)}
+CORE = {"forth": slice(LEAD, LEAD + SEGMENT), "back": slice(0, SEGMENT)}
+
+
+def _both(span: np.ndarray, name: str) -> np.ndarray:
+    """What a layer reads of the two segments of each row of `Words.around`: (place, 2 * row + segment)."""
+    reads = READS[name]
+    parts = [span[:, LEAD + k + reads.start: LEAD + k + reads.stop] for k in (0, SEGMENT)]
+    return np.stack(parts, 1).reshape(-1, len(reads)).T
 
 
 @dataclass
@@ -200,34 +244,56 @@ class Network:
         stems = stems_telling(words.stems, self.stems, self.stems_tell)
         return np.concatenate((self.p["words"][self.places(words.keys)], _gram_means(words, self.p["chars"]), stems[:, None]), 1)
 
-    def forward(self, x: np.ndarray, rows: np.ndarray, keep: bool = False):
-        """Raw scores of windows of `rows` over word inputs `x`."""
-        p, mask = self.p, rows >= 0
+    def layer(self, name: str, table: np.ndarray, rows: np.ndarray, keep: bool = False) -> tuple[np.ndarray, list]:
+        """States of a layer at `rows` (place, segment) of words; `table` holds each word's share of the gates."""
+        return _run(table[np.maximum(rows, 0)], rows >= 0, self.p[f"{name}_state"], name == "back", keep)
+
+    def shares(self, name: str, x: np.ndarray) -> np.ndarray:
+        weights, _, bias = _gates(name, self.p)
+        return x @ weights + bias
+
+    def states(self, words: Words) -> np.ndarray:
+        """States of both layers at every word."""
+        start, owner = words.segments()
+        x = self.inputs(words)
+        out = np.empty((len(words.which), 2 * HIDDEN), np.float32)
+        tables = [self.shares(name, x) for name in LAYERS]
+        for k in range(0, len(start), BLOCK):
+            some = slice(k, k + BLOCK)
+            rows = words.rows(start[some], owner[some], range(SEGMENT))
+            here = slice(start[some][0], min(start[some][-1] + SEGMENT, words.first[owner[some][-1] + 1]))
+            for layer, name in enumerate(LAYERS):
+                got = self.layer(name, tables[layer], words.rows(start[some], owner[some], READS[name]).T)[0]
+                out[here, layer * HIDDEN: (layer + 1) * HIDDEN] = got[CORE[name]].transpose(1, 0, 2)[rows >= 0]
+        return out
+
+    def forward(self, x: np.ndarray, span: np.ndarray, offset: np.ndarray, keep: bool = False):
+        """Raw scores of the windows of `Words.around` over word inputs `x`."""
+        p = self.p
+        window = (np.arange(len(span))[:, None], offset[:, None] + np.arange(WINDOW))
+        mask = span[:, LEAD:][window] >= 0
         states, tapes = [], []
         for name in LAYERS:
-            weights, state_weights, bias = _gates(name, p)
-            share = (x @ weights + bias)[np.maximum(rows, 0)]
-            s, tape = _run(share, mask, state_weights, name == "back", keep)
-            states.append(s)
+            s, tape = self.layer(name, self.shares(name, x), _both(span, name), keep)
+            states.append(s[CORE[name]].transpose(1, 0, 2).reshape(len(span), 2 * SEGMENT, HIDDEN)[window])
             tapes.append(tape)
         h = np.concatenate(states, 2)
         look = _tanh(h @ p["look"])
-        weight = np.where(mask, look @ p["query"], -30.0)
-        weight = np.exp(weight - weight.max(1, keepdims=True))
-        weight /= weight.sum(1, keepdims=True)
+        weight = np.where(mask, np.exp(look @ p["query"]), 0)
+        weight /= np.maximum(weight.sum(1, keepdims=True), 1e-30)
         pool = (weight[:, None] @ h)[:, 0]
-        return pool @ p["out"] + p["offset"][0], (mask, tapes, h, look, weight, pool)
+        return pool @ p["out"] + p["offset"][0], (window, tapes, h, look, weight, pool)
 
-    def gradients(self, words: Words, rows: np.ndarray, y: np.ndarray, weigh: np.ndarray) -> dict[str, np.ndarray]:
+    def gradients(self, words: Words, span: np.ndarray, offset: np.ndarray, y: np.ndarray, weigh: np.ndarray) -> dict[str, np.ndarray]:
         p = self.p
-        used, rows = np.unique(rows, return_inverse=True)
-        rows = rows.reshape(-1, WINDOW) - (used[0] < 0)
+        used, at = np.unique(span, return_inverse=True)
+        span = at.reshape(span.shape) - (used[0] < 0)
         used = used[used >= 0]
         sizes = np.diff(words.gram_first)[used]
         gram_at = np.repeat(words.gram_first[:-1][used] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
-        part = Words(words.keys[used], words.stems[used], words.grams[gram_at], np.concatenate(([0], np.cumsum(sizes))), rows, words.first)
+        part = Words(words.keys[used], words.stems[used], words.grams[gram_at], np.concatenate(([0], np.cumsum(sizes))), span, words.first)
         x = self.inputs(part)
-        raw, (mask, tapes, h, look, weight, pool) = self.forward(x, rows, keep=True)
+        raw, (window, tapes, h, look, weight, pool) = self.forward(x, span, offset, keep=True)
         d_raw = ((_sigmoid(raw) - y) * weigh / len(y)).astype(np.float32)
         g = {"out": pool.T @ d_raw, "offset": d_raw.sum(keepdims=True)}
         d_pool = d_raw[:, None] * p["out"]
@@ -241,9 +307,13 @@ class Network:
         d_x = np.zeros_like(x)
         for k, name in enumerate(LAYERS):
             weights, state_weights, _ = _gates(name, p)
-            d_in, g[f"{name}_state"] = _back(tapes[k], mask, state_weights, d_h[:, :, k * HIDDEN: (k + 1) * HIDDEN])
-            flat = d_in.reshape(-1, 3 * HIDDEN)[mask.ravel()]
-            where = rows.ravel()[mask.ravel()]
+            d_core = np.zeros((len(span), 2 * SEGMENT, HIDDEN), np.float32)
+            d_core[window] = d_h[:, :, k * HIDDEN: (k + 1) * HIDDEN]
+            rows = _both(span, name)
+            d_states = np.zeros((*rows.shape, HIDDEN), np.float32)
+            d_states[CORE[name]] = d_core.reshape(-1, SEGMENT, HIDDEN).transpose(1, 0, 2)
+            d_in, g[f"{name}_state"] = _back(tapes[k], rows >= 0, state_weights, d_states)
+            flat, where = d_in[rows >= 0], rows[rows >= 0]
             share = np.stack([np.bincount(where, flat[:, c], len(x)) for c in range(3 * HIDDEN)], 1)
             g[f"{name}_in"], g[f"{name}_bias"] = x.T @ share, share.sum(0)
             d_x += share @ weights.T
@@ -254,19 +324,22 @@ class Network:
         g["chars"] = np.stack([np.bincount(part.grams, per_gram[:, c], CHAR_BUCKETS) for c in range(CHAR_SIZE)], 1)
         return g
 
-    def highest(self, words: Words, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(raw score of every window, its start, its text, each text's highest score or minus infinity)."""
+    def highest(self, words: Words, stride: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """(raw score of every window, each text's highest score or minus infinity)."""
         start, owner = words.windows(stride)
-        raw = np.empty(len(start), np.float32)
-        x = self.inputs(words) if len(start) else None
-        for k in range(0, len(start), BLOCK):
-            raw[k: k + BLOCK] = self.forward(x, words.rows(start[k: k + BLOCK], owner[k: k + BLOCK]))[0]
         best = np.full(len(words.first) - 1, -np.inf)
+        if not len(start):
+            return np.zeros(0), best
+        h = self.states(words)
+        weight = np.exp((_tanh(h @ self.p["look"]) @ self.p["query"]).astype(np.float64))
+        # A pool's score is the mean of its states' scores.
+        sums = words.window_sums(weight * (h @ self.p["out"]), start, owner)
+        raw = sums / words.window_sums(weight, start, owner) + self.p["offset"][0]
         np.maximum.at(best, owner, raw)
-        return raw, start, owner, best
+        return raw, best
 
     def score(self, texts: tokens.Texts) -> np.ndarray:
-        best = self.highest(Words.of(texts), SCORE_STRIDE)[3]
+        best = self.highest(Words.of(texts))[1]
         return np.where(np.isfinite(best), learn.sigmoid(self.slope * np.where(np.isfinite(best), best, 0) + self.shift), 0.0)
 
 
@@ -312,10 +385,11 @@ def fit(texts: list[str], y: np.ndarray) -> Network | None:
     stems_tell = tell(in_toxic, in_all, toxic.mean())
     known = stems_tell > 0
     network = Network.fresh(words.keys[common], telling[common], stems[known], stems_tell[known])
+    for_clean = telling < 0
     telling = np.maximum(telling, stems_telling(words.stems, stems[known], stems_tell[known]))
 
     start, of_text = words.windows()
-    rows = words.rows(start, of_text)
+    rows = words.rows(start, of_text, range(WINDOW))
     # Before the first round a window scores what its most telling word does.
     raw = np.where(rows >= 0, telling[rows], -9).max(1)
     random = np.random.default_rng(11)
@@ -327,22 +401,26 @@ def fit(texts: list[str], y: np.ndarray) -> Network | None:
         chosen = rank[np.where(toxic[of_text[rank]], place < 1, place < CLEAN_WINDOWS // 2)]
         others = np.flatnonzero(~toxic[of_text])
         chosen = np.unique(np.concatenate((chosen, random.choice(others, min(len(others), CLEAN_WINDOWS // 2 * (~toxic).sum()), replace=False))))
+        span, offset = words.around(start[chosen], of_text[chosen])
         label = toxic[of_text[chosen]].astype(np.float32)
+        # A clean window stays clean without the words that speak for it, so that their lack tells nothing.
+        bare = (label == 0) & (random.random(len(chosen)) < BARE)
+        span[bare[:, None] & (span >= 0) & for_clean[span]] = -1
         weigh = np.where(label > 0, len(label) / (2 * max(1, label.sum())), len(label) / (2 * max(1, (1 - label).sum())))
-        for _ in range(EPOCHS):
+        for _ in range(max(EPOCHS, -(-LEAST_STEPS // -(-len(chosen) // BATCH)))):
             order = random.permutation(len(chosen))
             for k in range(0, len(order), BATCH):
                 some = order[k: k + BATCH]
                 step += 1
-                for name, g in network.gradients(words, rows[chosen[some]], label[some], weigh[some]).items():
+                for name, g in network.gradients(words, span[some], offset[some], label[some], weigh[some]).items():
                     m, v = state[name]
                     m += 0.1 * (g - m)
                     v += 0.001 * (g * g - v)
                     # Vectors of single words learn slowly: there are more of them than labelled texts.
                     rate = 0.0005 if name in ("words", "chars") else 0.01
                     network.p[name] -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
-        raw = network.highest(words)[0]
-    best = network.highest(words, SCORE_STRIDE)[3]
+        raw = network.highest(words, STRIDE)[0]
+    best = network.highest(words)[1]
     found = np.isfinite(best)
     network.slope, network.shift = learn.calibrate(best[found], y[found])
     return network

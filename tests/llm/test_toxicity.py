@@ -18,16 +18,16 @@ def small_network(words):
 
 
 def test_gradients():
-    words = words_of(["a bad word here", "some clean text with more words than this", "x"])
+    words = words_of(["a bad word here", "some clean text with more words than this " * 9, "x"])
     network = small_network(words)
     network.p = {k: v.astype(np.float64) for k, v in network.p.items()}
-    rows, y, weigh = words.rows(*words.windows()), np.array([1.0, 0, 1]), np.array([1.0, 2, 0.5])
+    (span, offset), y, weigh = words.around(*words.windows()), np.array([1.0, 0, 1, 0, 1, 0]), np.array([1.0, 2, 0.5, 1, 1, 3])
 
     def loss():
-        raw = network.forward(network.inputs(words), rows)[0].astype(float)
+        raw = network.forward(network.inputs(words), span, offset)[0].astype(float)
         return (weigh * (np.logaddexp(0, raw) - y * raw)).mean()
 
-    for name, g in network.gradients(words, rows, y, weigh).items():
+    for name, g in network.gradients(words, span, offset, y, weigh).items():
         at = np.unravel_index(np.abs(g).argmax(), g.shape)
         value = network.p[name][at]
         network.p[name][at] = value + 0.01
@@ -48,14 +48,51 @@ def test_windows_cover_every_word():
         assert len(covered) == n
 
 
-def test_every_window_start_is_scored():
+def plain_scores(network, x, texts):
+    """Each window's raw score, word by word and window by window; `texts` are lists of rows of `x`."""
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    p, size = {k: v.astype(float) for k, v in network.p.items()}, toxicity.HIDDEN
+
+    def state(name, words):
+        h = np.zeros(size)
+        for w in words:
+            g, u = x[w] @ p[f"{name}_in"] + p[f"{name}_bias"], h @ p[f"{name}_state"]
+            z, r = sigmoid(g[:size] + u[:size]), sigmoid(g[size: 2 * size] + u[size: 2 * size])
+            h = z * h + (1 - z) * np.tanh(g[2 * size:] + r * u[2 * size:])
+        return h
+
+    out = []
+    for words in texts:
+        states = []
+        for k in range(len(words)):
+            segment = k // toxicity.SEGMENT * toxicity.SEGMENT
+            before = words[max(0, segment - toxicity.LEAD): k + 1]
+            after = words[k: segment + toxicity.SEGMENT + toxicity.LEAD]
+            states.append(np.concatenate((state("forth", before), state("back", after[::-1]))))
+        for k in range(max(1, len(words) - toxicity.WINDOW + 1) if words else 0):
+            part = np.array(states[k: k + toxicity.WINDOW])
+            weight = np.exp(np.tanh(part @ p["look"]) @ p["query"])
+            out.append((weight / weight.sum()) @ part @ p["out"] + p["offset"][0])
+    return np.array(out)
+
+
+def test_every_window_against_a_plain_forward_pass(monkeypatch):
     random = np.random.default_rng(5)
-    lists = [["".join(random.choice(list("abcdefg"), 4)) for _ in range(n)] for n in (1, 31, 32, 33, 47, 100, 200)]
-    network = small_network(words_of([" ".join(w) for w in lists]))
-    score = lambda texts: network.score(tokens.texts_of(pa.array(texts)))
-    for w in lists:
-        parts = [" ".join(w[k: k + toxicity.WINDOW]) for k in range(max(1, len(w) - toxicity.WINDOW + 1))]
-        assert abs(score([" ".join(w)])[0] - score(parts).max()) < 1e-6
+    lists = [["".join(random.choice(list("abcdefg"), 4)) for _ in range(n)] for n in (0, 1, 31, 32, 0, 33, 47, 64, 65, 100, 200, 0)]
+    words = words_of([" ".join(w) for w in lists])
+    network = small_network(words)
+    texts = [words.which[a:b].tolist() for a, b in zip(words.first, words.first[1:])]
+    expected = plain_scores(network, network.inputs(words).astype(float), texts)
+    for block in (1, 3, 2048):
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        raw, best = network.highest(words)
+        assert len(raw) == len(expected) == sum(max(1, len(w) - 31) for w in lists if w)
+        assert np.abs(raw - expected).max() < 1e-5
+        ends = np.cumsum([max(1, len(w) - 31) if w else 0 for w in lists])
+        assert all(np.isinf(b) if not w else b == raw[e - max(1, len(w) - 31): e].max() for b, w, e in zip(best, lists, ends))
+    # Training sees the same scores.
+    start, owner = words.windows(1)
+    assert np.abs(network.forward(network.inputs(words), *words.around(start, owner))[0] - expected).max() < 1e-5
 
 
 def test_held_out(spark):
