@@ -77,18 +77,28 @@ def fit_logistic(x: Sparse, y: np.ndarray, *, steps: int = 50, rate: float = 0.1
 
 
 def calibrate(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift that make sigmoid(slope * raw + shift) a probability (Platt's targets, Newton's method)."""
+    """Slope and shift that make sigmoid(slope * raw + shift) a probability (Platt's targets, Newton's method with halved
+    steps, since full ones run away where the scores tell the labels apart by far)."""
     up, down = (y > 0.5).sum(), (y <= 0.5).sum()
     if not up or not down:
         return 1.0, 0.0
     target = np.where(y > 0.5, (up + 1) / (up + 2), 1 / (down + 2))
     slope, shift = 1.0, 0.0
+
+    def loss(slope: float, shift: float) -> float:
+        z = slope * raw + shift
+        return float((np.logaddexp(0, z) - target * z).sum())
+
     for _ in range(50):
         p = sigmoid(slope * raw + shift)
         w = np.maximum(p * (1 - p), 1e-9)
         g = np.array([((p - target) * raw).sum(), (p - target).sum()])
         h = np.array([[(w * raw * raw).sum(), (w * raw).sum()], [(w * raw).sum(), w.sum()]]) + 1e-6 * np.eye(2)
-        step = np.linalg.solve(h, g)
+        step, now = np.linalg.solve(h, g), loss(slope, shift)
+        for _ in range(40):
+            if loss(slope - step[0], shift - step[1]) <= now:
+                break
+            step = step / 2
         slope, shift = slope - step[0], shift - step[1]
         if np.abs(step).max() < 1e-8:
             break

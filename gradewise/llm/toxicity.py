@@ -46,6 +46,7 @@ BY_CHANCE = 4.0
 STEMS = range(4, 13)
 CLEAN_WINDOWS = 4
 BARE = 0.5
+MIXED = 0.5
 ROUNDS, EPOCHS, BATCH = 3, 4, 128
 # A small sample is gone over more often, up to so many steps a round.
 LEAST_STEPS = 60
@@ -368,6 +369,20 @@ def stems_telling(of_words: np.ndarray, stems: np.ndarray, stems_tell: np.ndarra
     return out
 
 
+def mixed_up(span: np.ndarray, offset: np.ndarray, label: np.ndarray, random: np.random.Generator) -> None:
+    """Put words of clean windows' surroundings around some windows, and behind their text's end: that changes no label, so
+    the network learns that it doesn't matter where in a text a window lies."""
+    clean, size = np.flatnonzero(label == 0), span.shape[1]
+    if len(clean):
+        place = np.arange(size)
+        other = span[random.choice(clean, len(span))]
+        other = np.take_along_axis(other, (place + random.integers(size, size=(len(span), 1))) % size, 1)
+        behind = place - LEAD - offset[:, None]
+        own = (behind >= 0) & (behind < WINDOW) & (span >= 0)
+        some = (random.random(len(span)) < MIXED)[:, None] & ~own
+        span[some] = other[some]
+
+
 def fit(texts: list[str], y: np.ndarray) -> Network | None:
     if not len(y) or y.min() == y.max():
         return None
@@ -403,6 +418,7 @@ def fit(texts: list[str], y: np.ndarray) -> Network | None:
         chosen = np.unique(np.concatenate((chosen, random.choice(others, min(len(others), CLEAN_WINDOWS // 2 * (~toxic).sum()), replace=False))))
         span, offset = words.around(start[chosen], of_text[chosen])
         label = toxic[of_text[chosen]].astype(np.float32)
+        mixed_up(span, offset, label, random)
         # A clean window stays clean without the words that speak for it, so that their lack tells nothing.
         bare = (label == 0) & (random.random(len(chosen)) < BARE)
         span[bare[:, None] & (span >= 0) & for_clean[span]] = -1

@@ -144,3 +144,13 @@ def test_id_named_like_a_statistic(spark):
     ensemble = rule_ensemble.fit(np.random.default_rng(1).random((40, len(rule_ensemble.STATISTICS))), np.arange(40) % 2.0)
     got = rule_ensemble.score(docs, ensemble, id_col="words")
     assert got.columns.count("words") == 1 and got.first().words == "a"
+
+
+@pytest.mark.parametrize("apart", [0.0, 1.0, 7.0, 40.0])
+def test_calibration_of_scores_far_apart(apart):
+    raw = np.concatenate((np.linspace(-1, 1, 50) - apart, np.linspace(-1, 1, 30) + apart))
+    y = np.arange(80) >= 50
+    slope, shift = learn.calibrate(raw, y)
+    p = learn.sigmoid(slope * raw + shift)
+    assert abs(p.sum() - (30 * 31 / 32 + 50 / 52)) < 1e-3 and (not apart or 0 < slope < 100)
+    assert apart < 7 or (p[50:] > 0.9).all() and (p[:50] < 0.1).all()
