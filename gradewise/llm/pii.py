@@ -1,11 +1,12 @@
 """Personal data by weak supervision: labelers vote on candidate spans, and a classifier learns from their votes.
 
 Candidates are the matches of the base patterns, which always count, and of wider ones: numbers that fail a check, local phone
-numbers, addresses written out with "at" and "dot", account and social-security numbers. Each gets votes for, against or
-none from a pattern, a checksum, a gazetteer, the words around it, its borders and its length. Votes and shape
-form a pattern of few values; Spark counts the patterns over all texts, and from those counts alone (a bounded table)
-the driver estimates each labeler's reliability by expectation-maximisation and trains a logistic span classifier on the
-expected labels. Spans it gives `SPAN_AT` or more are added. Texts are read twice and never shuffled.
+numbers, addresses written out with "at" and "dot", account and social-security numbers, secrets (runs of 20 or more letters and
+digits with a word before them that calls them so, or a known beginning; others are mostly digests and identifiers). Each gets votes for, against or none from its usual form, a checksum (a secret's entropy), a gazetteer, the words around
+it, its borders and its length; none of them knows which spans are base ones. The span's own features (`FEATURES`) are few-valued
+too, so Spark counts patterns of votes and features over all texts, and from those counts alone (a bounded table)
+the driver estimates each labeler's reliability by expectation-maximisation over the votes and trains a logistic span classifier
+with votes and features on the expected labels. Spans it gives `SPAN_AT` or more are added. Texts are read twice and never shuffled.
 
 All searches are linear in the text. Defined results: a null or empty text has no spans; repeated rows count each in the
 estimates and get the same spans; without candidates only base spans are found; `redact` returns all columns as they came
@@ -31,7 +32,7 @@ SPAN_AT = 0.5
 CONTEXT_CHARS = 40
 
 # Kinds in the order of results, the first four with base patterns.
-KINDS = ("email", "ip", "card", "phone", "ssn", "iban")
+KINDS = ("email", "ip", "card", "phone", "ssn", "iban", "secret")
 BASE_KINDS = KINDS[:4]
 
 # Word lists of the gazetteer and the context labelers.
@@ -43,9 +44,11 @@ CUES = {
     "phone": "phone tel call mobile fax whatsapp téléphone telefon teléfono appel",
     "ssn": "ssn social security",
     "iban": "iban account bank konto compte cuenta",
+    "secret": "token key apikey secret password passwd pwd credential credentials bearer authorization",
 }
 COUNTER_CUES = "version build isbn issn page chapter figure table section release order invoice part serial".split()
 CARD_STARTS = ("34", "37", "36", "38", "4", "51", "52", "53", "54", "55", "6011", "65", "2131", "1800", "35", "50", "56", "57", "58", "6")
+SECRET_STARTS = ("AKIA", "ASIA", "AIza", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "sk-", "sk_live_", "xoxb-", "xoxp-", "npm_", "eyJ")
 NO_COUNTRY_CODE = "0"  # no country's calling code begins with it
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -57,6 +60,17 @@ WRITTEN = re.compile(r"(?<![\w.])[A-Za-z0-9._-]{1,64} ?[(\[]at[)\]] ?[A-Za-z0-9-
 LOCAL_PHONE = re.compile(r"(?<![\w+.()-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![\w-])")
 SSN = re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")
 IBAN = re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
+SECRET = re.compile(r"(?<![\w+/=.@-])(?=[A-Za-z+/_-]{0,256}[0-9])(?=[0-9+/_-]{0,256}[A-Za-z])[A-Za-z0-9+/_-]{20,}+={0,2}(?![\w@.]\w)")
+# Usual forms of a span: one way of writing it throughout.
+USUAL = {
+    "email": re.compile(r"\w(?:.*\w)?[@ (\[].*"),
+    "ip": re.compile(r"(?:0|[1-9][0-9]*)(?:\.(?:0|[1-9][0-9]*)){3}"),
+    "card": re.compile(r"[0-9]+|[0-9]{4}(?:([ -])[0-9]{4})(?:\1[0-9]{1,4})+|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5}"),
+    "phone": re.compile(r"\+?[0-9]*+(?:[ .-]?+\([0-9]++\))?(?:[ .-]?+[0-9]{2,}+)*"),
+    "ssn": re.compile(r".*"),
+    "iban": re.compile(r"[A-Z0-9]+|[A-Z0-9]{4}(?: [A-Z0-9]{4})*(?: [A-Z0-9]{1,3})?"),
+    "secret": re.compile(r"(?!.*[A-Za-z]{4}[-_/][A-Za-z]{4})(?![0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-).*"),
+}
 TELLING = re.compile(r"[@0-9(\[]")
 WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
 
@@ -99,6 +113,10 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     }
 
 
+def words_before(text: str, start: int) -> set[str]:
+    return {w.lower() for w in WORD.findall(text[max(0, start - CONTEXT_CHARS): start])}
+
+
 def candidates(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple[str, int, int]]:
     """The base spans, and all others that the labelers judge; these overlap no base span of their kind."""
     out = [("ip", *m.span()) for m in IP.finditer(text)]
@@ -106,6 +124,10 @@ def candidates(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple[
     out += [("phone", *m.span()) for m in PHONE.finditer(text)]
     for kind, pattern in (("email", WRITTEN), ("phone", LOCAL_PHONE), ("ssn", SSN), ("iban", IBAN)):
         out += [(kind, *m.span()) for m in pattern.finditer(text)]
+    out += [
+        ("secret", *m.span()) for m in SECRET.finditer(text)
+        if m.group().startswith(SECRET_STARTS) or words_before(text, m.start()) & CUE_WORDS["secret"]
+    ]
     starts = {k: [s for s, _ in spans] for k, spans in base.items()}
 
     def apart(kind: str, start: int, end: int) -> bool:
@@ -122,10 +144,29 @@ def _mod97(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
-LABELERS = ("pattern", "checksum", "gazetteer", "context", "border", "length")
+LABELERS = ("form", "checksum", "gazetteer", "context", "border", "length")
+# How far each labeler is trusted before any text is seen.
+TRUST = np.array([0.05, 0.4, 0.15, 0.25, 0.1, 0.05])
+FEATURES = ("entropy", "digits", "before", "after")
+
+
+def entropy(span: str) -> float:
+    """Bits a character."""
+    n = np.array(list(Counter(span).values())) / len(span)
+    return float(-(n * np.log2(n)).sum())
+
+
+def features(text: str, start: int, end: int) -> tuple[int, ...]:
+    """The span's entropy in whole bits (at most 4), its share of digits in quarters, and whether quotes or assignments adjoin it."""
+    span = text[start:end]
+    before = text[max(0, start - 2): start].strip()[-1:]
+    return (
+        min(4, int(entropy(span))), 4 * sum(c.isdigit() for c in span) // len(span),
+        int(before != "" and before in "\"'=:`"), int(end < len(text) and text[end] in "\"'`"),
+    )
 
 
-def votes(text: str, kind: str, start: int, end: int, is_base: bool) -> tuple[int, ...]:
+def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
     """Each labeler's vote: 1 for, -1 against, 0 none."""
     span = text[start:end]
     digits = re.sub("[^0-9]", "", span)
@@ -148,18 +189,21 @@ def votes(text: str, kind: str, start: int, end: int, is_base: bool) -> tuple[in
         length = 1 if 8 <= len(digits) <= 15 else -1
     elif kind == "ssn":
         checksum = -1 if digits[:3] in ("000", "666") or digits[0] == "9" or digits[3:5] == "00" or digits[5:] == "0000" else 1
-    else:
+    elif kind == "iban":
         checksum = 1 if _mod97(span) else -1
-    around = text[max(0, start - CONTEXT_CHARS): start]
-    words = {w.lower() for w in WORD.findall(around)}
+    else:
+        checksum = 1 if entropy(span) >= 3 else -1
+        gazetteer = 1 if span.startswith(SECRET_STARTS) else 0
+        length = 1 if len(span) <= 256 else -1
+    words = words_before(text, start)
     context = 1 if words & CUE_WORDS[kind] else -1 if words & COUNTER_WORDS else 0
     inside = (start > 0 and text[start - 1].isalnum()) or (end < len(text) and text[end].isalnum())
-    return (1 if is_base else -1, checksum, gazetteer, context, -1 if inside else 1, length)
+    return (1 if USUAL[kind].fullmatch(span) else -1, checksum, gazetteer, context, -1 if inside else 1, length)
 
 
 @dataclass
 class Model:
-    """A weight per kind and labeler vote; none without candidates."""
+    """A weight per kind and labeler vote, then feature; none without candidates."""
 
     weights: dict[str, np.ndarray]
     reliability: dict[str, tuple[float, float]]  # chance of a vote for, of spans that are and aren't personal
@@ -170,15 +214,18 @@ class Model:
 
 
 def fit(patterns: Counter) -> Model:
-    """Expectation-maximisation over (kind, votes) counts, then the classifier; labelers are shared by the kinds."""
+    """Expectation-maximisation over counts of (kind, votes and features), then the classifier; labelers are shared by the kinds.
+
+    Only votes enter the first."""
     if not patterns:
         return Model({}, {})
     keys = sorted(patterns)
     n = np.array([patterns[k] for k in keys], float)
     kind = np.array([KINDS.index(k) for k, _ in keys])
-    vote = np.array([v for _, v in keys], float)
+    inputs = np.array([v for _, v in keys], float)
+    vote = inputs[:, : len(LABELERS)]
     yes, no = vote > 0, vote < 0
-    post = np.clip(0.5 + 0.15 * vote.sum(1), 0.05, 0.95)
+    post = np.clip(0.5 + vote @ TRUST, 0.05, 0.95)
     prior = np.full(len(KINDS), 0.5)
     for _ in range(100):
         weigh = np.stack((post * n, (1 - post) * n))
@@ -194,7 +241,7 @@ def fit(patterns: Counter) -> Model:
     for k, name in enumerate(KINDS):
         mine = kind == k
         if mine.any():
-            weights[name] = _logistic(np.column_stack((np.ones(mine.sum()), vote[mine])), post[mine], n[mine])
+            weights[name] = _logistic(np.column_stack((np.ones(mine.sum()), inputs[mine])), post[mine], n[mine])
     return Model(weights, {x: (float(chance[0, i]), float(chance[1, i])) for i, x in enumerate(LABELERS)})
 
 
@@ -218,7 +265,7 @@ def judged(text: str) -> Iterator[tuple[str, int, int, bool, tuple[int, ...]]]:
         own = {(k, *s) for k, spans in base.items() for s in spans}
         for kind, start, end in candidates(text, base):
             is_base = (kind, start, end) in own
-            yield kind, start, end, is_base, votes(text, kind, start, end, is_base)
+            yield kind, start, end, is_base, votes(text, kind, start, end) + features(text, start, end)
 
 
 def spans(text: str | None, model: Model) -> list[tuple[str, int, int, bool]]:
@@ -237,7 +284,7 @@ def spans(text: str | None, model: Model) -> list[tuple[str, int, int, bool]]:
 
 
 def train(docs: DataFrame, *, text_col: str = "text") -> Model:
-    """Count vote patterns over all texts (at most kinds x 3^labelers of them) and fit."""
+    """Count vote patterns over all texts (their number is bounded by the values of votes and features) and fit."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:

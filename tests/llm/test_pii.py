@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 
 from gradewise.llm import pii, queries
 from tests.llm import plain
+from tests.llm.test_quality import plain_dir
 
 
 def base(text):
@@ -90,7 +91,7 @@ def test_labelers_teach_each_other():
 
 
 def test_added_spans():
-    model = pii.Model({"phone": pii.np.array([5.0, 0, 0, 0, 0, 0, 0])}, {})
+    model = pii.Model({"phone": pii.np.array([5.0] + [0] * (len(pii.LABELERS) + len(pii.FEATURES)))}, {})
     text = "call 555-010-2345 or +1 (555) 010-2345 and 555-010-2346"
     assert [text[a:b] for _, a, b, base_ in pii.spans(text, model) if not base_] == ["555-010-2345", "555-010-2346"]
 
@@ -99,4 +100,50 @@ def test_time_is_linear():
     text = "1" * 200_000 + "a" * 200_000 + "@" * 20_000 + "1.1." * 50_000 + "+1" * 50_000 + "12 " * 50_000
     start = time.process_time()
     pii.spans(text, pii.Model({}, {}))
+    pii.spans("+1" + "1 " * 100_000 + "x" * 100_000 + "1-" * 100_000 + "_" * 100_000 + " token a1" * 20_000, pii.Model({}, {}))
     assert time.process_time() - start < 20
+
+
+def test_labelers_do_not_know_the_base():
+    # A number in usual form gets the same votes wherever it stands; only its checksum tells a base card.
+    good, bad = "4111 1111 1111 1111", "4111 1111 1111 1112"
+    a, b = (pii.votes(f"x {n} y", "card", 2, 2 + len(n)) for n in (good, bad))
+    assert [k for k, (u, v) in zip(pii.LABELERS, zip(a, b)) if u != v] == ["checksum"]
+
+
+SECRETS = [
+    ('token = "24be9f0c55d1e7a8b3c24be9f0c55d1e7a8b3c11"', "24be9f0c55d1e7a8b3c24be9f0c55d1e7a8b3c11"),
+    ("API_KEY: Zx81+kkQ02/nnPq7uuA3==", "Zx81+kkQ02/nnPq7uuA3=="),
+    ("use ghp_16C7e42F292c6912E7710c838347Ae178B4a now", "ghp_16C7e42F292c6912E7710c838347Ae178B4a"),
+]
+NO_SECRETS = [
+    "commit 24be9f0c55d1e7a8b3c24be9f0c55d1e7a8b3c11", "id 123e4567-e89b-12d3-a456-426614174000", "token = 12345", "secret: averyveryverylongwordindeed",
+    "the key 12345678901234567890", "password is at bob.aaaaaaaaaaaaaaaaaaaaaaaa1@x.org",
+]
+
+
+def test_secrets():
+    found = [[t[a:b] for k, a, b in pii.candidates(t, pii.base_spans(t)) if k == "secret"] for t, _ in SECRETS]
+    assert found == [[s] for _, s in SECRETS]
+    assert not any(k == "secret" for t in NO_SECRETS for k, _, _ in pii.candidates(t, pii.base_spans(t)))
+
+
+def test_secrets_are_added_and_redacted(spark):
+    filler = [f"mail a{k}@b.com or card 4111 1111 1111 1111 not 4111 1111 1111 {1112 + k} from 10.0.{k}.7" for k in range(40)]
+    docs = spark.createDataFrame(list(enumerate([t for t, _ in SECRETS] + NO_SECRETS + filler)), "doc_id int, text string")
+    model = pii.train(docs)
+    added = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans if not s.base] for r in pii.find(docs, model).collect()}
+    for k, (text, secret) in enumerate(SECRETS):
+        assert added[k] == [("secret", text.index(secret), text.index(secret) + len(secret))]
+    assert not any(v for k, v in added.items() if k >= len(SECRETS))
+    got = {r.doc_id: r.text for r in pii.redact(docs, model).collect()}
+    assert got[0] == 'token = "[SECRET]"' and got[len(SECRETS)] == NO_SECRETS[0]
+
+
+def test_every_planted_secret(spark):
+    """Recall of all, precision of the added secrets, at sf0.1: its texts hold 40 hexadecimal digits after `token =`."""
+    docs = plain.read(spark, f"{plain_dir()}/sf0.1", "documents")
+    want = {(r.doc_id, *m.span(1)) for r in docs.collect() for m in re.finditer('(?i)token = "([0-9a-f]{40})"', r.text or "")}
+    rows = queries.op8_pii(spark, f"{plain_dir()}/sf0.1").collect()
+    got = {(r.doc_id, *map(int, s.split(":")[1:])) for r in rows for s in r.spans.split(",") if s.startswith("secret:")}
+    assert len(want) > 100 and got == want
