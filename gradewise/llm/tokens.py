@@ -6,6 +6,7 @@ longest single text. A null text is treated as an empty one everywhere.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,6 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 20
+# Of glibc; other allocators do without.
+TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 # White space is the byte 0x20 and the bytes 0x09 to 0x0D.
 SPACE_BYTES = (0x20, *range(0x09, 0x0E))
@@ -124,6 +127,13 @@ def texts_of(column: pa.Array) -> Texts:
     return Texts(data[at[0]: at[-1]], at - at[0])
 
 
+def give_back() -> None:
+    """Hand freed memory to the system: Spark uses a worker for many stages, and each would keep the peak of those before."""
+    pa.default_memory_pool().release_unused()
+    if TRIM:
+        TRIM(0)
+
+
 def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Texts]]:
     """(first row, row behind the last, texts) for runs of rows of about `limit` bytes; every row comes once."""
     whole = texts_of(column)
@@ -134,6 +144,7 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         low, high = whole.bounds[row], whole.bounds[stop]
         yield row, stop, Texts(whole.data[low:high], whole.bounds[row: stop + 1] - low)
         row = stop
+    give_back()
 
 
 def owners(first: np.ndarray) -> np.ndarray:
