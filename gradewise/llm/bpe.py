@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from gradewise.llm import tokens
 
 CACHE_PIECES = 1_000_000
-CHUNK_BYTES = 3 << 20
+# Only memory and speed depend on it: a chunk's arrays take about a hundred bytes for each byte of text at their peak.
+CHUNK_BYTES = 1 << 19
 # Fixed value: the split pattern that `Pieces` finds by array operations; any other goes through `regex`.
 COMMON_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 VOCABULARY = "word_bpe_49k.json"
@@ -62,8 +63,8 @@ class Encoder:
         self.suffix = model.get("end_of_word_suffix") or ""
         self.vocab: dict[str, int] = model["vocab"]
         self.specials = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
-        size = max([*self.vocab.values(), *self.specials.values()]) + 1
-        names = [""] * size
+        self.size = max([*self.vocab.values(), *self.specials.values()]) + 1
+        names = [""] * self.size
         for text, i in [*self.vocab.items(), *self.specials.items()]:
             names[i] = text
         self.names = pa.array(names, pa.string())
@@ -75,29 +76,19 @@ class Encoder:
         split = [p for p in _flat(spec.get("pre_tokenizer"), "pretokenizers") if p["type"] == "Split"]
         self.pieces = regex.compile(_pattern(split[0]["pattern"]))
 
-        self.join: dict[tuple[int, int], int] = {}
-        parts: dict[int, tuple[int, int]] = {}
+        # Pairs of tokens are numbers, first * size + second: workers hold many of them.
+        self.join: dict[int, int] = {}
+        # The tokens that a token is merged from, -1 if none.
+        self.left, self.right = [-1] * self.size, [-1] * self.size
+        order = []
         for rule in model["merges"]:
             a, b = rule if isinstance(rule, list) else rule.split(" ")
-            merged = self.vocab[a + b]
-            pair = (self.vocab[a], self.vocab[b])
-            self.join[pair] = merged
-            parts[merged] = pair
-        order = [self.vocab["".join(r) if isinstance(r, list) else r.replace(" ", "")] for r in model["merges"]]
-        if order != sorted(order) or len(parts) != len(order):
+            merged, first, second = self.vocab[a + b], self.vocab[a], self.vocab[b]
+            self.join[first * self.size + second] = merged
+            self.left[merged], self.right[merged] = first, second
+            order.append(merged)
+        if order != sorted(set(order)):
             raise ValueError("the ids of merged tokens must follow the order of the merge rules")
-        # Edges: (token at the edge, id of the token that it is merged into next).
-        endless = size
-        self.right: list[list[tuple[int, int]]] = [[] for _ in range(size)]
-        self.left: list[list[tuple[int, int]]] = [[] for _ in range(size)]
-        for i in self.vocab.values():
-            for side, edges in ((1, self.right), (0, self.left)):
-                token, parent = i, endless
-                while True:
-                    edges[i].append((token, parent))
-                    if token not in parts:
-                        break
-                    token, parent = parts[token][side], token
         characters = byte_characters()
         code = {c: b for b, c in enumerate(characters)}
         self.automaton = ahocorasick.Automaton()
@@ -109,26 +100,29 @@ class Encoder:
                 symbols[-1] += LAST
             self.automaton.add_word("".join(map(chr, symbols)), (i, len(symbols)))
         self.automaton.make_automaton()
-        self.beside: dict[tuple[int, int], bool] = {}
+        self.beside: dict[int, bool] = {}
         self.known = Known()
 
     def may_stand(self, first: int, second: int) -> bool:
-        known = self.beside.get((first, second))
+        pair = first * self.size + second
+        known = self.beside.get(pair)
         if known is None:
-            join = self.join
             known = True
-            for a, after_a in self.right[first]:
-                for b, after_b in self.left[second]:
-                    merged = join.get((a, b))
+            # after: the token that an edge is merged into next; the whole token's is endless.
+            a, after_a = first, self.size
+            while known and a >= 0:
+                b, after_b = second, self.size
+                while b >= 0:
+                    merged = self.join.get(a * self.size + b)
                     # Of equal rules the leftmost goes first, so a tie is lost on the left and won on the right.
                     if merged is not None and merged < after_a and merged <= after_b:
                         known = False
                         break
-                if not known:
-                    break
+                    b, after_b = self.left[b], b
+                a, after_a = self.right[a], a
             if len(self.beside) > CACHE_PIECES // 2:
                 self.beside.clear()
-            self.beside[first, second] = known
+            self.beside[pair] = known
         return known
 
     def encode_piece(self, piece: str) -> list[int]:
@@ -216,7 +210,7 @@ class Encoder:
 @lru_cache(maxsize=1)
 def _kinds() -> np.ndarray:
     """Of each code point: 0 white space, 1 letter, 2 number, 3 anything else."""
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    every = np.delete(np.arange(0x110000, dtype="<u4"), slice(0xD800, 0xE000)).tobytes().decode("utf-32-le")
     kinds = np.full(0x110000, 3, np.uint8)
     for kind, pattern in ((1, r"\p{L}+"), (2, r"\p{N}+"), (0, r"\s+")):
         for m in regex.finditer(pattern, every):
@@ -351,6 +345,9 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", p
                     batch.column(0).slice(a, b - a), pa.array(np.diff(before), pa.int64()),
                     lists, packed, coder.decode(lists),
                 ], names=["id", "n_tokens", "ids", "packed_ids", "decoded"])
+                del ids, before, lists, packed
+                tokens.give_back()
+            del batch
 
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"id {key}, n_tokens long, ids array<int>, packed_ids binary, decoded string",

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -76,3 +79,23 @@ def test_pieces_with_one_hash_are_told_apart(coder, library, monkeypatch):
     monkeypatch.setattr(bpe, "split", lambda text: (*(t := true(text))[:2], np.zeros_like(t[2]), t[3]))
     for text in ("one two three two", "four", "one"):
         assert coder.encode_all([text, "five"])[0].tolist() == [i for t in (text, "five") for i in library.encode(t, add_special_tokens=False).ids]
+
+
+def test_memory_of_a_worker_is_bounded():
+    """MB that a process grows by at its peak: the vocabulary's tables, then twelve MB of texts. An executor holds one such worker for each core."""
+    code = """if True:
+        import numpy as np, pyarrow as pa, re
+        from gradewise.llm import bpe
+        most = lambda: int(re.search(r"VmHWM:\\s+(\\d+)", open("/proc/self/status").read())[1]) / 1024
+        rng = np.random.default_rng(5)
+        words = ["".join(w) for w in rng.choice(list("abcdefghinorst"), (20_000, 7))]
+        texts = pa.array([" ".join(words[i] for i in rng.integers(0, len(words), 300)) for _ in range(5_000)])
+        before = most()
+        coder = bpe.Encoder(bpe.vocabulary_path())
+        tables = most() - before
+        for a, b in bpe._slices(texts):
+            coder.encode_all(texts.slice(a, b - a).to_pylist())
+        print(tables, most() - before)"""
+    out = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], capture_output=True, text=True, check=True, timeout=300).stdout
+    tables, peak = map(float, out.split())
+    assert tables < 45 and peak < 120, out
