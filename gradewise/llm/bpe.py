@@ -346,8 +346,8 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", p
                     lists, packed, coder.decode(lists),
                 ], names=["id", "n_tokens", "ids", "packed_ids", "decoded"])
                 del ids, before, lists, packed
-                tokens.give_back()
             del batch
+            tokens.give_back()
 
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"id {key}, n_tokens long, ids array<int>, packed_ids binary, decoded string",
